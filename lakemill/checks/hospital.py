@@ -282,12 +282,9 @@ LOGINS = """SELECT cast(ts AS date) AS login_date, event_type AS domain, props A
 
 @job(
     "mart_login_activity",
-    f"""SELECT login_date, domain, softversion, count(*) AS login_count, count(DISTINCT employee_id) AS distinct_employee_count,
-          count(DISTINCT computer) AS distinct_computer_count, count(DISTINCT ip) AS distinct_ip_count
-        FROM (SELECT * REPLACE (trunc(ip_value)::int AS ip) FROM (
-          SELECT *, ip AS ip_value FROM ({LOGINS.replace("cast(value AS int)", "value")}) l) m) n GROUP BY ALL""".replace(
-        "SELECT * REPLACE (trunc(ip_value)::int AS ip)", "SELECT * EXCLUDE (ip), trunc(ip_value)::int AS ip"
-    ),
+    """SELECT ts::date AS login_date, event_type AS domain, props AS softversion, count(*) AS login_count,
+         count(DISTINCT user_id) AS distinct_employee_count, count(DISTINCT event_id) AS distinct_computer_count,
+         count(DISTINCT trunc(value)) AS distinct_ip_count FROM events GROUP BY ALL""",
 )
 def _(d):
     return marts.login_activity(d.sql(LOGINS))
@@ -346,11 +343,10 @@ def _(d):
 
 
 def currency(x):
-    scaled = lambda unit: f"round({x}::decimal(28,6) / {unit}::decimal(10,0), 2)::decimal(28,2)::varchar"
+    scaled = lambda unit: f"round(({x}::decimal(28,6)::decimal(38,6) / {unit})::decimal(38,12), 2)::decimal(28,2)::varchar"
     whole = f"replace(format('{{:,}}', trunc({x})::bigint), ',', '.')"
-    return f"""CASE WHEN abs({x}) >= 1000000000 THEN round(({x}::decimal(28,6)::decimal(38,6) / 1000000000)::decimal(38,12), 2)::decimal(28,2)::varchar || ' tỷ'
-      WHEN abs({x}) >= 1000000 THEN round(({x}::decimal(28,6)::decimal(38,6) / 1000000)::decimal(38,12), 2)::decimal(28,2)::varchar || ' triệu'
-      ELSE {whole} || ' VND' END"""
+    return f"""CASE WHEN abs({x}) >= 1000000000 THEN {scaled(1000000000)} || ' tỷ'
+      WHEN abs({x}) >= 1000000 THEN {scaled(1000000)} || ' triệu' ELSE {whole} || ' VND' END"""
 
 
 def color(p):

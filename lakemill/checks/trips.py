@@ -104,8 +104,11 @@ SILVER_SQL = """
       SELECT * REPLACE (coalesce(CASE store_and_fwd_flag WHEN 'N' THEN extra ELSE surcharge END, 0)::double AS surcharge),
         hour(pickup_datetime) AS pickup_hour, dayofweek(pickup_datetime) + 1 AS pickup_weekday
       FROM silver_trips)"""
-GREEN_SILVER_SQL = SILVER_SQL.replace("* REPLACE (coalesce(CASE store_and_fwd_flag WHEN 'N' THEN extra ELSE surcharge END, 0)::double AS surcharge)",
-                                      "* REPLACE (coalesce(extra, 0)::double AS extra)")
+GREEN_SILVER_SQL = """
+    WITH silver AS (
+      SELECT * REPLACE (coalesce(extra, 0)::double AS extra),
+        hour(pickup_datetime) AS pickup_hour, dayofweek(pickup_datetime) + 1 AS pickup_weekday
+      FROM silver_trips)"""
 
 
 @job("detect_schema_variant")
@@ -235,13 +238,13 @@ for _name, _make, _silver_sql, _cards, _fees in (
     _register()
 
 
-@job(
-    "vendor_summary",
-    f"""{SILVER_SQL}, gold AS (
+VENDOR_SQL = f"""{SILVER_SQL}, gold AS (
       SELECT domain, vendor_id, {half_up("surcharge + mta_tax + tolls_amount", 2)} AS total_fees, total_amount FROM silver)
     SELECT domain, vendor_id, count(*) AS trip_count, {cents("total_fees")} AS total_fees,
-      {cents("total_amount")} AS total_amount FROM gold GROUP BY ALL""",
-)
+      {cents("total_amount")} AS total_amount FROM gold GROUP BY ALL"""
+
+
+@job("vendor_summary", VENDOR_SQL)
 def _(d):
     return vendor_summary(d)
 

@@ -55,16 +55,22 @@ def lineage_id(*columns: str) -> Column:
     return F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)
 
 
-def file_name(uri: Column) -> Column:
-    """Last path segment of a URI without query or fragment."""
-    return F.element_at(F.split(F.regexp_replace(uri, r"[?#].*$", ""), "/"), -1)
+def file_name(path: Column) -> Column:
+    """Last path segment."""
+    return F.element_at(F.split(path, "/"), -1)
+
+
+def url_file_name(url: Column) -> Column:
+    """Last path segment of a URL without query and fragment."""
+    return file_name(F.regexp_replace(url, r"[?#].*$", ""))
 
 
 def file_extension(name: Column) -> Column:
     """Lower-case extension without the dot; ``unknown`` when there is none."""
-    found = F.lower(F.regexp_extract(name, r"[^.]\.([^.]+)$", 1))
+    found = F.lower(F.regexp_extract(name, r"[^.].*\.([^.]+)$", 1))
     return F.coalesce(F.nullif(found, F.lit("")), F.lit("unknown"))
 
 
 def file_stem(name: Column) -> Column:
-    return F.regexp_replace(name, r"(?<=[^.])\.[^.]*$", "")
+    """File name without its extension."""
+    return F.regexp_replace(name, r"^(\.*[^.].*)\.[^.]*$", "$1")

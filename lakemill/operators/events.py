@@ -88,9 +88,29 @@ def file_events(files: DataFrame, stage_prefix: str, dataset: str = DATASET) ->
     )
 
 
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+JSON_OPTIONS = {"timestampFormat": f"{MICROS}XXX", "timestampNTZFormat": MICROS}
+
+
 def to_lines(events: DataFrame) -> DataFrame:
     """Envelopes as JSON lines, ready to be landed or sent."""
-    return events.select(F.to_json(F.struct("*")).alias("value"))
+    return events.select(F.to_json(F.struct("*"), JSON_OPTIONS).alias("value"))
+
+
+def batch_events(chunked: DataFrame, source: str, event_type: str = BATCH_EVENT) -> DataFrame:
+    """One ``batch`` message per chunk (column ``chunk_index``) of an input.
+
+    A message holds as many rows as a chunk has, which the chunk size limits.
+    """
+    rows = [c for c in chunked.columns if c not in ("chunk_index", "source_row_index")]
+    return chunked.groupBy("chunk_index").agg(F.collect_list(F.struct(*rows)).alias("rows")).select(
+        F.lit("batch").alias("message_type"),
+        F.lit(event_type).alias("event_type"),
+        F.format_string(f"{source}-%05d", "chunk_index").alias("batch_id"),
+        F.lit(source).alias("source_file"),
+        F.current_timestamp().alias("published_at"),
+        "rows",
+    )
 
 
 def explode_batches(messages: DataFrame) -> DataFrame:

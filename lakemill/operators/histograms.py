@@ -40,11 +40,9 @@ def bucket_counts(df: DataFrame, buckets: Mapping[str, Column]) -> DataFrame:
     Each row is turned upright and counted on its own partition first, so the
     shuffle carries at most features × buckets rows per task.
     """
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("feature"), b.cast("int").alias("bucket")) for c, b in buckets.items()]
-    )
+    placed = df.select(*[b.cast("int").alias(c) for c, b in buckets.items()])
     return (
-        df.select(F.inline(pairs))
+        placed.unpivot([], list(buckets), "feature", "bucket")
         .filter(F.col("bucket").isNotNull())
         .groupBy("feature", "bucket")
         .agg(F.count(F.lit(1)).alias("cnt"))

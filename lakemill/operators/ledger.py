@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lakemill.config import Registry
-from lakemill.functions.values import file_extension, file_name
+from lakemill.functions.values import file_extension, file_name, url_file_name
 from lakemill.operators.dedupe import dedupe, not_in
 
 # Ledger columns, file types and status words.
@@ -76,32 +76,46 @@ def new_requests(requests: DataFrame, ledger: DataFrame) -> DataFrame:
     return not_in(dedupe(requests, REQUEST_KEY), known, {c: c for c in REQUEST_KEY})
 
 
+def fill_request(requests: DataFrame, registry: Registry) -> DataFrame:
+    """Defaults of a request message that leaves fields out."""
+    name = F.coalesce(F.nullif(F.col("file_name"), F.lit("")), url_file_name(F.col("source_uri")))
+    filled = requests.withColumns(
+        {
+            "source_name": _filled("source_name", "unknown_source"),
+            "domain": _filled("domain", registry.default_domain),
+            "topic": _filled("topic", registry.default_topic),
+            "file_name": name,
+        }
+    )
+    kind = F.coalesce(F.nullif(F.col("file_type"), F.lit("")), file_extension(F.col("file_name")))
+    return filled.withColumn("file_type", kind)
+
+
 def resolve(requests: DataFrame, registry: Registry) -> DataFrame:
     """Raw ledger rows of requests: place in the raw layer, or the error."""
     settings = registry.frame(requests.sparkSession)
     known = F.col("raw_bucket").isNotNull()
     message = F.concat(F.lit("Domain '"), F.col("domain"), F.lit("' is not registered"))
-    joined = requests.drop("status").join(settings, "domain", "left")
     size = F.col("file_size_bytes") if "file_size_bytes" in requests.columns else F.lit(None)
-    return joined.select(
-        "job_id",
-        "domain",
-        "topic",
-        "source_type",
-        F.coalesce("source_name", F.lit("unknown_source")).alias("source_name"),
-        "source_uri",
-        F.col("raw_bucket").alias("bucket"),
-        F.concat_ws("/", F.when(known, F.col("raw_prefix")), F.when(known, F.col("file_name"))).alias("_key"),
-        "file_name",
-        "file_type",
-        F.when(known, size).cast("bigint").alias("file_size_bytes"),
-        F.current_timestamp().alias("ingest_ts"),
-        F.when(known, "landed").otherwise("error").alias("status"),
-        F.when(~known, F.substring(message, 1, MESSAGE_LENGTH)).alias("error_message"),
-    ).select(
-        "job_id", "domain", "topic", "source_type", "source_name", "source_uri", "bucket",
-        F.nullif("_key", F.lit("")).alias("object_key"),
-        "file_name", "file_type", "file_size_bytes", "ingest_ts", "status", "error_message",
+    return (
+        fill_request(requests, registry)
+        .join(settings, "domain", "left")
+        .select(
+            "job_id",
+            "domain",
+            "topic",
+            "source_type",
+            "source_name",
+            "source_uri",
+            F.col("raw_bucket").alias("bucket"),
+            F.concat("raw_prefix", F.lit("/"), "file_name").alias("object_key"),
+            "file_name",
+            "file_type",
+            F.when(known, size).cast("bigint").alias("file_size_bytes"),
+            F.current_timestamp().alias("ingest_ts"),
+            F.when(known, "landed").otherwise("error").alias("status"),
+            F.when(~known, F.substring(message, 1, MESSAGE_LENGTH)).alias("error_message"),
+        )
     )
 
 

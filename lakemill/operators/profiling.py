@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lakemill.functions.values import typed
 
 Bounds = dict[str, tuple[float, float]]
+Interval = tuple[str, float | None, float | None]
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -48,57 +50,63 @@ def quantiles(
     return dict(zip(columns, found))
 
 
+@dataclass
+class _Target:
+    """One wanted rank; its value lies strictly between ``low`` and ``high``.
+
+    ``before`` rows of the column lie at or below ``low``, ``rows`` in between.
+    """
+
+    column: str
+    probability: float
+    rank: int = 0
+    low: float | None = None
+    high: float | None = None
+    before: int = 0
+    rows: int = -1  # not counted yet
+    room: float = 1.0
+
+    @property
+    def interval(self) -> Interval:
+        return self.column, self.low, self.high
+
+    def share(self) -> float:
+        return self.probability if self.rows < 0 else (self.rank - self.before) / self.rows
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    small: int = 20_000,
+    small: int = 10_000,
     accuracy: int = 2_000,
 ) -> dict[str, list[float]]:
     """Exact order statistics without sorting the table.
 
-    For every (column, probability) an interval known to hold the answer is
-    narrowed by passes of bounded-size sketches and counted exactly, until few
-    distinct values are left; those are counted per value. Nothing larger than
-    ``small`` values per target ever leaves the executors, and a value that
-    fills a third of the table is only ever a count.
+    A sketch of bounded size gives a cut on either side of each wanted rank, and
+    one aggregation counts the rows below and at the cuts exactly. Either a cut
+    is the answer or the rank lies strictly between the two. This repeats until
+    at most ``small`` rows lie between, whose values are then counted. Nothing
+    larger leaves the executors, and a value that fills a third of the table is
+    only ever a count. An input that is costly to build should be persisted.
     """
     # NaN is no value here, and -0.0 is 0.0.
     clean = df.select(*[_finite(c).alias(c) for c in columns])
-    first = clean.agg(*[_span(c) for c in columns]).first()
-    targets = {}
-    for c in columns:
-        span = first[c]
-        if span.n == 0:
-            continue
-        for p in probabilities:
-            rank = min(max(math.ceil(p * span.n), 1), span.n)
-            targets[(c, p)] = _Target(c, rank, span.low, span.high, span.n)
-    open_targets = [t for t in targets.values() if not t.done]
-    while open_targets:
-        by_sketch = [t for t in open_targets if t.rows > small]
-        if by_sketch:
-            _narrow(clean, by_sketch, accuracy)
-        by_value = [t for t in open_targets if not t.done and t.rows <= small]
-        if by_value:
-            _count_values(clean, by_value)
-        open_targets = [t for t in open_targets if not t.done]
-    return {c: [targets[(c, p)].low for p in probabilities] if (c, probabilities[0]) in targets else [] for c in columns}
-
-
-class _Target:
-    """The value of one rank lies in [low, high]; ``before`` rows lie below."""
-
-    def __init__(self, column: str, rank: int, low: float, high: float, rows: int):
-        self.column, self.rank, self.low, self.high = column, rank, low, high
-        self.before, self.rows = 0, rows
-
-    @property
-    def done(self) -> bool:
-        return self.low == self.high
-
-    def inside(self) -> Column:
-        return F.col(self.column).between(self.low, self.high)
+    found: dict[tuple[str, float], float] = {}
+    waiting = [_Target(c, p) for c in columns for p in probabilities]
+    margin = 2.0 / accuracy
+    while waiting:
+        few = [t for t in waiting if 0 < t.rows <= small]
+        many = [t for t in waiting if not 0 < t.rows <= small]
+        if few:
+            _count_values(clean, few, found)
+        if many:
+            cuts = _sketch(clean, many, accuracy, margin)
+            wide = [t for t in many if t.rows > small]
+            if wide:
+                _cut(clean, wide, cuts, found)
+        waiting = [t for t in many if t.rows > 0 and (t.column, t.probability) not in found]
+    return {c: [found[(c, p)] for p in probabilities if (c, p) in found] for c in columns}
 
 
 def _finite(column: str) -> Column:
@@ -106,69 +114,79 @@ def _finite(column: str) -> Column:
     return F.when(~F.isnan(value), value + F.lit(0.0))
 
 
-def _span(column: str) -> Column:
-    value = F.col(column)
-    return F.struct(F.count(value).alias("n"), F.min(value).alias("low"), F.max(value).alias("high")).alias(column)
-
-
-def _cuts(target: _Target, accuracy: int) -> tuple[float, float, float]:
-    share = (target.rank - target.before) / target.rows
-    margin = 2.0 / accuracy
-    return max(share - margin, 0.0), share, min(share + margin, 1.0)
-
-
-def _narrow(df: DataFrame, targets: Sequence[_Target], accuracy: int) -> None:
-    """One sketch pass for pivots, one counting pass for exact ranks."""
-    live = df.filter(reduce(or_, [t.inside() for t in targets]))
-    sketch = live.agg(
-        *[
-            F.percentile_approx(F.when(t.inside(), F.col(t.column)), list(_cuts(t, accuracy)), accuracy).alias(f"t{i}")
-            for i, t in enumerate(targets)
-        ]
-    ).first()
-    pivots = [sorted(set(sketch[f"t{i}"])) for i in range(len(targets))]
+def _inside(interval: Interval, value: Column) -> Column:
+    _, low, high = interval
+    inside = value.isNotNull()
+    if low is not None:
+        inside = inside & (value > F.lit(low))
+    return inside if high is None else inside & (value < F.lit(high))
+
+
+def _sketch(df: DataFrame, targets: Sequence[_Target], accuracy: int, margin: float) -> dict[Interval, list[float]]:
+    """Cuts around the ranks of each interval; sets ranks and row counts once."""
+    groups: dict[Interval, list[_Target]] = {}
+    for t in targets:
+        groups.setdefault(t.interval, []).append(t)
+    parts = []
+    for k, (interval, members) in enumerate(groups.items()):
+        value = F.col(interval[0])
+        inside = value if interval[1:] == (None, None) else F.when(_inside(interval, value), value)
+        shares = [min(max(t.share() + m, 0.0), 1.0) for t in members for m in (-margin * t.room, margin * t.room)]
+        parts.append(F.struct(F.count(inside), F.percentile_approx(inside, shares, accuracy)).alias(f"i{k}"))
+    cuts = {}
+    for (interval, members), (rows, found) in zip(groups.items(), df.agg(*parts).first()):
+        for t in members:
+            if t.rows < 0:
+                t.rows, t.rank = rows, min(max(math.ceil(t.probability * rows), 1), rows)
+        cuts.update({(t.column, t.probability): found[2 * j : 2 * j + 2] if found else [] for j, t in enumerate(members)})
+    return cuts
+
+
+def _cut(df: DataFrame, targets: Sequence[_Target], cuts: Mapping, found: dict[tuple[str, float], float]) -> None:
+    """Count rows below and at both cuts of every target in one aggregation."""
     counts = []
-    for i, (t, cuts) in enumerate(zip(targets, pivots)):
-        value = F.when(t.inside(), F.col(t.column))
-        for j, cut in enumerate(cuts):
-            counts.append(F.count_if(value < F.lit(cut)).alias(f"t{i}_{j}_below"))
-            counts.append(F.count_if(value == F.lit(cut)).alias(f"t{i}_{j}_at"))
-            # The neighbours of a cut bound the open intervals between cuts.
-            counts.append(F.max(F.when(value < F.lit(cut), value)).alias(f"t{i}_{j}_prev"))
-            counts.append(F.min(F.when(value > F.lit(cut), value)).alias(f"t{i}_{j}_next"))
-    seen = live.agg(*counts).first()
-    for i, (t, cuts) in enumerate(zip(targets, pivots)):
+    for t in targets:
+        low, high = cuts[(t.column, t.probability)]
+        value = F.col(t.column)
+        inside = _inside(t.interval, value)
+        tests = (value < F.lit(low), value <= F.lit(low), value < F.lit(high), value <= F.lit(high))
+        counts += [F.count_if(inside & test) for test in tests]
+    row = df.agg(*[c.alias(f"c{i}") for i, c in enumerate(counts)]).first()
+    for i, t in enumerate(targets):
+        low, high = cuts[(t.column, t.probability)]
+        below_low, to_low, below_high, to_high = row[4 * i : 4 * i + 4]
         wanted = t.rank - t.before
-        low, high, before, rows = t.low, t.high, 0, t.rows
-        for j, cut in enumerate(cuts):
-            below, at = seen[f"t{i}_{j}_below"], seen[f"t{i}_{j}_at"]
-            if wanted <= below:
-                high, rows = seen[f"t{i}_{j}_prev"], below - before
-                break
-            if wanted <= below + at:
-                low = high = cut
-                break
-            low, before = seen[f"t{i}_{j}_next"], below + at
-            rows = t.rows - before
-        t.low, t.high, t.rows = low, high, rows
-        t.before += before
-
-
-def _count_values(df: DataFrame, targets: Sequence[_Target]) -> None:
+        if not below_low < wanted <= to_high:
+            t.room *= 2.0  # the cuts missed the rank; leave more room next time
+        if wanted <= below_low:
+            t.high, t.rows = low, below_low
+        elif wanted <= to_low:
+            found[(t.column, t.probability)] = low
+        elif wanted <= below_high:
+            t.low, t.high, t.before, t.rows = low, high, t.before + to_low, below_high - to_low
+        elif wanted <= to_high:
+            found[(t.column, t.probability)] = high
+        else:
+            t.low, t.before, t.rows = high, t.before + to_high, t.rows - to_high
+
+
+def _count_values(df: DataFrame, targets: Sequence[_Target], found: dict[tuple[str, float], float]) -> None:
     """Settle targets whose interval holds a checked small number of rows."""
-    parts = [
-        df.filter(t.inside()).groupBy(F.lit(i).alias("t"), F.col(t.column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        for i, t in enumerate(targets)
-    ]
-    values: dict[int, list[tuple[float, int]]] = {}
-    for row in reduce(DataFrame.union, parts).collect():
-        values.setdefault(row.t, []).append((row.v, row.n))
-    for i, t in enumerate(targets):
+    columns = list(dict.fromkeys(t.column for t in targets))
+    value = F.col("v")
+    wanted = reduce(or_, [(F.col("feature") == t.column) & _inside(t.interval, value) for t in targets])
+    long = df.select(*columns).unpivot([], columns, "feature", "v").filter(value.isNotNull() & wanted)
+    values: dict[str, list[tuple[float, int]]] = {}
+    for row in long.groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n")).collect():
+        values.setdefault(row.feature, []).append((row.v, row.n))
+    for t in targets:
         seen = t.before
-        for value, n in sorted(values[i]):
+        for v, n in sorted(values[t.column]):
+            if (t.low is not None and v <= t.low) or (t.high is not None and v >= t.high):
+                continue
             seen += n
             if seen >= t.rank:
-                t.low = t.high = value
+                found[(t.column, t.probability)] = v
                 break
 
 

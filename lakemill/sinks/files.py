@@ -29,7 +29,7 @@ def _publish_single(df: DataFrame, target: str, suffix: str, write) -> None:
     """Write one part file next to the target and move it to the fixed key."""
     spark = df.sparkSession
     staging = f"{target}.staging"
-    write(df.coalesce(1).write.mode("overwrite"), staging)
+    write(df.repartition(1).write.mode("overwrite"), staging)
     folder, fs = _fs(spark, staging)
     parts = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")]
     if len(parts) != 1:
@@ -43,10 +43,24 @@ def _publish_single(df: DataFrame, target: str, suffix: str, write) -> None:
 
 
 def write_single(df: DataFrame, target: str) -> None:
-    """Exactly one Parquet file at a fixed key; for exports of limited size."""
+    """Exactly one Parquet file at a fixed key; for exports of limited size.
+
+    The rows are computed in parallel; only the last step writes with one task.
+    """
     _publish_single(df, target, "parquet", lambda w, path: w.parquet(path))
 
 
+def single_summary(raw: DataFrame, written: DataFrame, schema_kind: str) -> DataFrame:
+    """Schema kind and rows in and out of a single-file export, in one row."""
+    rows = lambda df: df.select(F.count(F.lit(1))).scalar()
+    one = raw.sparkSession.range(1)
+    return one.select(
+        F.lit(schema_kind).alias("schema_kind"),
+        rows(raw).alias("input_row_count"),
+        rows(written).alias("output_row_count"),
+    )
+
+
 def write_snapshot(df: DataFrame, target: str) -> None:
     """One compact UTF-8 JSON document from a one-row frame."""
     document = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))

@@ -112,6 +112,18 @@ def schema_inventory(files: DataFrame) -> DataFrame:
     )
 
 
+def frames_by_schema(spark: SparkSession, pattern: str) -> list[DataFrame]:
+    """Bronze files of a glob as one frame per distinct schema.
+
+    Files are grouped by the schema in their footers first, so ten thousand
+    files of two layouts make two reads, not ten thousand.
+    """
+    found = file_schemas(list_files(spark, pattern)).filter(F.col("schema_json").isNotNull())
+    groups = found.groupBy("schema_json").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    # Spark keeps the list of input files on the driver in any case.
+    return [spark.read.parquet(*g.paths) for g in groups.orderBy("schema_json").collect()]
+
+
 def sample_schema(spark: SparkSession, pattern: str, files: int = 2, rows: int = 5) -> DataFrame:
     """Schema and first rows of the first files of a pattern, as JSON rows."""
     first = [r.path for r in list_files(spark, pattern).orderBy("path").limit(files).collect()]
