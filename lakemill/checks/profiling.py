@@ -90,6 +90,11 @@ def _(d):
     return bounds_frame(d, P.outlier_bounds(features(d), FEATURES, "two_stage_iqr", 0.0))
 
 
+@job("outlier_bounds_two_stage_iqr_sketch")
+def _(d):
+    return bounds_frame(d, P.outlier_bounds(features(d), FEATURES, "two_stage_iqr", 0.02))
+
+
 @job(
     "outlier_bounds_coverage",
     f"""WITH {LONG}, {QUARTILES} SELECT feature, 0::double AS lo,
@@ -209,6 +214,13 @@ def _(d):
     return H.histogram(ranged, FEATURES, 40, bounds)
 
 
+@job("histogram_equal_width_sketch")
+def _(d):
+    rows = features(d)
+    bounds = P.outlier_bounds(rows, FEATURES, "two_stage_iqr", 0.02)
+    return H.histogram(quality.split_range(rows, bounds)[0], FEATURES, 40, bounds)
+
+
 @job(
     "histogram_equal_width_unclamped",
     f"WITH {TWO_STAGE}, {WIDE_BOUNDS}, {long_of('kept', 'in_range')}, "

@@ -78,8 +78,8 @@ def yellow(d):
 
 
 def silver_yellow(d):
-    """Silver trips in the yellow layout: conform, time, rules, lineage."""
-    timed = trips.with_duration(yellow(d))
+    """Silver trips of the current layout: conform, time, rules, lineage."""
+    timed = trips.with_duration(C.conform_yellow([d.sql(MODERN.rsplit(" WHERE ", 1)[0])]))
     return with_lineage(quality.apply_rules(timed, quality.TRIP_RULES), "taxi", "yellow")
 
 
@@ -101,7 +101,7 @@ def vendor_summary(d):
 # Silver trips as a query, with the surcharge of the yellow layout.
 SILVER_SQL = """
     WITH silver AS (
-      SELECT * REPLACE (coalesce(CASE store_and_fwd_flag WHEN 'N' THEN extra ELSE surcharge END, 0)::double AS surcharge),
+      SELECT * REPLACE (coalesce(extra, 0)::double AS surcharge),
         hour(pickup_datetime) AS pickup_hour, dayofweek(pickup_datetime) + 1 AS pickup_weekday
       FROM silver_trips)"""
 GREEN_SILVER_SQL = """

@@ -31,14 +31,22 @@ def ratio(top: Column | str, bottom: Column | str, digits: int) -> Column:
     return F.round(F.when(bottom > 0, top / bottom).otherwise(F.lit(0.0)), digits)
 
 
+MICROS = 1_000_000
+
+
 def money_sum(column: Column | str, digits: int = 2) -> Column:
     """Sum of a double column with an answer that does not depend on row order.
 
-    Values are added as decimals with six places, so every run and every
-    partitioning gives the same cents. Values that are not finite add nothing.
+    Whole units and millionths are added as two integers, so every run and every
+    partitioning gives the same cents at the speed of a plain sum. NaN and
+    infinite values add nothing.
     """
-    exact = typed(column, "decimal(28,6)")
-    return F.round(F.sum(exact), digits).cast("double")
+    value = typed(column, "double")
+    value = F.when(F.abs(value) < F.lit(9e18), value)
+    whole = F.floor(value)
+    rest = F.rint((value - whole) * MICROS).cast("bigint")
+    parts = F.sum(rest).cast("decimal(28,0)") / F.lit(MICROS).cast("decimal(7,0)")
+    return F.round(F.sum(whole).cast("decimal(38,6)") + parts, digits).cast("double")
 
 
 def flag_count(condition: Column) -> Column:

@@ -40,6 +40,8 @@ def bucket_counts(df: DataFrame, buckets: Mapping[str, Column]) -> DataFrame:
     Each row is turned upright and counted on its own partition first, so the
     shuffle carries at most features × buckets rows per task.
     """
+    if not buckets:
+        return df.sparkSession.createDataFrame([], "feature string, bucket int, cnt bigint")
     placed = df.select(*[b.cast("int").alias(c) for c, b in buckets.items()])
     return (
         placed.unpivot([], list(buckets), "feature", "bucket")
