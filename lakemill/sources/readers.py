@@ -49,16 +49,16 @@ def read_jsonl(spark: SparkSession, paths: str | Sequence[str], schema: StructTy
     return _reader(spark, schema).json(paths if isinstance(paths, str) else list(paths))
 
 
-def split_corrupt(
-    spark: SparkSession, path: str, schema: StructType, file_type: str = "json"
-) -> tuple[DataFrame, DataFrame]:
-    """Row-level quarantine: parsed rows, and the raw text of rows that do not parse."""
+def split_corrupt(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """Row-level quarantine of JSON lines: parsed rows, and the text of the rest."""
     wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    reader = spark.read.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-    df = reader.option("header", True).csv(path) if file_type == "csv" else reader.json(path)
-    good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, F.col("_metadata.file_path").alias("file_path"))
-    return good, bad
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = lines.withColumn("p", F.from_json("value", wide, options))
+    failed = F.col(f"p.{CORRUPT}").isNotNull()
+    return parsed.filter(~failed).select(*[f"p.{f.name}" for f in schema.fields]), parsed.filter(failed).select(
+        "value", "file_path"
+    )
 
 
 def table_name(layer: str, namespace: str, name: str) -> str:
