@@ -6,7 +6,6 @@ from lakemill.checks.files import write_documents
 from lakemill.checks.profiling import CEIL
 from lakemill.checks.registry import job
 from lakemill.operators import events as E
-from lakemill.operators.dedupe import dedupe
 from lakemill.operators.numbering import with_row_index
 from lakemill.session import scratch_path
 from lakemill.sinks.files import with_chunks, write_chunks
@@ -38,7 +37,7 @@ def row_lines(d):
 
 def batch_lines(d):
     """All events in batch messages of up to 500 rows."""
-    return E.to_lines(E.batch_events(with_chunks(d.sql(ONCE), ["event_time", "event_id"], 500), "seed"))
+    return E.to_lines(E.batch_events(with_chunks(d.sql(ONCE), ["event_time", "event_id"], 500, True), "seed"))
 
 
 @job("build_row_event", """SELECT 'row' AS message_type, event_id, 'fare_amount' AS dataset, 'local_path' AS source_type,
@@ -112,7 +111,7 @@ SPARSE = """SELECT CASE WHEN event_type <> 'click' THEN event_id END AS event_id
         FROM (SELECT *, row_number() OVER (ORDER BY event_time, original_id)::int AS n FROM ({SPARSE.format(ONCE)}) s) t""",
 )
 def _(d):
-    indexed = with_row_index(d.sql(SPARSE.format(ONCE)), ["event_time", "original_id"], name="n")
+    indexed = with_row_index(d.sql(SPARSE.format(ONCE)), ["event_time", "original_id"], name="n", unique=True)
     named = E.normalize_rows(indexed, F.lit("day"), "n")
     return named.select("original_id", "event_id", "trip_id", "event_type")
 
@@ -124,7 +123,7 @@ def _(d):
         FROM (SELECT *, row_number() OVER (ORDER BY event_time, original_id)::int AS n FROM ({SPARSE.format(ONCE)}) s) t""",
 )
 def _(d):
-    indexed = with_row_index(d.sql(SPARSE.format(ONCE)), ["event_time", "original_id"], name="source_row_index")
+    indexed = with_row_index(d.sql(SPARSE.format(ONCE)), ["event_time", "original_id"], name="source_row_index", unique=True)
     built = E.with_event_id(indexed, "rows", "source_row_index")
     start = F.regexp_replace("event_id", "^(row-rows-[0-9]{8}-)[0-9a-f]{16}$", "$1")
     return built.select("original_id", start.alias("id_start"), F.lit(16).alias("hash_length"))
@@ -192,7 +191,7 @@ def _(d):
 @job("row_batch_manifest_load", f"SELECT *, row_number() OVER (ORDER BY event_time, event_id) AS source_row_index FROM ({ONCE}) e")
 def _(d):
     path = scratch_path(d.spark, "manifest")
-    write_chunks(state_rows(d.sql(ONCE)), path, "replay", ORDER, 1_000)
+    write_chunks(state_rows(d.sql(ONCE)), path, "replay", ORDER, 1_000, True)
     loaded = load_manifest(d.spark, path, "replay", f"{S.ROW_STATE}, source_row_index bigint")
     return timed(loaded.drop("chunk_index"))
 
@@ -241,7 +240,7 @@ def _(d):
           row_number() OVER (ORDER BY event_time, event_id) AS row_count FROM ({ONCE}) e) p""",
 )
 def _(d):
-    built = E.cumulative_hist(d.sql(ONCE), "fare_amount", ORDER, 100.0)
+    built = E.cumulative_hist(d.sql(ONCE), "fare_amount", ORDER, 100.0, unique=True)
     return built.select("event_id", "snapshot", "row_count", "bucket", "bucket_count")
 
 
@@ -285,7 +284,7 @@ def _(d):
 def _(d):
     bodies = d.sql("""SELECT event_id, CASE event_type WHEN 'click' THEN props WHEN 'view' THEN cast(user_id AS string)
         ELSE concat(event_type, '!') END AS body FROM events""")
-    return E.relay(bodies, ["event_id"])
+    return E.relay(bodies, ["event_id"], unique=True)
 
 
 @job(

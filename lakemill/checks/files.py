@@ -78,7 +78,7 @@ def _(d):
 
 def write_documents(df: DataFrame, path: str, order, size=50_000, wrap=False) -> None:
     """JSON documents of at most ``size`` rows, one per file."""
-    chunked = sink_files.with_chunks(df, order, size)
+    chunked = sink_files.with_chunks(df, order, size, unique=True)
     columns = [c for c in df.columns]
     documents = chunked.groupBy("chunk_index").agg(F.collect_list(F.struct(*columns)).alias("rows"))
     text = F.to_json(F.struct("rows")) if wrap else F.to_json("rows")
@@ -197,7 +197,7 @@ def _(d):
        FROM (SELECT ceil(row_number() OVER (ORDER BY event_id) / 5000.0) AS chunk_index FROM events) c GROUP BY ALL""",
 )
 def _(d):
-    return sink_files.write_chunks(events(d), scratch_path(d.spark, "replay"), "replay", ["event_id"])
+    return sink_files.write_chunks(events(d), scratch_path(d.spark, "replay"), "replay", ["event_id"], unique=True)
 
 
 @job("write_json_snapshot")
@@ -395,6 +395,5 @@ RULES = ((1, "^yellow", "taxi"), (2, "\\.csv$", "tables"), (3, "tripdata", "tran
          WHEN file_name LIKE '%.csv' THEN 'tables' ELSE 'transport' END AS domain FROM files""",
 )
 def _(d):
-    rules = d.spark.createDataFrame(RULES, "priority int, pattern string, domain string")
     untagged = d.sql("SELECT file_name, CASE WHEN topic = 'fr' THEN 'src0' END AS domain FROM files")
-    return listing.assign_domain(untagged, rules)
+    return listing.assign_domain(untagged, RULES)

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+SPREAD = 1024
+
 
 def total_order(df: DataFrame, first: Sequence[Column | str] = ()) -> list[Column]:
     """The given order, then every sortable column, so the survivor is fixed."""
@@ -33,15 +37,18 @@ def not_in(df: DataFrame, known: DataFrame, keys: Mapping[str, str]) -> DataFram
     """Rows whose key is not among ``known``; a key with a NULL part is kept.
 
     ``keys`` maps columns of ``df`` to columns of ``known``. Rows with a NULL
-    part can match nothing, so they skip the shuffle of the join.
+    part can match nothing; they get a spread value in the join key, so they do
+    not all meet in the one task of the NULL key.
     """
-    complete = F.lit(True)
-    for column in keys:
-        complete = complete & F.col(column).isNotNull()
-    seen = known.select(*[F.col(k).alias(f"_known_{c}") for c, k in keys.items()]).distinct()
+    complete = reduce(and_, [F.col(c).isNotNull() for c in keys])
+    parts = [c for c in df.columns if df.schema[c].dataType.typeName() not in ("map", "variant")]
+    spread = F.when(complete, 0).otherwise(1 + F.pmod(F.xxhash64(*parts), F.lit(SPREAD)).cast("int"))
+    seen = known.select(*[F.col(k).alias(f"_known_{c}") for c, k in keys.items()]).dropna().distinct()
+    # Always 0, but computed from the row: a literal would leave the join key.
+    seen = seen.withColumn("_known_spread", F.pmod(F.hash(seen.columns[0]), F.lit(1)))
     condition = [F.col(c) == F.col(f"_known_{c}") for c in keys]
-    joined = df.filter(complete).join(seen, condition, "left_anti")
-    return joined.unionByName(df.filter(~complete))
+    condition.append(F.col("_spread") == F.col("_known_spread"))
+    return df.withColumn("_spread", spread).join(seen, condition, "left_anti").drop("_spread")
 
 
 def top_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:

@@ -248,12 +248,19 @@ def should_calculate(mode: str, outputs_ready: Column, generated_rows: Column |
 
 
 def cumulative_hist(
-    df: DataFrame, value: str, order: Sequence[Column | str], bound: float, bins: int = EVENT_BINS
+    df: DataFrame,
+    value: str,
+    order: Sequence[Column | str],
+    bound: float,
+    bins: int = EVENT_BINS,
+    unique: bool = False,
 ) -> DataFrame:
     """One line per accepted row: how many rows so far, and the new count of the
     bucket it fell into. All other buckets keep their last count."""
     placed = df.withColumn("bucket", ceil_bucket(F.col(value), bound, bins))
-    counted = with_row_index(with_row_index(placed, order, name="row_count"), order, ["bucket"], "bucket_count")
+    counted = with_row_index(
+        with_row_index(placed, order, name="row_count", unique=unique), order, ["bucket"], "bucket_count", unique
+    )
     return counted.withColumn("snapshot", F.concat(F.lit("row_day"), F.col("row_count").cast("string")))
 
 
@@ -304,13 +311,13 @@ def parity_summary(truth: DataFrame, built: DataFrame, key: str) -> DataFrame:
     )
 
 
-def relay(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+def relay(df: DataFrame, order: Sequence[Column | str], unique: bool = False) -> DataFrame:
     """Wrap message bodies with their place in the run.
 
     A JSON object is passed on; any other JSON value becomes ``{message,
     sequence}`` and text that is no JSON ``{raw_body}``.
     """
-    numbered = with_row_index(df, order, name="sequence")
+    numbered = with_row_index(df, order, name="sequence", unique=unique)
     total = df.select(F.count(F.lit(1))).scalar()
     value = F.try_parse_json("body")
     is_object = F.ltrim("body").startswith("{")

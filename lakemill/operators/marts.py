@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakemill.functions.values import flag_count, money_sum, ratio
 from lakemill.operators.quality import with_date
@@ -295,29 +295,36 @@ def login_activity(logins: DataFrame) -> DataFrame:
 # --- reading a mart ---------------------------------------------------------
 
 
-def latest(df: DataFrame, date: str) -> DataFrame:
-    """Rows of the last date, through a scalar subquery in the same plan."""
-    return df.filter(F.col(date) == df.select(F.max(date)).scalar())
-
-
 def latest_totals(df: DataFrame, date: str, columns: Sequence[str]) -> DataFrame:
-    """Sums over the rows of the last date.
+    """Sums over the rows of the last date, always one row.
 
-    A summed distinct count is not a distinct count of the whole, so such
+    The mart is read once: rows are added up per date, and the sums of the
+    greatest date are picked from those few rows. A summed distinct count is not a distinct count of the whole, so such
     columns are named ``sum_…``.
     """
-    sums = [
-        (money_sum(c, 6) if t in ("double", "float") else F.sum(c)).alias(f"sum_{c}" if "distinct" in c else c)
-        for c, t in ((c, dict(df.dtypes)[c]) for c in columns)
-    ]
-    return latest(df, date).agg(*sums)
+    kinds = dict(df.dtypes)
+    name = lambda c: f"sum_{c}" if "distinct" in c else c
+    sums = [(money_sum(c, 6) if kinds[c] in ("double", "float") else F.sum(c)).alias(name(c)) for c in columns]
+    per_date = df.filter(F.col(date).isNotNull()).groupBy(date).agg(*sums)
+    return per_date.agg(*[F.max_by(name(c), date).alias(name(c)) for c in columns])
 
 
 def latest_buckets(df: DataFrame) -> DataFrame:
+    """Amount of each bucket that occurs on the last date.
+
+    Sums per date and bucket shrink to the last date of each bucket, and only
+    those rows, one per bucket, are ranked by date.
+    """
+    amount = money_sum("total_invoice_amount", 6).alias("amount")
+    per_date = df.filter(F.col("invoice_date").isNotNull()).groupBy("invoice_date", "finance_bucket").agg(amount)
+    per_bucket = per_date.groupBy("finance_bucket").agg(
+        F.max("invoice_date").alias("last"), F.max_by("amount", "invoice_date").alias("bucket_amount")
+    )
+    newest = F.rank().over(Window.orderBy(F.desc("last"))) == 1
     return (
-        latest(df, "invoice_date")
-        .groupBy("finance_bucket")
-        .agg(money_sum("total_invoice_amount", 6).alias("bucket_amount"))
+        per_bucket.withColumn("newest", newest)
+        .filter("newest")
+        .select("finance_bucket", "bucket_amount")
         .orderBy(*bucket_order())
     )
 
@@ -345,8 +352,14 @@ def bucket_order() -> list[Column]:
 
 
 def top_departments(beds: DataFrame, n: int = 10) -> DataFrame:
-    """Fullest departments of the last snapshot; the id breaks ties."""
-    return latest(beds, "snapshot_date").orderBy(*department_order()).limit(n)
+    """Fullest departments of the last snapshot; the id breaks ties.
+
+    Rows of the last snapshot sort first, so the first ``n`` rows hold all that
+    are wanted and only they are compared by date.
+    """
+    first = beds.orderBy(F.desc("snapshot_date"), *department_order()).limit(n)
+    last = F.max("snapshot_date").over(Window.partitionBy(F.lit(1)))
+    return first.withColumn("_last", last).filter(F.col("snapshot_date") == F.col("_last")).drop("_last")
 
 
 def top_pathways(pathways: DataFrame, n: int = 8) -> DataFrame:

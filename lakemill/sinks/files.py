@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakemill.operators.numbering import with_row_index
-from lakemill.session import scratch_path
 
 CHUNK_ROWS = 5000
 
@@ -67,9 +66,11 @@ def write_snapshot(df: DataFrame, target: str) -> None:
     _publish_single(document, target, "text", lambda w, path: w.text(path))
 
 
-def with_chunks(df: DataFrame, order: Sequence[Column | str], size: int = CHUNK_ROWS) -> DataFrame:
+def with_chunks(
+    df: DataFrame, order: Sequence[Column | str], size: int = CHUNK_ROWS, unique: bool = False
+) -> DataFrame:
     """Row number over the whole input and the chunk it belongs to, both from 1."""
-    numbered = with_row_index(df, order, name="source_row_index")
+    numbered = with_row_index(df, order, name="source_row_index", unique=unique)
     return numbered.withColumn("chunk_index", F.ceil(F.col("source_row_index") / size).cast("int"))
 
 
@@ -84,16 +85,19 @@ def chunk_manifest(chunked: DataFrame, replay_id: str) -> DataFrame:
 
 
 def write_chunks(
-    df: DataFrame, path: str, replay_id: str, order: Sequence[Column | str], size: int = CHUNK_ROWS
+    df: DataFrame,
+    path: str,
+    replay_id: str,
+    order: Sequence[Column | str],
+    size: int = CHUNK_ROWS,
+    unique: bool = False,
 ) -> DataFrame:
     """Write JSON-lines chunks below ``path/replay_id`` and return the manifest.
 
     The manifest is itself written beside the chunks, one line per chunk.
     """
     spark = df.sparkSession
-    staged = scratch_path(spark, "chunks")
-    with_chunks(df, order, size).write.parquet(staged)
-    chunked = spark.read.parquet(staged)
+    chunked = with_chunks(df, order, size, unique)  # numbers are fixed in a checkpoint
     chunked.write.mode("overwrite").partitionBy("chunk_index").json(f"{path}/{replay_id}")
     chunk_manifest(chunked, replay_id).write.mode("overwrite").json(f"{path}/{replay_id}.manifest")
     return spark.read.schema("chunk_index int, chunk_key string, row_count bigint").json(f"{path}/{replay_id}.manifest")

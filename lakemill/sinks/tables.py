@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -16,13 +18,21 @@ def ensure_table(spark: SparkSession, name: str, schema: StructType | str, path:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{place}")
 
 
-def write_layer(df: DataFrame, name: str, mode: str = "replace", path: str | None = None) -> None:
-    """Replace a whole table with its schema, or append rows to it."""
+def write_layer(
+    df: DataFrame, name: str, mode: str = "replace", path: str | None = None, partition_by: Sequence[str] = ()
+) -> None:
+    """Replace a whole table with its schema, or append rows to it.
+
+    With ``partition_by`` rows are rebalanced on those columns first: a task
+    writes few folders, and a value with many rows is split over several tasks.
+    """
     if mode not in ("replace", "append"):
         raise ValueError(f"unknown mode {mode}")
     if "." in name:
         df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
-    writer = df.write.format("parquet")
+    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write.format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if path:
         writer = writer.option("path", path)
     if mode == "replace":

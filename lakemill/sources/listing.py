@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -157,13 +157,15 @@ def catalog_files(files: DataFrame, existing: DataFrame | None = None, source: s
     return rows if existing is None else not_in(rows, existing, {"dataset_id": "dataset_id"})
 
 
-def assign_domain(files: DataFrame, rules: DataFrame, default: str = "unassigned") -> DataFrame:
+def assign_domain(
+    files: DataFrame, rules: Sequence[tuple[int, str, str]], default: str = "unassigned"
+) -> DataFrame:
     """Give every file without a domain exactly one, by the first matching rule.
 
-    ``rules`` = (priority int, pattern string, domain string), a short list that
-    is compiled into one expression, so no join multiplies the files.
+    ``rules`` are (priority, pattern of the lower-case name, domain). They become
+    one expression, so no join multiplies the files.
     """
     chosen = F.lit(default)
-    for rule in sorted(rules.collect(), key=lambda r: (-r.priority, r.domain), reverse=False):
-        chosen = F.when(F.lower("file_name").rlike(rule.pattern), rule.domain).otherwise(chosen)
+    for _, pattern, domain in sorted(rules, reverse=True):
+        chosen = F.when(F.lower("file_name").rlike(pattern), domain).otherwise(chosen)
     return files.withColumn("domain", F.coalesce("domain", chosen))

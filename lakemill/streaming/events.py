@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -94,12 +95,13 @@ def apply_event(rows: DataFrame, mode: str, path: str, batch_id: int = 0, missin
 def ingest_lines(lines: DataFrame, batch_id: int, path: str) -> DataFrame:
     """One micro-batch: parse, skip known batches, explode, apply new rows."""
     spark = lines.sparkSession
-    messages = parse_envelope(lines, ("batch", "row"))
+    messages = parse_envelope(lines, ("batch", "row")).persist(StorageLevel.MEMORY_AND_DISK)
     seen = read_state(spark, f"{path}/batches", BATCH_STATE, batch_id)
     fresh = new_batches(messages, seen.select("batch_id"))
     applied = apply_batch(explode_batches(fresh), batch_id, f"{path}/rows")
     done = messages.filter((F.col("message_type") == "batch") & (F.length("batch_id") > 0)).select("batch_id").distinct()
     append_state(done, f"{path}/batches", batch_id)
+    messages.unpersist()
     return applied
 
 

@@ -153,7 +153,7 @@ def test_files_are_read_once_per_schema(spark, tmp_path):
 
 
 def test_domain_rules_by_priority(spark):
-    rules = spark.createDataFrame([(2, "a", "second"), (1, "ab", "first")], "priority int, pattern string, domain string")
+    rules = [(2, "a", "second"), (1, "ab", "first")]
     files = spark.createDataFrame([("ab", None), ("a", None), ("zz", None), ("ab", "own")], "file_name string, domain string")
     got = [r.domain for r in listing.assign_domain(files, rules).collect()]
     assert got == ["first", "second", "unassigned", "own"]

@@ -44,3 +44,30 @@ def test_children_of_first_parents(spark):
     child = spark.createDataFrame([(1, 10), (1, 20), (2, 30), (3, 40)], "x int, k int")
     parent = spark.createDataFrame([(20,), (10,), (30,)], "k int")
     assert rows(D.children_of(child, parent, "k", 2).select("k")) == [(10,), (20,)]
+
+
+def test_equal_rows_are_spread(spark):
+    """A third of the rows are copies; numbering must not put them in one task."""
+    from lakemill.operators.numbering import spread
+
+    copies = spark.range(3000).select((F.col("id") % 3 == 0).alias("hot"), "id").select(F.when(~F.col("hot"), F.col("id")).alias("k"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = spread(copies, ["k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert placed.filter("k is null").select("_part").distinct().count() > 1
+    got = with_row_index(copies, ["k"])
+    assert got.agg(F.countDistinct("row_index").alias("n"), F.max("row_index").alias("m")).first() == (3000, 3000)
+
+
+def test_null_keys_are_spread_over_the_join(spark):
+    df = spark.range(4000).select("id", F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"))
+    known = spark.range(0, 4000, 4).select(F.col("id").alias("k"))
+    assert D.not_in(df, known, {"k": "k"}).count() == 3000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = D.not_in(df, known, {"k": "k"})._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "_spread" in plan.split("hashpartitioning", 1)[1].split(")")[0]
