@@ -111,12 +111,10 @@ def _(d):
     return C.union_all([d.sql(PIECES[1]), d.sql(PIECES[2])])
 
 
-@job("union_by_name_strict", "SELECT n_name AS name, n_nationkey AS id FROM nation UNION ALL SELECT r_name, r_regionkey FROM region")
+@job("union_by_name_strict", "SELECT c_name AS name, c_custkey AS id FROM customer UNION ALL SELECT s_name, s_suppkey FROM supplier")
 def _(d):
-    return C.union_all(
-        [d.sql("SELECT n_name AS name, n_nationkey AS id FROM nation"), d.sql("SELECT r_regionkey AS id, r_name AS name FROM region")],
-        strict=True,
-    )
+    customers = d.sql("SELECT c_name AS name, c_custkey AS id FROM customer")
+    return C.union_all([customers, d.sql("SELECT s_suppkey AS id, s_name AS name FROM supplier")], strict=True)
 
 
 PADDED = """SELECT o_orderkey, o_orderpriority, concat('  ', o_orderstatus, ' ') AS padded,

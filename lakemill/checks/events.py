@@ -7,6 +7,7 @@ from lakemill.checks.profiling import CEIL
 from lakemill.checks.registry import job
 from lakemill.operators import events as E
 from lakemill.operators.numbering import with_row_index
+from lakemill.plans.realtime import process_message
 from lakemill.session import scratch_path
 from lakemill.sinks.files import with_chunks, write_chunks
 from lakemill.sources.inbox import inbox_rows, load_manifest
@@ -338,6 +339,26 @@ ub AS (SELECT greatest(10, hi1, coalesce(CASE WHEN t75 - t25 > 0 THEN least(t99,
   AS bound FROM h, t)"""
 
 
+@job(
+    "process_row_batch",
+    f"""WITH {ONCE_BOUND}, {CEIL.split("SELECT bucket, bucket * width")[0].rstrip().rstrip(",")}
+        SELECT 'row' AS mode, (SELECT count(*) FROM vals) AS row_count, any_value(width) AS bin_width,
+          any_value(bound) AS upper_bound, string_agg(coalesce(n, 0)::varchar, ',' ORDER BY bucket) AS counts
+        FROM frame CROSS JOIN w LEFT JOIN counted USING (bucket)""",
+)
+def _(d):
+    """A chunked replay of all events, then its histogram document."""
+    path = scratch_path(d.spark, "replay")
+    write_chunks(state_rows(d.sql(ONCE)), f"{path}/chunks", "r1", ORDER, unique=True)
+    meta = f"named_struct('source_name', 'events.parquet', 'chunk_prefix', '{path}/chunks/r1')"
+    line = d.spark.range(1).select(
+        F.to_json(F.struct(F.lit("row_batch").alias("message_type"), F.lit("r1").alias("event_id"), F.expr(meta).alias("metadata"))).alias("value")
+    )
+    message = E.parse_envelope(line).first()
+    _, document = process_message(d.spark, message, f"{path}/state", relative_error=0.0)
+    return document.select("mode", "row_count", "bin_width", "upper_bound", F.array_join("counts", ",").alias("counts"))
+
+
 @job("incremental_histogram", f"WITH {ONCE_BOUND}, {CEIL}")
 def _(d):
     path = scratch_path(d.spark, "incremental")

@@ -138,10 +138,10 @@ def layer_table(d, name):
     return f"check_{name}.t_{path.rsplit('-', 1)[1]}", path
 
 
-@job("scan_table", "SELECT * FROM nation")
+@job("scan_table", "SELECT * FROM customer")
 def _(d):
     name, path = layer_table(d, "scan")
-    sink_tables.write_layer(d.table("nation"), name, "replace", path)
+    sink_tables.write_layer(d.table("customer"), name, "replace", path)
     database, table = name.split(".")
     layer, namespace = database.split("_")
     return readers.read_table(d.spark, layer, namespace, table)

@@ -111,10 +111,15 @@ GREEN_SILVER_SQL = """
       FROM silver_trips)"""
 
 
-@job("detect_schema_variant")
+@job(
+    "detect_schema_variant",
+    """SELECT CASE store_and_fwd_flag WHEN 'A' THEN 'legacy' WHEN 'N' THEN 'modern' ELSE 'intermediate' END AS variant,
+         count(*) AS n FROM trips GROUP BY ALL""",
+)
 def _(d):
-    rows = [(n, C.detect_variant(d.sql(q).columns)) for n, q in (("a", LEGACY), ("b", MODERN), ("c", INTERMEDIATE))]
-    return d.spark.createDataFrame(rows, "file string, variant string")
+    files = [d.sql(text) for text in (LEGACY, MODERN, INTERMEDIATE)]
+    marked = [f.select(F.lit(C.detect_variant(f.columns)).alias("variant")) for f in files]
+    return C.union_all(marked).groupBy("variant").agg(F.count(F.lit(1)).alias("n"))
 
 
 @job("conform_yellow", YELLOW_SQL)
@@ -290,9 +295,9 @@ def _(d):
     return marked.select("trip_key", "domain", "dataset", F.col("silver_processed_ts").isNotNull().alias("stamped"))
 
 
-@job("reorder_metadata_last", "SELECT n_nationkey, n_name, n_regionkey, 'x' AS _source_schema, 'nation' AS _source_table FROM nation")
+@job("reorder_metadata_last", "SELECT c_custkey, c_name, 'x' AS _source_schema, 'customer' AS _source_table FROM customer")
 def _(d):
-    mixed = d.sql("SELECT 'x' AS _source_schema, n_nationkey, 'nation' AS _source_table, n_name, n_regionkey FROM nation")
+    mixed = d.sql("SELECT 'x' AS _source_schema, c_custkey, 'customer' AS _source_table, c_name FROM customer")
     return metadata_last(mixed)
 
 

@@ -229,3 +229,24 @@ def output_keys(spark: SparkSession, day: str, dataset: str) -> DataFrame:
     return features.select("feature", kinds).withColumn(
         "key", F.concat_ws("/", F.lit(day), F.lit(dataset), "feature", F.concat("kind", F.lit(".png")))
     )
+
+
+def histogram_document(buckets: DataFrame, row_count: int, feature: str, mode: str) -> DataFrame:
+    """One row with edges and counts as arrays, from the buckets of one histogram."""
+    ordered = F.array_sort(F.collect_list(F.struct("bucket", "left_edge", "cnt")))
+    made = buckets.agg(
+        ordered.alias("b"),
+        F.max("bin_width").alias("bin_width"),
+        F.max("upper_bound").alias("upper_bound"),
+        F.max("max_edge").alias("max_edge"),
+    )
+    return made.select(
+        F.lit(feature).alias("feature"),
+        F.lit(mode).alias("mode"),
+        F.lit(row_count).cast("bigint").alias("row_count"),
+        "bin_width",
+        "upper_bound",
+        "max_edge",
+        F.array_append(F.transform("b", lambda x: x["left_edge"]), F.col("max_edge")).alias("bin_edges"),
+        F.transform("b", lambda x: x["cnt"]).alias("counts"),
+    )

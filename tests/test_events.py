@@ -131,3 +131,29 @@ def test_watermark_variant_plans(spark, tmp_path):
     box.mkdir()
     stream = S.event_stream(spark, str(box)).select(F.col("value").alias("event_id"), F.current_timestamp().alias("event_time"))
     assert S.dedupe_stream(stream).isStreaming
+
+
+def test_messages_one_by_one(spark, tmp_path):
+    from lakemill.plans.realtime import process_message
+
+    path = str(tmp_path / "state")
+    spark.createDataFrame(DAYS, ROW).write.parquet(str(tmp_path / "days.parquet"))
+    meta = {"file_event_id": "file-1", "source_path": str(tmp_path / "days.parquet"), "source_name": "days.parquet"}
+    file = E.parse_envelope(lines(spark, {"message_type": "file", "event_id": "file-1", "metadata": meta})).first()
+    summary, truth = process_message(spark, file, path, relative_error=0.0)
+    assert summary.should_calculate and not summary.duplicate
+    again, nothing = process_message(spark, file, path, outputs_ready=True)
+    assert again.duplicate and nothing is None
+    for n, day in enumerate(DAYS, start=1):
+        message = E.parse_envelope(lines(spark, row_message(day))).first()
+        summary, built = process_message(spark, message, path, relative_error=0.0)
+        assert (summary.applied_row_count, summary.total_row_count_after) == (1, n)
+    truth, built = truth.first(), built.first()
+    assert (truth.counts, truth.bin_edges, truth.row_count) == (built.counts, built.bin_edges, built.row_count)
+    repeat, made = process_message(spark, message, path, outputs_ready=True)
+    assert repeat.duplicate and made is None
+    assert process_message(spark, message, path, outputs_ready=False)[1] is not None
+    bare = E.parse_envelope(lines(spark, {"message_type": "row", "event_id": "x", "row": {"fare_amount": "bad"}})).first()
+    assert process_message(spark, bare, path)[0].applied_row_count == 1  # its id is made from the source
+    with pytest.raises(ValueError):
+        process_message(spark, E.parse_envelope(lines(spark, {"message_type": "text"})).first(), path)
