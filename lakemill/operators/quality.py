@@ -77,11 +77,12 @@ def failed_rules(rules: Sequence[Rule]) -> Column:
 
 
 def quarantine(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
-    """Split into rows that pass and rows kept as evidence with their reasons."""
-    marked = df.withColumn("failed_rules", failed_rules(rules))
-    good = marked.filter(F.size("failed_rules") == 0).drop("failed_rules")
-    bad = marked.filter(F.size("failed_rules") > 0)
-    return good, bad
+    """Split into rows that pass and rows kept as evidence with their reasons.
+
+    Plain conditions make the split; names are only worked out for bad rows.
+    """
+    passed = reduce(and_, [r.passes() for r in rules])
+    return apply_rules(df, rules), df.filter(~passed).withColumn("failed_rules", failed_rules(rules))
 
 
 def rule_metrics(

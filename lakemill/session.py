@@ -29,12 +29,14 @@ def build_session(app_name: str = "lakemill", master: str | None = None, **conf:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is set."""
+    """The cluster's checkpoint folder; a temporary one only in local tests."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lakemill-")
-    spark.sparkContext.setCheckpointDir(folder)
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lakemill-"))
     return spark.sparkContext.getCheckpointDir()
 
 
