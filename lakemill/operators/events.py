@@ -183,7 +183,7 @@ def new_events(
     if missing not in ("drop", "keep"):
         raise ValueError(f"unknown choice {missing}")
     known = rows.filter(has_text("event_id"))
-    fresh = not_in(dedupe(known, ["event_id"], order), state, {"event_id": "event_id"})
+    fresh = not_in(dedupe(known, ["event_id"], order), state, {"event_id": "event_id"}, distinct=True)
     return fresh if missing == "drop" else fresh.unionByName(rows.filter(~has_text("event_id")))
 
 
@@ -194,7 +194,7 @@ def new_batches(messages: DataFrame, state: DataFrame, order: Sequence[Column |
     # Rank on ids only: the row arrays stay out of the sort.
     marked = batches.withColumn("_tie", F.xxhash64(F.to_json(F.struct("*"))))
     first = dedupe_light(marked, ["batch_id"], [*order, "_tie"]).drop("_tie")
-    fresh = not_in(first, state, {"batch_id": "batch_id"})
+    fresh = not_in(first, state, {"batch_id": "batch_id"}, distinct=True)
     return fresh.unionByName(messages.filter(~is_batch))
 
 
@@ -211,7 +211,7 @@ def new_files(events: DataFrame, state: DataFrame) -> DataFrame:
         "file_event_id", F.coalesce(first_text(F.col("metadata.file_event_id")), F.col("event_id"))
     )
     first = dedupe_light(files, ["file_event_id"], ["event_id", F.xxhash64(F.to_json("metadata"))])
-    return not_in(first, state, {"file_event_id": "file_event_id"})
+    return not_in(first, state, {"file_event_id": "file_event_id"}, distinct=True)
 
 
 def ingest_summary(incoming: DataFrame, applied: DataFrame, state_rows: int, mode: str, outputs_ready: bool) -> DataFrame:

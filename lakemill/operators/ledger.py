@@ -73,7 +73,7 @@ def plan_requests(sources: DataFrame, registry: Registry, strict: bool = True) -
 def new_requests(requests: DataFrame, ledger: DataFrame) -> DataFrame:
     """First request of each file that has not landed yet."""
     known = ledger.filter(F.col("status") == "landed")
-    return not_in(dedupe(requests, REQUEST_KEY), known, {c: c for c in REQUEST_KEY})
+    return not_in(dedupe(requests, REQUEST_KEY), known, {c: c for c in REQUEST_KEY}, distinct=True)
 
 
 def fill_request(requests: DataFrame, registry: Registry) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakemill.functions.values import flag_count, money_sum, ratio
+from lakemill.operators.dedupe import not_in
 from lakemill.operators.quality import with_date
 
 
@@ -193,9 +194,16 @@ def bed_occupancy(beds: DataFrame, departments: DataFrame, snapshot_date: Column
 
 
 def pathways_with_sheets(pathways: DataFrame, sheets: DataFrame) -> DataFrame:
-    """Every pathway with its sheets; a pathway without any has one NULL row."""
-    own = sheets.select("phacdodieutriid", "phacdodieutri_phieudieutriid", "ngaydieutriphacdo")
-    return pathways.join(own, "phacdodieutriid", "left")
+    """Every pathway with its sheets; a pathway without any has one NULL row.
+
+    An outer join cannot split a pathway that holds a third of the sheets, an
+    inner join can (skew join). So matches are an inner join, and pathways
+    without a match are added by an anti join against the distinct ids.
+    """
+    key, own = "phacdodieutriid", ["phacdodieutri_phieudieutriid", "ngaydieutriphacdo"]
+    matched = sheets.select(key, *own).join(pathways, key).select(*pathways.columns, *own)
+    alone = not_in(pathways, sheets, {key: key})
+    return matched.unionByName(alone, allowMissingColumns=True)
 
 
 def clinical_pathway(pathways: DataFrame, sheets: DataFrame) -> DataFrame:

@@ -154,7 +154,7 @@ def catalog_files(files: DataFrame, existing: DataFrame | None = None, source: s
         "schema_json",
         F.col("length").alias("size"),
     )
-    return rows if existing is None else not_in(rows, existing, {"dataset_id": "dataset_id"})
+    return rows if existing is None else not_in(rows, existing, {"dataset_id": "dataset_id"}, distinct=True)
 
 
 def assign_domain(

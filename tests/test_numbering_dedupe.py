@@ -40,6 +40,18 @@ def test_null_key_parts_match_nothing(spark):
     assert rows(D.not_in(left, known, {"k": "k", "s": "s"})) == sorted([(None, "a"), (2, "b")], key=repr)
 
 
+def test_new_events_reuse_the_partitioning(spark):
+    from lakemill.operators.events import new_events
+
+    df = spark.range(100).select(F.col("id").cast("string").alias("event_id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = new_events(df, df.limit(0))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.split("LeftAnti")[1].count("Exchange hashpartitioning") <= 2  # one per side
+
+
 def test_children_of_first_parents(spark):
     child = spark.createDataFrame([(1, 10), (1, 20), (2, 30), (3, 40)], "x int, k int")
     parent = spark.createDataFrame([(20,), (10,), (30,)], "k int")
