@@ -112,10 +112,9 @@ def bpe(
     """
     if not 0 < overlap <= chunk:
         raise ValueError("the overlap must lie within a chunk")
-    lean = texts(docs, id_col, text_col)
-    id_type = lean.schema["doc_id"].dataType.simpleString()
+    lean, restored = texts(docs, id_col, text_col)
     more = ["ids", "decoded"] if ids else []
-    schema = f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string" + "".join(
+    schema = "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string" + "".join(
         f", {c} binary" for c in more
     )
     columns = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *more]
@@ -169,12 +168,12 @@ def bpe(
     parts = (
         lean.where(F.char_length("text") > chunk)
         .withColumn("row", F.monotonically_increasing_id())
-        .mapInPandas(cut, f"row long, k int, last boolean, doc_id {id_type}, text string")
+        .mapInPandas(cut, "row long, k int, last boolean, doc_id string, text string")
         .repartition("row", "k")
-        .mapInPandas(pre_tokenise, f"row long, k int, last boolean, doc_id {id_type}, text string, starts binary")
+        .mapInPandas(pre_tokenise, "row long, k int, last boolean, doc_id string, text string, starts binary")
     )
     long = parts.repartition("row").sortWithinPartitions("row", "k").mapInPandas(stitch, schema)
-    return short.unionByName(long)
+    return restored(short.unionByName(long))
 
 
 def decoder(ranks_path: str, pattern: str) -> Callable[[bytes], bytes]:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakemill.session import checkpoint_dir, scratch_path
@@ -15,11 +18,24 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> DataFrame:
-    """The columns an operator reads; other columns, whatever their names, are left out. Null text is empty."""
-    return docs.select(
-        column(id_col).alias("doc_id"), F.coalesce(column(text_col).cast("string"), F.lit("")).alias("text"), *more
+def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: Column):
+    """(doc_id, text) for a Python operator, and what gives its result the type of the ids again.
+
+    Other columns, whatever their names, are left out. Null text is empty. The
+    id is a string on the way: pandas would turn whole numbers beside nulls into floats.
+    """
+    kind = docs.schema[id_col].dataType
+    lean = docs.select(
+        column(id_col).cast("string").alias("doc_id"), F.coalesce(column(text_col).cast("string"), F.lit("")).alias("text"), *more
     )
+    return lean, lambda out: out.withColumn("doc_id", F.col("doc_id").cast(kind))
+
+
+def slices(batches: Iterator[pd.DataFrame], rows: int = 500) -> Iterator[pd.DataFrame]:
+    """Smaller batches, where an operator's results are as large as its texts."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.iloc[at : at + rows]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

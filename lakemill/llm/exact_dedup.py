@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakemill.llm.common import SPACES, kept, texts, with_rows
+from lakemill.llm.common import SPACES, column, kept, with_rows
 
 #: What must agree for two texts to be one.
 KEY = ("digest", "size", "check")
@@ -26,7 +26,10 @@ KEY = ("digest", "size", "check")
 def digest_runs(docs: DataFrame, id_col: str, text_col: str, row: Column) -> DataFrame:
     """(doc_id, row, run, n_chars, digest, size, check) of every document."""
     bare = F.regexp_replace("text", SPACES, "")
-    lean = texts(docs, id_col, text_col, row.alias("row"), F.spark_partition_id().alias("run"))
+    text = F.coalesce(column(text_col).cast("string"), F.lit(""))
+    lean = docs.select(
+        column(id_col).alias("doc_id"), text.alias("text"), row.alias("row"), F.spark_partition_id().alias("run")
+    )
     return lean.select("doc_id", "row", "run", F.char_length("text").alias("n_chars"), bare.alias("bare")).select(
         "doc_id", "row", "run", "n_chars", F.unhex(F.sha2("bare", 256)).alias("digest"),
         F.octet_length("bare").alias("size"), F.xxhash64("bare").alias("check"),

@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakemill.llm.common import part_bases, texts
+from lakemill.llm.common import column, part_bases
 from lakemill.llm.packing import width
 from lakemill.llm.tokens import encoder
 from lakemill.session import scratch_path
@@ -169,12 +169,16 @@ def write_ids(
     other by number of tokens, then by ids. A null or empty text is its end id
     alone. An empty table writes no blocks.
     """
-    lean = texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+    name = column(id_col).cast("long")
+    lean = docs.select(
+        F.coalesce(name, F.lit(0)).alias("doc_id"), name.isNotNull().alias("known"),
+        F.coalesce(column(text_col).cast("string"), F.lit("")).alias("text"),
+    )
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = parts or 4 * tasks
     quantiles = [i / parts for i in range(1, parts)]
-    cuts = lean.agg(F.percentile_approx("doc_id", quantiles, 20 * parts)).first()[0] if quantiles else None
+    cuts = lean.where("known").agg(F.percentile_approx("doc_id", quantiles, 20 * parts)).first()[0] if quantiles else None
     cuts = np.unique(np.asarray(cuts or [], dtype="int64"))  # at most one number for each part
     kind, tail = width(vocabulary), np.asarray([end_id], dtype="<u4").tobytes()
 
@@ -182,13 +186,10 @@ def write_ids(
         ids_of = encoder(tokenizer, spaced).encode
         for batch in batches:
             ids = [np.frombuffer(ids_of(t) + tail, dtype="<u4").astype(kind) for t in batch["text"]]
-            known = batch["doc_id"].notna().to_numpy()
-            names = batch["doc_id"].fillna(0).astype("int64").to_numpy()
-            part = np.where(known, np.searchsorted(cuts, names, side="right") + 1, 0)
-            yield pd.DataFrame({
-                "part": part, "doc_id": pd.array(names, dtype="Int64").copy(), "known": known,
-                "n": [len(x) for x in ids], "ids": [x.tobytes() for x in ids],
-            })
+            part = np.where(batch["known"], np.searchsorted(cuts, batch["doc_id"], side="right") + 1, 0)
+            yield batch[["doc_id", "known"]].assign(
+                part=part, n=[len(x) for x in ids], ids=[x.tobytes() for x in ids]
+            )
 
     def to_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, before, names, held, size = None, 0, [], [], 0

@@ -31,7 +31,6 @@ def width(vocabulary: int) -> str:
 def encoded_parts(docs: DataFrame, make: Callable, vocabulary: int, end_id: int) -> DataFrame:
     """(part, before, doc_id, n, ids) for every document; ``make`` gives a worker's text → packed ids."""
     kind, tail = width(vocabulary), np.asarray([end_id], dtype="<u4").tobytes()
-    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, part, before = make(), TaskContext.get().partitionId(), 0
@@ -45,7 +44,7 @@ def encoded_parts(docs: DataFrame, make: Callable, vocabulary: int, end_id: int)
             })
             before += int(counts.sum())
 
-    return docs.mapInPandas(run, f"part int, before long, doc_id {id_type}, n long, ids binary")
+    return docs.mapInPandas(run, "part int, before long, doc_id string, n long, ids binary")
 
 
 def cut(first: int, ids: np.ndarray, window: int) -> Iterator[tuple[int, np.ndarray, int, int]]:
@@ -70,13 +69,10 @@ def pack(
     in the order of the input's partitions; a repeated row or doc_id is packed
     as often as it occurs, a null doc_id stays null. An empty table gives no pieces.
     """
-    tokens = stored(
-        encoded_parts(texts(docs, id_col, text_col), lambda: encoder(tokenizer, spaced).encode, vocabulary, end_id),
-        "packing",
-    )
+    lean, restored = texts(docs, id_col, text_col)
+    tokens = stored(encoded_parts(lean, lambda: encoder(tokenizer, spaced).encode, vocabulary, end_id), "packing")
     bases = part_bases(tokens.groupBy("part").agg(F.sum("n").alias("tokens")), "tokens")
     kind = width(vocabulary)
-    id_type = tokens.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -92,10 +88,12 @@ def pack(
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
     # One row of 12 bytes for each split of the input: that bounds the broadcast.
     placed = tokens.join(F.broadcast(bases), "part").select("doc_id", (F.col("base") + F.col("before")).alias("first"), "ids")
-    return placed.mapInPandas(
-        run,
-        f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
-        "offset long, ids binary",
+    return restored(
+        placed.mapInPandas(
+            run,
+            "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
+            "offset long, ids binary",
+        )
     )
 
 
