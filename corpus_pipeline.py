@@ -6,21 +6,45 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lakemill.llm.exact_dedup import drop_copies
+from lakemill.llm.minhash import drop_near_copies
 from lakemill.llm.packing import pack
+from lakemill.llm.quality import keep_good
+from lakemill.llm.secret_scan import mask_secrets
 from lakemill.session import scratch_path
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return keep_good(docs)
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return drop_copies(docs)
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return drop_near_copies(docs)
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the texts; every document stays."""
+    return mask_secrets(docs)
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in full sequences."""
     return pack(docs, public_tokenizers.path("word_bpe_49k.json")).drop("ids")
 
 
-STAGES = [("exact dedup", exact_stage), ("packing", packing_stage)]
+STAGES = [
+    ("quality rules", quality_stage),
+    ("exact dedup", exact_stage),
+    ("near dedup", near_stage),
+    ("secret scans", secrets_stage),
+    ("packing", packing_stage),
+]
 #: Packing needs a tokenizer, so SQL can't express the rows; tests hold them against a brute-force version.
 ORACLE_SQL = None
 
