@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from lakemill.session import checkpoint_dir, scratch_path
 
@@ -51,9 +52,37 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def with_rows(docs: DataFrame) -> DataFrame:
-    """``docs`` stored with a row number ``__row`` that every later pass sees alike."""
-    return stored(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+def whole(docs: DataFrame) -> Column:
+    """A row as one struct ``doc``: its columns can't clash with an operator's own, whatever their names."""
+    return F.struct(*[column(c) for c in docs.columns]).alias("doc")
+
+
+def field(name: str) -> Column:
+    return F.col("doc").getField(name)
+
+
+def unique_ids(docs: DataFrame, id_col: str) -> bool:
+    """Whether whole numbers in ``id_col`` tell all rows apart; reads that column alone."""
+    if not isinstance(docs.schema[id_col].dataType, (ByteType, ShortType, IntegerType, LongType)):
+        return False
+    counted = docs.select(column(id_col).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    return counted.where("n > 1 OR id IS NULL").isEmpty()
+
+
+def with_rows(docs: DataFrame, id_col: str) -> DataFrame:
+    """(doc, row): a number for each row that every later pass sees alike.
+
+    That is the id if it is unique. Else rows are numbered and stored: another
+    pass over the same plan may deal its rows differently.
+    """
+    if unique_ids(docs, id_col):
+        return docs.select(whole(docs), column(id_col).cast("long").alias("row"))
+    return stored(docs.select(whole(docs), F.monotonically_increasing_id().alias("row")), "rows")
+
+
+def staying(rows: DataFrame, stay: DataFrame) -> DataFrame:
+    """The rows of ``with_rows`` that are in ``stay``, with their own columns."""
+    return rows.join(stay, "row", "left_semi").select("doc.*")
 
 
 def part_bases(parts: DataFrame, count: str) -> DataFrame:

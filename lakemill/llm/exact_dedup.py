@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakemill.llm.common import SPACES, column, kept, with_rows
+from lakemill.llm.common import SPACES, column, field, kept, staying, with_rows
 
 #: What must agree for two texts to be one.
 KEY = ("digest", "size", "check")
@@ -93,6 +93,6 @@ def exact_dedup(
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without all but one of each group of equal texts; columns stay as they are."""
-    rows = with_rows(docs)
-    stay = exact_dedup(rows, id_col, text_col, "__row").where("kept").select("__row")
-    return rows.join(stay, "__row", "left_semi").select(docs.columns)
+    rows = with_rows(docs, id_col)
+    view = rows.select(field(id_col).alias("doc_id"), field(text_col).alias("text"), "row")
+    return staying(rows, exact_dedup(view, "doc_id", "text", "row").where("kept").select("row"))

@@ -5,8 +5,8 @@ shares the longest path. The text lines of the two are aligned by a longest
 common subsequence, and shared lines, which a site repeats from page to page,
 are deleted. Two things keep articles whole: lines inside a declared article or
 main element are never deleted for being shared (copies and quoted passages
-occur there), and without such an element a partner that shares more than half
-of a page's characters is taken for a copy. Elements that are never article
+occur there), and without such an element a partner that shares over four
+fifths of a page's characters is taken for a copy. Elements that are never article
 text (menus, scripts, forms, …) are left out whether shared or not.
 
 A host may hold a third of all pages. Its pages are dealt to blocks of the
@@ -182,7 +182,7 @@ def article(lines: list[str], standings: list[int], partner: list[str] | None) -
         drop = set(shared_lines(lines, partner))
         usable = [i for i, s in enumerate(standings) if s]
         shared = sum(len(lines[i]) for i in usable if i in drop)
-        if best == 1 and 2 * shared > sum(len(lines[i]) for i in usable):
+        if best == 1 and 5 * shared > 4 * sum(len(lines[i]) for i in usable):
             drop = set()
     return "\n".join(
         line for i, (line, s) in enumerate(zip(lines, standings)) if s and (s == best if best > 1 else i not in drop)

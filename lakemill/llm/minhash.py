@@ -31,13 +31,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lakemill.llm.common import column, kept, slices, stored, with_rows
+from lakemill.llm.common import column, field, kept, slices, staying, stored, with_rows
 
 #: A bucket of so many members is compared in full; larger ones by pivots.
 SMALL = 6
 #: Members that one task compares with a pivot.
 FANOUT = 256
 ROUNDS = 3
+SALTS = 32
 
 
 @dataclass(frozen=True)
@@ -372,27 +373,27 @@ def near_dedup(
     component without any doc_id has a null one. An empty table gives an empty
     result. ``row_col``: a unique long that is stable between passes.
     """
-    lean = docs.select(
-        column(id_col).alias("doc_id"),
-        F.coalesce(column(text_col).cast("string"), F.lit("")).alias("text"),
-        (column(row_col) if row_col else F.monotonically_increasing_id()).alias("row"),
-    )
-    ids = kept(lean.select("row", "doc_id"))
-    texts = lean.select("row", "text")
+    if row_col:
+        lean = docs.select(column(id_col).alias("doc_id"), column(text_col).alias("text"), column(row_col).alias("row"))
+    else:
+        slim = docs.select(column(id_col).alias("doc_id"), column(text_col).alias("text"))
+        lean = with_rows(slim, "doc_id").select("doc.doc_id", "doc.text", "row")
+    texts = lean.select("row", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    ids = lean.select("row", "doc_id")
     sketch = stored(sketched(texts, plan), "sketches")
     classes = kept(classes_of(sketch))
     labels = resolve(sketch, classes, texts, plan)
-    # Rows of one class may be very many: they meet their class by (digest, salt).
-    named = classes.join(labels.withColumnRenamed("row", "class"), "class").select("digest", "n", "comp")
-    salts = 32
-    salted = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    rows = sketch.select("row", "n", "digest", F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int").alias("salt"))
-    placed = rows.join(salted, ["digest", "n", "salt"], "left").select("row", "n", F.coalesce("comp", -F.col("row") - 1).alias("comp"))
-    placed = kept(placed.join(ids, "row"))
+    # Rows of one class may be very many: they meet their class by (digest, salt). Rows without words stand alone.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salt = F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")
+    named = classes.join(labels.withColumnRenamed("row", "class"), "class").select("digest", "n", "comp", salts.alias("salt"))
+    placed = sketch.select("row", "n", "digest", salt.alias("salt")).join(named, ["digest", "n", "salt"], "left")
+    placed = kept(
+        placed.select("row", "n", F.coalesce("comp", "row").alias("comp"), (F.col("n") == 0).alias("alone")).join(ids, "row")
+    )
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("row"))).alias("first")
-    heads = placed.groupBy("comp").agg(first)
-    heads = heads.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    out = placed.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int")).join(heads, ["comp", "salt"])
+    heads = placed.groupBy("comp", "alone").agg(first).select("*", salts.alias("salt"))
+    out = placed.withColumn("salt", salt).join(heads, ["comp", "alone", "salt"])
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("first.doc_id").alias("component_id"),
         (F.col("first.row") == F.col("row")).alias("kept"), *([F.col("row").alias(row_col)] if row_col else []),
@@ -401,6 +402,6 @@ def near_dedup(
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", plan: Plan = Plan()) -> DataFrame:
     """``docs`` with one document of each component; columns stay as they are."""
-    rows = with_rows(docs)
-    stay = near_dedup(rows, id_col, text_col, "__row", plan).where("kept").select("__row")
-    return rows.join(stay, "__row", "left_semi").select(docs.columns)
+    rows = with_rows(docs, id_col)
+    view = rows.select(field(id_col).alias("doc_id"), field(text_col).alias("text"), "row")
+    return staying(rows, near_dedup(view, "doc_id", "text", "row", plan).where("kept").select("row"))

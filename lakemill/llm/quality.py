@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lakemill.llm.common import SPACES, column, kept
+from lakemill.llm.common import SPACES, column, kept, whole
 
 PRECISION = 7
 #: Thresholds go to every task if there are at most so many rows of them (about 5 MB); else they are joined by a shuffle.
@@ -185,7 +185,7 @@ def judged(measured: DataFrame, limits: DataFrame) -> DataFrame:
         joined = measured.join(F.broadcast(right), same, "left")
     else:
         right = right.withColumn("__salt2", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        salted = measured.withColumn("__salt", F.pmod(F.xxhash64(*[column(c) for c in measured.columns if c != "__group"]), F.lit(SALTS)).cast("int"))
+        salted = measured.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
         joined = salted.join(right, same & (F.col("__salt") == F.col("__salt2")), "left").drop("__salt", "__salt2")
     values = metrics("__counts")
     within = [
@@ -241,6 +241,7 @@ def keep_good(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", least_docs: int = 200
 ) -> DataFrame:
     """The rows of ``docs`` that pass; columns stay as they are. Texts are counted twice and moved only if limits are many."""
-    measured = counts(docs.withColumn("__group", grouped(docs, lang_col, source_col)), text_col, "__counts")
+    own = docs.select(whole(docs), column(text_col).alias("__text"), grouped(docs, lang_col, source_col).alias("__group"))
+    measured = counts(own, "__text", "__counts").select("doc", "__group", "__counts")
     limits = limits_of(measured.select("__group", "__counts"), least_docs)
-    return judged(measured, limits).where("__kept").select(*[column(c) for c in docs.columns])
+    return judged(measured, limits).where("__kept").select("doc.*")

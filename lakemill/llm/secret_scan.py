@@ -19,7 +19,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from lakemill.llm.common import column, texts
+from lakemill.llm.common import column, field, texts, whole
 
 # The kinds of the contract, in its order.
 ASSIGN = re.compile(
@@ -197,11 +197,9 @@ def mask_secrets(docs: DataFrame, text_col: str = "text", length_col: str | None
     def run(texts_: pd.Series) -> pd.Series:
         return texts_.map(lambda t: None if t is None else masked(t, mask))
 
-    clean = F.pandas_udf(run, "string")
-    out = docs.withColumn("__clean", clean(column(text_col)))
-    changes = {text_col: F.col("__clean")}
+    rows = docs.select(whole(docs), F.pandas_udf(run, "string")(column(text_col)).alias("clean"))
+    changes = {text_col: F.col("clean").cast(docs.schema[text_col].dataType)}
     if length_col in docs.columns:
-        kind = docs.schema[length_col].dataType
-        same = column(text_col).eqNullSafe(F.col("__clean"))
-        changes[length_col] = F.when(same, column(length_col)).otherwise(F.char_length("__clean").cast(kind))
-    return out.select(*[changes.get(c, column(c)).alias(c) for c in docs.columns])
+        recounted = F.char_length("clean").cast(docs.schema[length_col].dataType)
+        changes[length_col] = F.when(field(text_col).eqNullSafe(F.col("clean")), field(length_col)).otherwise(recounted)
+    return rows.select(*[changes.get(c, field(c)).alias(c) for c in docs.columns])

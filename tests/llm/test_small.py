@@ -1,0 +1,438 @@
+"""Every operator on a small messy table, against brute force."""
+
+import base64
+import collections
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer, models, pre_tokenizers
+
+import corpus_pipeline
+from lakemill.llm import byte_bpe, chat_format, html_text, id_store, minhash, quality, secret_scan, token_counts
+from lakemill.llm.exact_dedup import drop_copies, exact_dedup
+from lakemill.llm.packing import pack, sequences
+from lakemill.llm.tokens import Encoder
+
+SCHEMA = (
+    "doc_id long, text string, lang string, source string, n_chars long, row long, kept string, part string, "
+    "counts string, doc string, __group string, digest string, `dotted.name` string"
+)
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+PROSE = "the quick brown fox jumps over the lazy dog and runs far away from all its many friends in a wood near here"
+
+
+def messy():
+    """Nulls everywhere, empty and long texts, ties, repeated rows, a null id, clashing columns."""
+    long = " ".join(f"word{i % 977}" + ("\n" if i % 50 == 0 else "") for i in range(9000))
+    texts = [
+        (1, PROSE), (2, PROSE + " "), (3, PROSE.replace(" ", "  ")), (4, None), (5, ""), (6, " \t\n"), (7, long),
+        (8, long + " and one more"), (9, "a b"), (10, "A B"), (11, "x" * 40_000), (None, PROSE), (None, "only me, no id " * 4),
+        (2**60, "Ünïcödé ß 日本語 \U0001F600 don't  stop\x0bhere"), (13, PROSE + " again"), (13, PROSE + " again"),
+        (14, "key " + "deadbeef" * 4 + " AKIA" + "Q7" * 9 + ' password="hunter2hunter2x"'), (-5, "tail\n"),
+    ]
+    return [(i, t, None if k % 5 == 4 else "en", None if k % 7 == 6 else "s", None if t is None else len(t), 7, "k", "p", "c", "d", "g", "x", "y") for k, (i, t) in enumerate(texts)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(messy(), SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def rows(df):
+    return [r.asDict() for r in df.collect()]
+
+
+def bag(items):
+    return collections.Counter(items)
+
+
+def test_exact_dedup(docs, nothing):
+    got = rows(exact_dedup(docs, fan_in=2))
+    groups = collections.defaultdict(list)
+    for doc_id, text, *_ in messy():
+        groups[re.sub(r"[\x20\x09-\x0D]", "", text or "")].append((-len(text or ""), doc_id is None, doc_id or 0, doc_id))
+    want = []
+    for body, members in groups.items():
+        keep = min(members)[3]
+        want += [(m[3], keep, len(members), hashlib.sha256(body.encode()).hexdigest()) for m in members]
+    assert bag((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in got) == bag(want)
+    assert sum(r["kept"] for r in got) == len(groups)
+    assert all(r["doc_id"] == r["keep_id"] for r in got if r["kept"])
+    left = drop_copies(docs)
+    assert left.columns == docs.columns and left.count() == len(groups)
+    assert exact_dedup(nothing).count() == 0 and drop_copies(nothing).count() == 0
+
+
+def encoded(name, text, end):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+    tokenizer.encode_special_tokens = True
+    return np.asarray([*tokenizer.encode(text or "", add_special_tokens=False).ids, end], dtype="<u4")
+
+
+def test_packing(docs, nothing):
+    window = 512
+    pieces = pack(docs, public_tokenizers.path("word_bpe_49k.json"), window=window)
+    got = rows(pieces)
+    tokens = [encoded("word_bpe_49k.json", t, 2) for _, t, *_ in messy()]
+    assert sum(r["length"] for r in got) == sum(map(len, tokens))
+    assert bag((r["doc_id"], r["doc_tokens"]) for r in got if r["start"] == 0) == bag((m[0], len(t)) for m, t in zip(messy(), tokens))
+    whole = {(m[0], len(t)): t for m, t in zip(messy(), tokens)}
+    for r in got:
+        ids = whole[r["doc_id"], r["doc_tokens"]][r["start"] : r["start"] + r["length"]]
+        assert r["ids_crc32"] == zlib.crc32(ids.tobytes())
+    ordered = sorted(got, key=lambda r: (r["sequence_id"], r["offset"]))
+    at = 0
+    for r in ordered:
+        assert r["sequence_id"] * window + r["offset"] == at
+        at += r["length"]
+    full = rows(sequences(pieces, window=window))
+    assert len(full) == -(-at // window) and all(len(r["ids"]) == window for r in full)
+    assert pack(nothing, public_tokenizers.path("word_bpe_49k.json")).count() == 0
+
+
+@pytest.mark.parametrize("name,spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_word_cache_keeps_ids(name, spaced):
+    own = Encoder(public_tokenizers.path(name), spaced, generation=4)
+    odd = ["", " ", "a  b", "  a", "a ", "x \n y", "a\n b  c", "don't It's 'S", "é É", "<|endoftext|> z", "ΑΣ ας", "İx", "a\x1cb \x1c c", "日本 語", "one.\nTwo three,four"]
+    for text in [*odd, *(t or "" for _, t, *_ in messy())]:
+        assert own.encode(text) == own.plain(text), text
+
+
+def test_byte_bpe(docs, nothing):
+    ranks_path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    with open(ranks_path, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def digests(text):
+        ids = np.asarray(library.encode_ordinary(text), dtype="<u4").tobytes()
+        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
+
+    # A long single pre-token is slow in the library; the digests of the rest are held against it.
+    got = rows(byte_bpe.bpe(docs.where("doc_id is null or doc_id <> 11"), ranks_path, public_tokenizers.PATTERN, chunk=64, overlap=8, ids=False))
+    want = [(m[0], *digests(m[1] or "")) for m in messy() if m[0] != 11]
+    assert bag((r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in got) == bag(want)
+    assert byte_bpe.bpe(nothing, ranks_path, public_tokenizers.PATTERN).count() == 0
+
+
+def test_chunks_stitch_to_the_same_pre_tokens():
+    import random
+
+    import regex
+
+    pattern = regex.compile(public_tokenizers.PATTERN)
+    draw = random.Random(7)
+    for _ in range(400):
+        text = "".join(draw.choice(["a", "'re", "'", "r", "e", " ", "  ", "\n", "1", "!", "é", "'ll"]) for _ in range(draw.randint(1, 90)))
+        stitcher, pieces = byte_bpe.Stitcher(pattern), []
+        for k, last, part in byte_bpe.chunks(text, 12, 6):
+            starts = byte_bpe.starts_of(pattern.findall(part))
+            starts = starts if last else starts[starts <= len(part) - byte_bpe.LOOSE]
+            pieces += stitcher.add(k * 12, part, starts + k * 12)
+        assert pieces + stitcher.rest() == pattern.findall(text), text
+
+
+def test_token_counts(docs, nothing):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    vocabulary = token_counts.vocabulary_of(path)
+    for fallback in (True, False):
+        library = Tokenizer(models.Unigram(vocabulary, unk_id=0, byte_fallback=fallback))
+        library.pre_tokenizer = pre_tokenizers.Metaspace()
+        count = lambda t: len(library.encode(t or "", add_special_tokens=False).ids)
+        got = rows(token_counts.token_counts(docs, path, byte_fallback=fallback))
+        assert bag((r["doc_id"], r["n_tokens"]) for r in got) == bag((m[0], count(m[1])) for m in messy())
+    assert token_counts.token_counts(nothing, path).count() == 0
+
+
+def test_ties_of_a_unigram_go_to_the_earlier_start():
+    vocabulary = [("<unk>", 0.0), ("a", -1.0), ("b", -1.0), ("ab", -2.0), ("▁", -1.0), ("▁a", -2.0), ("abab", -4.0), ("ba", -2.0)]
+    library = Tokenizer(models.Unigram(vocabulary, unk_id=0, byte_fallback=False))
+    library.pre_tokenizer = pre_tokenizers.Metaspace()
+    own = token_counts.Counter(vocabulary, byte_fallback=False)
+    for text in ("ab", "abab", "ababab", "bab", "b ab abab", "axxb", "xx", "a xx b"):
+        assert own.text(text) == len(library.encode(text, add_special_tokens=False).ids), text
+
+
+def shingle_set(text, size=5):
+    words = WORDS.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
+    if len(words) < size:
+        return frozenset([tuple(words)]) if words else frozenset()
+    return frozenset(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+
+
+def components_of(found):
+    """Component of each (id, text) by comparing all pairs."""
+    sets = [shingle_set(t) for _, t in found]
+    comp = list(range(len(found)))
+    for i in range(len(found)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 75 * len(sets[i] | sets[j]) and comp[i] != comp[j]:
+                comp = [comp[j] if c == comp[i] else c for c in comp]
+    least = {c: min((x for (x, _), d in zip(found, comp) if d == c), key=lambda x: (x is None, x or 0)) for c in comp}
+    return [(x, len(s), least[c]) for (x, _), s, c in zip(found, sets, comp)], len(set(comp))
+
+
+def test_near_dedup_of_messy_rows(docs, nothing):
+    got = rows(minhash.near_dedup(docs))
+    want, groups = components_of([(m[0], m[1]) for m in messy()])
+    assert bag((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == bag(want)
+    assert sum(r["kept"] for r in got) == groups
+    left = minhash.drop_near_copies(docs)
+    assert left.columns == docs.columns and left.count() == groups
+    assert minhash.near_dedup(nothing).count() == 0
+
+
+def test_near_dedup_of_chains_passages_and_groups(spark):
+    import random
+
+    draw = random.Random(3)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(5))
+    found = []
+    passage = [word() for _ in range(60)]
+    for i in range(40):  # many texts that share a passage and are no copies
+        found.append(" ".join([*passage, *(word() for _ in range(70))]))
+    base = [word() for _ in range(90)]
+    for i in range(40):  # a group of edited copies, some far from each other
+        copy = list(base)
+        for _ in range(draw.randint(0, 4)):
+            copy[draw.randrange(len(copy))] = word()
+        found.append(" ".join(copy))
+    chain = [word() for _ in range(80)]
+    for i in range(12):  # each link is close, the ends are not
+        found.append(" ".join(chain))
+        chain = chain[3:] + [word() for _ in range(3)]
+    numbered = list(enumerate(found))
+    draw.shuffle(numbered)
+    got = rows(minhash.near_dedup(spark.createDataFrame(numbered, "doc_id long, text string").repartition(4)))
+    want, _ = components_of(numbered)
+    assert bag((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == bag(want)
+
+
+def test_id_files(docs, nothing, tmp_path):
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    got = rows(id_store.id_store(docs, vocabulary, parts=5, block_tokens=700))
+    order = sorted(messy(), key=lambda m: (m[0] is not None, m[0] or 0))
+    at = 0
+    tokens = collections.defaultdict(list)
+    for m in order:
+        ids = encoded("byte_bpe_50k.json", m[1], 0)
+        tokens[m[0]].append((len(ids), zlib.crc32(ids.tobytes())))
+    got.sort(key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [m[0] for m in order]
+    for r in got:
+        assert r["start"] == at and (r["n_tokens"], r["ids_crc32"]) in tokens[r["doc_id"]]
+        assert zlib.crc32(r["ids"]) == r["ids_crc32"]
+        at += r["n_tokens"]
+    id_store.write_ids(docs.coalesce(1), str(tmp_path / "one"), vocabulary, parts=1)
+    files = sorted((tmp_path / "one").glob("part-*"))
+    by_position = [ids for f in files for ids in map(id_store.reader(str(f)), range(sum(b.n for b in id_store.blocks(f.read_bytes()))))]
+    assert bag(zlib.crc32(x.astype("<u4")) for x in by_position) == bag(r["ids_crc32"] for r in got)
+    assert id_store.id_store(nothing, vocabulary).count() == 0
+
+
+def test_elias_fano():
+    draw = np.random.default_rng(5)
+    for values in ([], [0], [5], [0, 0, 0], [2**62], *(np.sort(draw.integers(0, 10**k, 777)) for k in (1, 4, 9, 15))):
+        values = np.asarray(values, dtype="uint64")
+        built = id_store.EliasFano.build(values)
+        read = id_store.EliasFano.from_bytes(built.to_bytes(), len(values), built.low_bits)
+        assert read.all().tolist() == values.tolist()
+        assert [read[i] for i in range(len(values))] == values.tolist()
+
+
+def brute_counts(text):
+    words = WORDS.findall(text or "")
+    windows = collections.Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    covered = {j for i in range(len(words) - 7) if windows[tuple(words[i : i + 8])] > 1 for j in range(i, i + 8)}
+    lines = [x for x in (text or "").split("\n") if WORDS.search(x)]
+    symbols = sum((text or "").count(c) for c in "#*$%&|<>")
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered)
+
+
+def test_quality_counts(docs, nothing):
+    got = rows(quality.quality(docs))
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    want = []
+    for doc_id, text, *_ in messy():
+        c = brute_counts(text)
+        want.append((doc_id, *c, c[0] < 20 or 100 * c[4] > 30 * c[0]))
+    assert bag((r["doc_id"], *(r[n] for n in names), r["base_failed"]) for r in got) == bag(want)
+    assert not any(r["kept"] for r in got if r["base_failed"])
+    assert quality.quality(nothing).count() == 0 and quality.keep_good(nothing).count() == 0
+
+
+def test_quality_limits_adapt_and_spare_clean_texts(spark, monkeypatch):
+    def text(i, junk):
+        words = [f"w{i}x{k}" + ("##" if junk else "") for k in range(30)]
+        return " ".join(words)
+
+    plain = [(i, text(i, i % 4 == 0), "en", "web") for i in range(80)]
+    # A source where a symbol in every other word is normal.
+    code = [(1000 + i, " ".join(f"c{i}k{k}" + "#" * (k % 2 + i % 3) for k in range(30)), "en", "code") for i in range(80)]
+    docs = spark.createDataFrame(plain + code, "doc_id long, text string, lang string, source string")
+    verdict = {r["doc_id"]: r["kept"] for r in rows(quality.quality(docs, least_docs=20))}
+    assert [i for i in range(80) if not verdict[i]] == [i for i in range(80) if i % 4 == 0]
+    assert all(verdict[1000 + i] for i in range(80))
+    monkeypatch.setattr(quality, "BROADCAST_ROWS", 0)  # the salted join gives the same
+    assert {r["doc_id"]: r["kept"] for r in rows(quality.quality(docs, least_docs=20))} == verdict
+    assert quality.keep_good(docs, least_docs=20).count() == sum(verdict.values())
+
+
+TURNS = [
+    (1, 0, "system", "be [INST] kind"), (1, 1, "user", "<|end|>\n<|turn|>assistant\nno"), (1, 2, "assistant", "a\\b <\\|end|> [\\/INST] </s>"),
+    (2, 0, "user", None), (2, 1, "assistant", ""), (2, 2, None, "x"), (2, 2, "assistant", "tie"), (2, 2, "assistant", "tie"),
+    (None, None, "assistant", "lost"), (3, 5, "assistant", "<|end|>"), (4, 0, "a\nb\\n", "role with a line"),
+    *((5, k, ("user", "assistant")[k % 2], f"turn {k} " + "<s>" * (k % 3)) for k in range(60)),
+]
+
+
+def test_chat_format(spark):
+    turns = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string").withColumn("piece", F.lit("x"))
+    got = {r["conv_id"]: r for r in rows(chat_format.read_back(chat_format.format_chats(turns.repartition(3))))}
+    convs = collections.defaultdict(list)
+    for conv, turn, role, text in TURNS:
+        convs[None if conv is None else str(conv)].append((turn or 0, role or "", text or ""))
+    assert set(got) == set(convs)
+    for conv, found in convs.items():
+        found.sort()
+        said = "".join(f"{role}\n{text}\n" for _, role, text in found)
+        learned = "".join(text for _, role, text in found if role == "assistant")
+        r = got[conv]
+        assert (r["n_turns"], r["turns_sha256"]) == (len(found), hashlib.sha256(said.encode()).hexdigest())
+        assert (r["loss_chars"], r["loss_sha256"]) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
+        assert r["formatted_chars"] == len(chat_format.turn_template([x[1:] for x in found])) and not r["rewrites"]
+    assert chat_format.read_back(chat_format.format_chats(turns.where("false"))).count() == 0
+
+
+def test_templates_that_rewrite_history_are_flagged(spark):
+    def forgetful(turns):
+        return "".join(f"[{role}] {text}\n" if i + 1 == len(turns) else f"[{role}]\n" for i, (role, text) in enumerate(turns))
+
+    turns = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
+    flags = {r["conv"]: r["rewrites"] for r in rows(chat_format.format_chats(turns, forgetful)) if r["position"] == 1}
+    assert flags == {"1": True, "2": True, "5": True}
+
+
+def test_escapes_are_reversible():
+    import random
+
+    draw = random.Random(1)
+    bits = ["<", "[", "\\", "|end|>", "|turn|>", "s>", "/s>", "INST]", "/INST]", "a", "\n"]
+    for _ in range(3000):
+        text = "".join(draw.choice(bits) for _ in range(draw.randint(0, 12)))
+        hidden = chat_format.escape(text)
+        assert chat_format.unescape(hidden) == text
+        assert not any(c in hidden for c in chat_format.CONTROLS)
+        assert chat_format.unescape_role(chat_format.escape_role(text)) == text
+
+
+def test_html(spark):
+    menu = '<div id="top"><div>Home page</div><div>All news</div></div>'
+    page = lambda body: f"<html><head><title>t</title><script>var a='</p>';</script></head><body>{menu}{body}<div>Imprint</div></body></html>"
+    pages = [
+        (1, "http://h.example/a/1", page("<p>First &amp; only</p><p>text  of\none</p>"), "First & only\ntext of one"),
+        (2, "http://h.example/a/2?x=1", page("<p>Second</p><p>another text</p>"), "Second\nanother text"),
+        (3, "http://h.example/b/3", page("<article><h1>T</h1><nav>n</nav><p>Home page</p><form>f</form></article><div class='site-comments'>bad</div>"), "T\nHome page"),
+        (4, "http://lone.example/", "<p>alone<br>here</p><footer>f</footer><aside>x</aside><div class=ad>buy</div>", "alone here"),
+        (5, None, None, ""), (6, "http://x.example/", "", ""), (None, "http://x.example/", "<p>cut <b>off &am", "cut off &am"),
+        (7, "http://copy.example/p", page("<p>same story on both pages, word for word and longer than the menu</p>"), None),
+        (7, "http://copy.example/p", page("<p>same story on both pages, word for word and longer than the menu</p>"), None),
+        (8, "http://y.example/", "<nav>never closed<article><p>kept</p></article>", "kept"),
+        (9, "http://z.example/", "a < b <!-- c --> and <i>d</i>", "a < b and d"),
+    ]
+    frame = spark.createDataFrame([(a, b, c, "k", 1) for a, b, c, _ in pages], "page_id long, url string, html string, key string, block int")
+    for blocks in (2, 40):
+        got = rows(html_text.extract(frame, blocks=blocks))
+        assert len(got) == len(pages) and all(r["n_chars"] == len(r["text"]) for r in got)
+        seen = {(r["page_id"], r["url"]): r["text"] for r in got}
+        for page_id, url, _, want in pages:
+            if want is not None:
+                assert seen[page_id, url] == want, (page_id, seen[page_id, url])
+            else:
+                assert "same story" in seen[page_id, url]
+    assert html_text.extract(frame.where("false")).count() == 0
+
+
+def test_shared_lines_are_a_longest_common_subsequence():
+    import random
+
+    def length(a, b):
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        return best[-1][-1]
+
+    draw = random.Random(2)
+    for _ in range(500):
+        a, b = ([draw.choice("abcd") for _ in range(draw.randint(0, 14))] for _ in range(2))
+        places = html_text.shared_lines(a, b)
+        rest = iter(b)
+        assert len(places) == length(a, b) and all(any(y == a[i] for y in rest) for i in places)
+
+
+def test_secrets(docs, nothing):
+    got = {r["doc_id"]: r for r in rows(secret_scan.secrets(docs))}
+    text = dict((m[0], m[1]) for m in messy())[14]
+    spans = [("hex", "deadbeef" * 4), ("access", "AKIA" + "Q7" * 9), ("assign", 'password="hunter2hunter2x')]
+    places = sorted((text.index(s), k, text.index(s) + len(s)) for k, s in spans)
+    listed = ",".join(f"{k}:{a}:{b}" for a, k, b in places)
+    assert got[14]["spans"] == listed and got[14]["base_sha256"] == hashlib.sha256(listed.encode()).hexdigest()
+    assert (got[14]["n_assign"], got[14]["n_access"], got[14]["n_hex"]) == (1, 1, 1)
+    assert got[4]["spans"] == "" and got[1]["spans"] == ""
+    clean = secret_scan.mask_secrets(docs)
+    assert clean.columns == docs.columns and clean.count() == len(messy())
+    found = {r["doc_id"]: r for r in rows(clean)}
+    assert found[14]["text"] == 'key [secret] [secret] [secret]"' and found[14]["n_chars"] == len(found[14]["text"])
+    assert found[1]["text"] == PROSE and found[4]["text"] is None
+    assert secret_scan.secrets(nothing).count() == 0 and secret_scan.mask_secrets(nothing).count() == 0
+
+
+def test_base_patterns_drop_matches_and_go_on():
+    kinds = lambda t: [secret_scan.KINDS[k] for _, k, _ in secret_scan.base_spans(t)]
+    assert kinds("password=token:abcdefghijklmnop") == []  # the failing match has used up the word
+    assert kinds("API_KEY : 'abcdefghijkl'") == ["assign"]
+    assert kinds("ſecret=abcdefghijklm") == []  # only ASCII letters fold
+    assert kinds("AKIA1234567890123 AKIA12345678901234") == ["access"]
+    assert kinds("0123456789abcde 0123456789abcdef") == ["hex"]
+
+
+def test_entropy_windows_equal_their_definition():
+    import math
+    import random
+
+    draw = random.Random(4)
+    run = "".join(draw.choice("abcdefgh0123") for _ in range(200))
+    for start, bits, kinds in secret_scan.windows(run, 20):
+        part = collections.Counter(run[start : start + 20])
+        assert math.isclose(bits, -sum(n / 20 * math.log2(n / 20) for n in part.values()), abs_tol=1e-9)
+        assert kinds["d"] == sum(c.isdigit() for c in run[start : start + 20])
+    key = "x9Kq2LmZ8vB3nR7tY5wP1cD4"
+    assert secret_scan.entropy_spans(f"use {key} now") == [(4, 4 + len(key))]
+    assert secret_scan.entropy_spans("see 123e4567-e89b-12d3-a456-426614174000 and averylongwordwithoutanydigitinit") == []
+    assert secret_scan.entropy_spans(f"example{key}") == []
+
+
+def test_pipeline_on_messy_rows(docs, spark, tmp_path):
+    rows_in = [(100 + i, f"{PROSE} number {' '.join(f'n{i}w{k}' for k in range(40))}", "en", "s", 1) for i in range(30)]
+    rows_in += [(200, rows_in[0][1], "en", "s", 1), (201, rows_in[1][1] + " tail", "en", "s", 1), (202, None, None, None, None)]
+    rows_in += [(203, " ".join(f"s{k} and some more words with token=abcdefghijklmnop{k}" for k in range(30)), "en", "s", 1), (204, "spam " * 50, "en", "s", 5)]
+    spark.createDataFrame(rows_in, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    got = rows(corpus_pipeline.run(spark, str(tmp_path)))
+    left = {r["doc_id"] for r in got}
+    assert left == {*range(100, 130), 203}
+    clean = " ".join(f"s{k} and some more words with [secret]" for k in range(30))
+    ids = encoded("word_bpe_49k.json", clean, 2)
+    assert {r["doc_tokens"] for r in got if r["doc_id"] == 203} == {len(ids)}
