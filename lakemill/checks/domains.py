@@ -105,10 +105,10 @@ def _(d):
 
 @job(
     "union_by_name_missing",
-    "SELECT l_orderkey, l_quantity, CASE WHEN l_returnflag = 'N' THEN l_tax + 0e0 END AS l_tax FROM lineitem WHERE l_returnflag <> 'A'",
+    "SELECT l_orderkey, l_quantity, CASE WHEN l_returnflag <> 'R' THEN l_tax + 0e0 END AS l_tax FROM lineitem",
 )
 def _(d):
-    return C.union_all([d.sql(PIECES[1]), d.sql(PIECES[2])])
+    return C.union_all([d.sql(PIECES[1].replace("= 'N'", "<> 'R'")), d.sql(PIECES[2])])
 
 
 @job("union_by_name_strict", "SELECT c_name AS name, c_custkey AS id FROM customer UNION ALL SELECT s_name, s_suppkey FROM supplier")

@@ -29,7 +29,8 @@ def state_rows(df):
 
 
 def timed(df):
-    return df.withColumn("event_time", F.col("event_time").try_cast("timestamp_ntz"))
+    """Rows with their times as such; these inputs have no unlisted fields."""
+    return df.drop("extra").withColumn("event_time", F.col("event_time").try_cast("timestamp_ntz"))
 
 
 def row_lines(d):

@@ -60,7 +60,7 @@ def _(d):
 
 @job("row_cap")
 def _(d):
-    return sampling.row_cap(sampling.sample_fraction(d.table("lineitem"), 0.5, 42), 100_000)
+    return sampling.row_cap(d.table("lineitem"), 50_000)
 
 
 @job("sorted_values", "SELECT tolls_amount FROM trips WHERE tolls_amount IS NOT NULL ORDER BY tolls_amount")
@@ -321,9 +321,9 @@ def _(d):
 
 
 @job("feature_labels", """SELECT feature, unit, title FROM (VALUES
-      ('fare_amount', 'USD', 'Fare Amount'), ('mta_tax', 'USD', 'Mta Tax'), ('tolls_amount', 'USD', 'Tolls Amount'),
+      ('fare_amount', 'USD', 'Fare Amount'), ('mta_tax', 'USD', 'MTA Tax'), ('tolls_amount', 'USD', 'Toll Charges'),
       ('total_amount', 'USD', 'Total Amount'), ('trip_distance', 'miles', 'Trip Distance'),
-      ('trip_duration_minutes', 'minutes', 'Trip Duration Minutes')) v(feature, unit, title)
+      ('trip_duration_minutes', 'minutes', 'Trip Duration')) v(feature, unit, title)
     WHERE (SELECT count(*) FROM trips) > 0""")
 def _(d):
     from lakemill.functions.labels import feature_title, feature_unit

@@ -114,5 +114,31 @@ def feature_unit(feature: Column) -> Column:
     return F.coalesce(F.try_element_at(known, key), by_name)
 
 
+# Display names that are no mere capitals.
+FEATURE_TITLES = {
+    "trip_duration_minutes": "Trip Duration",
+    "mta_tax": "MTA Tax",
+    "tolls_amount": "Toll Charges",
+    "trip_time_seconds": "Trip Time",
+    "bcf": "Black Car Fund Surcharge",
+}
+DATASET_TITLES = {
+    "yellow_taxi": "Yellow Taxi Trips",
+    "green_taxi": "Green Taxi Trips",
+    "fhv_trip": "For-Hired Vehicle (FHV) Trips",
+    "fhvhv_trip": "High Volume For-Hired Vehicle (FHVHV) Trips",
+}
+
+
+def titled(name: Column, known: dict[str, str]) -> Column:
+    """The display name, else the words of the name in capitals."""
+    titles = F.create_map(*[F.lit(x) for x in chain.from_iterable(known.items())])
+    return F.coalesce(F.try_element_at(titles, name), F.initcap(F.trim(F.translate(name, "_", " "))))
+
+
 def feature_title(feature: Column) -> Column:
-    return F.initcap(F.trim(F.translate(feature, "_", " ")))
+    return titled(feature, FEATURE_TITLES)
+
+
+def dataset_title(dataset: Column) -> Column:
+    return titled(dataset, DATASET_TITLES)

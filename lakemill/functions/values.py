@@ -37,16 +37,20 @@ MICROS = 1_000_000
 def money_sum(column: Column | str, digits: int = 2) -> Column:
     """Sum of a double column with an answer that does not depend on row order.
 
-    Whole units and millionths are added as two integers, so every run and every
-    partitioning gives the same cents at the speed of a plain sum. NaN and
-    infinite values add nothing.
+    Whole units and millionths are added as a decimal and an integer, so every
+    run and every partitioning gives the same cents and no sum overflows.
+    Values that are no 64-bit whole number of units (9e18 and more, infinite,
+    NaN) are added as a plain double sum, which then carries into the total.
     """
     value = typed(column, "double")
-    value = F.when(F.abs(value) < F.lit(9e18), value)
-    whole = F.floor(value)
-    rest = F.rint((value - whole) * MICROS).cast("bigint")
+    plain = F.abs(value) < F.lit(9e18)
+    whole = F.floor(F.when(plain, value))
+    rest = F.rint((F.when(plain, value) - whole) * MICROS).cast("bigint")
     parts = F.sum(rest).cast("decimal(28,0)") / F.lit(MICROS).cast("decimal(7,0)")
-    return F.round(F.sum(whole).cast("decimal(38,6)") + parts, digits).cast("double")
+    units = F.sum(whole.cast("decimal(20,0)")).cast("decimal(38,6)")
+    exact = F.round(units + parts, digits).cast("double")
+    beyond = F.sum(F.when(~plain, value))
+    return F.when(beyond.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + beyond)
 
 
 def flag_count(condition: Column) -> Column:

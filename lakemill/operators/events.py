@@ -19,10 +19,10 @@ METADATA_SCHEMA = (
     "file_extension string, file_event_id string, content_sha256 string, size_bytes bigint, replay_id string, "
     "source_sha256 string, chunk_prefix string, chunk_manifest_key string, chunk_count bigint, total_row_count bigint"
 )
+ROW_FIELDS = tuple(f.split()[0] for f in ROW_SCHEMA.split(", "))
 ENVELOPE_SCHEMA = (
     "message_type string, event_type string, event_id string, event_ts string, dataset string, source_type string, "
-    f"batch_id string, source_file string, published_at string, row struct<{ROW_SCHEMA.replace(' string', ':string')}>, "
-    f"rows array<struct<{ROW_SCHEMA.replace(' string', ':string')}>>, "
+    "batch_id string, source_file string, published_at string, row string, rows array<string>, "
     f"metadata struct<{METADATA_SCHEMA.replace(' string', ':string').replace(' bigint', ':bigint')}>"
 )
 MESSAGE_TYPES = ("file", "row", "row_batch", "batch", "text")
@@ -30,14 +30,33 @@ STREAM_EVENT, BATCH_EVENT = "stream_ingest", "batch_seed"
 DATASET = "fare_amount"
 
 
+def whole_row(text: Column) -> Column:
+    """The known fields of a row and, as JSON in ``extra``, all others; NULL without a row."""
+    row = F.from_json(text, ROW_SCHEMA)
+    others = F.map_filter(F.from_json(text, "map<string,string>"), lambda k, _: ~k.isin(*ROW_FIELDS))
+    extra = F.when(F.size(others) > 0, F.to_json(others)).alias("extra")
+    return F.when(text.isNotNull(), F.struct(*[row[f].alias(f) for f in ROW_FIELDS], extra))
+
+
 def parse_envelope(lines: DataFrame, types: Sequence[str] = MESSAGE_TYPES) -> DataFrame:
     """Messages from JSON lines (column ``value``).
 
-    A line that is no JSON object, or of an unknown type, is left out.
+    A line that is no JSON object, or of an unknown type, is left out. Rows keep
+    fields that are not listed in ``extra``.
     """
     parsed = F.from_json("value", ENVELOPE_SCHEMA, {"mode": "PERMISSIVE"})
     # inline instead of m.*: the type filter would otherwise parse each line again.
-    return lines.select(F.inline(F.array(parsed))).filter(F.col("message_type").isin(*types))
+    found = lines.select(F.inline(F.array(parsed))).filter(F.col("message_type").isin(*types))
+    return found.withColumns({"row": whole_row(F.col("row")), "rows": F.transform("rows", whole_row)})
+
+
+def packed_rows(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows with the known fields, ``keep`` and ``extra``; unlisted columns go into ``extra`` as JSON."""
+    others = [c for c in df.columns if c not in (*ROW_FIELDS, *keep, "extra")]
+    known = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in ROW_FIELDS]
+    own = F.col("extra") if "extra" in df.columns else F.lit(None).cast("string")
+    rest = F.to_json(F.struct(*others)) if others else F.lit(None).cast("string")
+    return df.select(*known, *keep, F.coalesce(own, F.nullif(rest, F.lit("{}"))).alias("extra"))
 
 
 def row_events(rows: DataFrame, source_path: str = "", dataset: str = DATASET) -> DataFrame:
@@ -134,6 +153,7 @@ def explode_batches(messages: DataFrame) -> DataFrame:
         F.col("r.fare_amount").try_cast("double").alias("fare_amount"),
         F.col("r.event_time").alias("event_time"),
         F.col("r.event_type").alias("event_type"),
+        F.col("r.extra").alias("extra"),
     )
 
 
@@ -191,9 +211,14 @@ def new_batches(messages: DataFrame, state: DataFrame, order: Sequence[Column |
     """Batch messages with a new, non-empty batch id; other messages pass."""
     is_batch = F.col("message_type") == "batch"
     batches = messages.filter(is_batch & has_text("batch_id"))
-    # Rank on ids only: the row arrays stay out of the sort.
-    marked = batches.withColumn("_tie", F.xxhash64(F.to_json(F.struct("*"))))
-    first = dedupe_light(marked, ["batch_id"], [*order, "_tie"]).drop("_tie")
+    # The rank is a minimum over ids and marks; the row arrays take part in the join back only.
+    marked = batches.withColumn("_tie", F.xxhash64(F.to_json(F.struct("*")))).withColumn(
+        "_copy", F.monotonically_increasing_id()
+    )
+    columns = [F.col(c) if isinstance(c, str) else c for c in order]
+    rank = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(columns)], F.col("_tie"), F.col("_copy"))
+    chosen = marked.groupBy("batch_id").agg(F.min(rank).alias("_first")).select("batch_id", "_first._tie", "_first._copy")
+    first = marked.join(chosen, ["batch_id", "_tie", "_copy"], "left_semi").drop("_tie", "_copy")
     fresh = not_in(first, state, {"batch_id": "batch_id"}, distinct=True)
     return fresh.unionByName(messages.filter(~is_batch))
 
@@ -258,9 +283,9 @@ def cumulative_hist(
     """One line per accepted row: how many rows so far, and the new count of the
     bucket it fell into. All other buckets keep their last count."""
     placed = df.withColumn("bucket", ceil_bucket(F.col(value), bound, bins))
-    counted = with_row_index(
-        with_row_index(placed, order, name="row_count", unique=unique), order, ["bucket"], "bucket_count", unique
-    )
+    # Places among ties are drawn once: the count within a bucket follows the numbers already given.
+    numbered = with_row_index(placed, order, name="row_count", unique=unique)
+    counted = with_row_index(numbered, ["row_count"], ["bucket"], "bucket_count", unique=True)
     return counted.withColumn("snapshot", F.concat(F.lit("row_day"), F.col("row_count").cast("string")))
 
 

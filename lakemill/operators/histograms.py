@@ -137,7 +137,7 @@ def _fixed_bucket(value: Column, last: int) -> Column:
 
 def fixed_histogram(df: DataFrame, column: str) -> DataFrame:
     """Counts over [0, 2), [2, 4), … up to the largest value, the last closed."""
-    last = fixed_edge(df.agg(F.max(column)).first()[0])
+    last = fixed_edge(df.agg(F.max(F.when(~F.isnan(F.col(column).cast("double")), F.col(column)))).first()[0])
     counts = (
         df.select(_fixed_bucket(F.col(column), last).alias("bucket"))
         .filter(F.col("bucket").isNotNull())
@@ -154,7 +154,7 @@ def compare_histograms(before: DataFrame, after: DataFrame, column: str) -> Data
     tagged = before.select(F.col(column).alias("v"), F.lit(0).alias("side")).unionByName(
         after.select(F.col(column).alias("v"), F.lit(1).alias("side"))
     )
-    tagged = tagged.filter(F.col("v").isNotNull())
+    tagged = tagged.filter(F.col("v").isNotNull() & ~F.isnan(F.col("v").cast("double")))
     totals = tagged.agg(
         F.max("v").alias("top"), F.count_if(F.col("side") == 0).alias("before"), F.count_if(F.col("side") == 1).alias("after")
     ).first()

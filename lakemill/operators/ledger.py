@@ -21,7 +21,6 @@ BRONZE_LEDGER = (
 )
 FILE_TYPES = ("json", "csv", "xml", "parquet")
 REQUEST_EVENT = "raw_ingest_request"
-MESSAGE_LENGTH = 1000
 REQUEST_KEY = ("domain", "topic", "source_name", "source_uri", "file_name")
 # Raw ledger column → bronze ledger column of the same file.
 FILE_KEY = {
@@ -114,7 +113,7 @@ def resolve(requests: DataFrame, registry: Registry) -> DataFrame:
             F.when(known, size).cast("bigint").alias("file_size_bytes"),
             F.current_timestamp().alias("ingest_ts"),
             F.when(known, "landed").otherwise("error").alias("status"),
-            F.when(~known, F.substring(message, 1, MESSAGE_LENGTH)).alias("error_message"),
+            F.when(~known, message).alias("error_message"),
         )
     )
 

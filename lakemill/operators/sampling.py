@@ -25,21 +25,23 @@ def json_bytes(df: DataFrame) -> int:
 
 
 def sample_to_bytes(df: DataFrame, target_bytes: int, seed: int, tries: int = 8) -> DataFrame:
-    """The smallest tried sample whose JSON size reaches the target.
+    """The smallest tried sample whose JSON size reaches the target, else the largest tried.
 
-    One pass measures the whole table, which gives the fraction directly; a
-    sample that falls short is grown a little, up to the whole table.
+    One pass measures the whole table, which gives the fraction directly, with
+    a margin for the spread of a random sample, so the first try nearly always
+    does; one that falls short grows by what it lacks.
     """
     total = json_bytes(df)
     if total <= target_bytes:
         return df
-    fraction = target_bytes / total
+    fraction, sampled = min(1.02 * target_bytes / total, 1.0), df
     for _ in range(tries):
         sampled = sample_fraction(df, fraction, seed)
-        if json_bytes(sampled) >= target_bytes:
-            return sampled
-        fraction = min(fraction * 1.1, 1.0)
-    return df
+        size = json_bytes(sampled)
+        if size >= target_bytes or fraction >= 1.0:
+            break
+        fraction = min(fraction * max(1.05, min(2.0, 1.05 * target_bytes / max(size, 1))), 1.0)
+    return sampled
 
 
 def sorted_values(df: DataFrame, column: str) -> DataFrame:

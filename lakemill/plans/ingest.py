@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from hashlib import sha256
 from itertools import islice
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
-from lakemill.operators.ledger import BRONZE_LEDGER, MESSAGE_LENGTH
+from lakemill.operators.ledger import BRONZE_LEDGER
 from lakemill.sinks.files import copy_file
 from lakemill.sinks.tables import to_bronze
 from lakemill.sources.readers import read_any
@@ -17,24 +18,29 @@ from lakemill.sources.readers import read_any
 LEDGER_BLOCK = 1_000
 
 
-def bronze_key(prefix: str, file_name: str) -> str:
-    """Folder of a file; the extension stays, so a.csv and a.json differ."""
-    return f"{prefix}/{file_name}.parquet"
+def bronze_key(prefix: str, row: Row) -> str:
+    """Folder of a file below its domain, topic and source.
+
+    The extension stays, so a.csv and a.json differ; a hash of the address tells
+    files of one name and source apart.
+    """
+    address = sha256(f"{row.source_uri}\n{row.bucket}\n{row.object_key}".encode()).hexdigest()[:16]
+    return f"{prefix}/{row.domain}/{row.topic}/{row.source_name}/{address}/{row.file_name}.parquet"
 
 
 def ingest_file(spark: SparkSession, row: Row, root: str, bronze_prefix: str, error_prefix: str) -> tuple:
     """Read and write one file; a failure becomes its ledger row."""
     raw = f"{root}/{row.bucket}/{row.object_key}"
-    key = bronze_key(bronze_prefix, row.file_name)
+    key = bronze_key(bronze_prefix, row)
     status, message = "success", None
     try:
         to_bronze(read_any(spark, raw, row.file_type, require_rows=True), f"{root}/bronze/{key}")
     except Exception as error:  # any reader error is a fact about the file
-        status, message = "error", str(error)[:MESSAGE_LENGTH]
+        status, message = "error", str(error)
         try:
-            copy_file(spark, raw, f"{root}/{error_prefix}/{row.domain}/{row.topic}/{row.file_name}")
+            copy_file(spark, raw, f"{root}/{error_prefix}/{bronze_key('', row).strip('/').removesuffix('.parquet')}")
         except Exception as second:
-            message = f"{message} | copy failed: {second}"[:MESSAGE_LENGTH]
+            message = f"{message} | copy failed: {second}"
     return (
         row.job_id, row.domain, row.topic, row.source_name, row.source_uri, row.bucket, row.object_key, "bronze", key,
         row.file_name, row.file_type, "parquet", status, message, datetime.now(timezone.utc),

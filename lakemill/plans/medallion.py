@@ -49,7 +49,7 @@ def silver_trips(family: str, frames: Iterable[DataFrame], domain: str) -> DataF
 
 
 def silver_domain(frames: Iterable[DataFrame], domain: str, topic: str) -> DataFrame:
-    """Silver rows of one topic; rows of other topics are left out."""
+    """Silver rows of one topic; rows that name another one are ``stray_rows``."""
     merged = C.merge_schemas(list(frames))
     if "topic" in merged.columns:
         merged = merged.filter(F.col("topic").isNull() | (F.col("topic") == topic))
@@ -59,6 +59,14 @@ def silver_domain(frames: Iterable[DataFrame], domain: str, topic: str) -> DataF
     return with_lineage(shaped, domain, topic)
 
 
+def stray_rows(frames: Iterable[DataFrame], topic: str) -> DataFrame | None:
+    """Rows of a topic's files that name another topic, as (topic, row); None if the files have no topics."""
+    merged = C.merge_schemas(list(frames))
+    if "topic" not in merged.columns:
+        return None
+    return merged.filter(F.col("topic") != topic).select("topic", F.to_json(F.struct("*")).alias("row"))
+
+
 def write_trip_silver(family: str, frames: Iterable[DataFrame], domain: str) -> str:
     name = table_name("silver", domain, SILVER_TABLES[family])
     write_layer(silver_trips(family, frames, domain), name)
@@ -86,12 +94,20 @@ def write_trip_gold(spark: SparkSession, domain: str) -> list[str]:
 
 
 def write_domain(frames: Mapping[str, Iterable[DataFrame]], domain: Domain) -> list[str]:
-    """Silver and gold table of each topic of a business domain."""
+    """Silver and gold table of each topic of a business domain.
+
+    Rows that name another topic than their files go to a quarantine table.
+    """
     written = []
     for topic, (silver, gold) in domain.topics.items():
         if topic not in frames:
             continue
-        rows = silver_domain(frames[topic], domain.name, topic)
+        parts = list(frames[topic])
+        strays = stray_rows(parts, topic)
+        if strays is not None and not strays.isEmpty():
+            write_layer(strays, table_name("bronze", domain.name, f"{silver}_quarantine"))
+            written.append(table_name("bronze", domain.name, f"{silver}_quarantine"))
+        rows = silver_domain(parts, domain.name, topic)
         write_layer(rows, table_name("silver", domain.name, silver))
         spark = rows.sparkSession
         summary = marts.domain_summary(read_table(spark, "silver", domain.name, silver), domain.name)

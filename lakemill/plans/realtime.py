@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from lakemill.operators.events import ROW_SCHEMA, STREAM_EVENT, normalize_rows
+from lakemill.operators.events import ROW_FIELDS, ROW_SCHEMA, STREAM_EVENT, normalize_rows, packed_rows
 from lakemill.operators.histograms import ceil_histogram, histogram_document
 from lakemill.sources.inbox import load_manifest
 from lakemill.streaming.events import BATCH, ROW_STATE, append_state, apply_batch, read_state
@@ -25,6 +25,12 @@ class Summary:
     applied_row_count: int
     total_row_count_after: int | None
     should_calculate: bool
+    source_path: str | None = None
+
+
+def store_path(path: str) -> str:
+    """An address as Spark's readers know it."""
+    return f"s3a://{path[len('s3://') :]}" if path.startswith("s3://") else path
 
 
 def next_batch(spark: SparkSession, path: str, schema: str) -> int:
@@ -44,7 +50,9 @@ def ingest_file_message(spark: SparkSession, message: Row, path: str, outputs_re
     if not duplicate:
         row = spark.createDataFrame([(file_id, meta.source_path, meta.content_sha256)], FILE_STATE)
         append_state(row, state, next_batch(spark, state, FILE_STATE))
-    return Summary("file", message.event_id, duplicate, 0, None, not duplicate or not outputs_ready)
+    return Summary(
+        "file", message.event_id, duplicate, 0, None, not duplicate or not outputs_ready, store_path(meta.source_path)
+    )
 
 
 def message_rows(spark: SparkSession, message: Row) -> DataFrame:
@@ -52,12 +60,13 @@ def message_rows(spark: SparkSession, message: Row) -> DataFrame:
     meta = message.metadata
     if message.message_type == "row":
         source = (meta.source_name or meta.source_basename if meta else None) or "source"
-        rows = spark.createDataFrame([tuple(message.row or (None,) * 5)], ROW_SCHEMA).withColumn("i", F.lit(1).cast("bigint"))
+        rows = spark.createDataFrame([tuple(message.row or (None,) * 6)], f"{ROW_SCHEMA}, extra string").withColumn("i", F.lit(1).cast("bigint"))
     elif message.message_type == "row_batch":
         source = meta.source_name or "source"
         folder, _, replay = meta.chunk_prefix.rstrip("/").rpartition("/")
-        rows = load_manifest(spark, folder, replay, f"{ROW_SCHEMA}, source_row_index bigint")
-        rows = rows.drop("chunk_index").withColumnRenamed("source_row_index", "i")
+        found = load_manifest(spark, folder, replay).drop("chunk_index").withColumnRenamed("source_row_index", "i")
+        texts = found.withColumns({c: F.col(c).cast("string") for c in ROW_FIELDS if c in found.columns})
+        rows = packed_rows(texts, keep=("i",))
     else:
         raise ValueError(f"Unsupported message_type: {message.message_type}")
     named = normalize_rows(rows, F.lit(source), "i", STREAM_EVENT).drop("i")
@@ -74,10 +83,9 @@ def ingest_row_message(spark: SparkSession, message: Row, path: str, outputs_rea
 
 
 def calculate(spark: SparkSession, summary: Summary, path: str, relative_error: float = 0.02) -> DataFrame:
-    """Histogram document of the state a summary belongs to."""
+    """Histogram document of the file or the state a summary belongs to."""
     if summary.mode == "file":
-        last = read_state(spark, f"{path}/files", FILE_STATE).orderBy(F.desc(BATCH)).first()
-        values = spark.read.parquet(last.source_path).select(F.col(FEATURE).try_cast("double").alias(FEATURE))
+        values = spark.read.parquet(summary.source_path).select(F.col(FEATURE).try_cast("double").alias(FEATURE))
     else:
         values = read_state(spark, f"{path}/rows", ROW_STATE).select(FEATURE)
     values = values.filter(F.col(FEATURE).isNotNull())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -84,7 +85,7 @@ def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 errors.append(None)
             except Exception as error:  # one unreadable file must not stop the job
                 schemas.append(None)
-                errors.append(str(error)[:1000])
+                errors.append(str(error))
         yield batch.assign(schema_json=schemas, read_error=errors)
 
 
@@ -112,16 +113,31 @@ def schema_inventory(files: DataFrame) -> DataFrame:
     )
 
 
-def frames_by_schema(spark: SparkSession, pattern: str) -> list[DataFrame]:
+def unreadable_files(files: DataFrame) -> DataFrame:
+    """(path, read_error) of the listed files without a readable footer, for the ledger."""
+    return file_schemas(files).filter(F.col("schema_json").isNull()).select("path", "read_error")
+
+
+def frames_by_schema(spark: SparkSession, pattern: str, skip_unreadable: bool = False) -> list[DataFrame]:
     """Bronze files of a glob as one frame per distinct schema.
 
     Files are grouped by the schema in their footers first, so ten thousand
-    files of two layouts make two reads, not ten thousand.
+    files of two layouts make two reads, not ten thousand. A file that can't be
+    read stops the run with its error; with ``skip_unreadable`` the caller has
+    recorded such files (``unreadable_files``) and goes on without them.
     """
-    found = file_schemas(list_files(spark, pattern)).filter(F.col("schema_json").isNotNull())
-    groups = found.groupBy("schema_json").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    # Spark keeps the list of input files on the driver in any case.
-    return [spark.read.parquet(*g.paths) for g in groups.orderBy("schema_json").collect()]
+    found = file_schemas(list_files(spark, pattern)).select("schema_json", "path", "read_error")
+    groups: dict[str, list[str]] = {}
+    broken = []
+    # Spark keeps the list of input files on the driver in any case; it comes in sorted blocks.
+    for row in found.orderBy("schema_json", "path").toLocalIterator():
+        if row.schema_json is None:
+            broken.append(f"{row.path}: {row.read_error}")
+        else:
+            groups.setdefault(row.schema_json, []).append(row.path)
+    if broken and not skip_unreadable:
+        raise ValueError(f"{len(broken)} unreadable file(s): " + "; ".join(broken))
+    return [spark.read.parquet(*paths) for paths in groups.values()]
 
 
 def sample_schema(spark: SparkSession, pattern: str, files: int = 2, rows: int = 5) -> DataFrame:
@@ -137,7 +153,7 @@ def sample_schema(spark: SparkSession, pattern: str, files: int = 2, rows: int =
         )
     if not parts:
         return spark.createDataFrame([], "path string, schema_json string, row string")
-    return parts[0] if len(parts) == 1 else parts[0].union(parts[1])
+    return reduce(DataFrame.union, parts)
 
 
 def catalog_files(files: DataFrame, existing: DataFrame | None = None, source: str = "files") -> DataFrame:

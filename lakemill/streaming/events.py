@@ -13,7 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lakemill.operators.events import explode_batches, new_batches, new_events, parse_envelope
+from lakemill.operators.events import explode_batches, new_batches, new_events, packed_rows, parse_envelope
 from lakemill.operators.histograms import ceil_bucket, ceil_frame, ceil_histogram
 from lakemill.operators.profiling import upper_bound
 
@@ -65,8 +65,16 @@ def replace_state(rows: DataFrame, path: str) -> None:
     ).partitionBy(BATCH).parquet(path)
 
 
-ROW_STATE = "event_id string, trip_id string, fare_amount double, event_time string, event_type string"
+ROW_STATE = "event_id string, trip_id string, fare_amount double, event_time string, event_type string, extra string"
 BATCH_STATE = "batch_id string"
+#: Of the message around a row; no part of the row itself.
+ENVELOPE_FIELDS = ("message_type", "batch_id")
+
+
+def state_rows(rows: DataFrame) -> DataFrame:
+    """Rows as the state keeps them, whole."""
+    kinds = [f.split() for f in ROW_STATE.split(", ")]
+    return packed_rows(rows.drop(*ENVELOPE_FIELDS)).select(*[F.col(c).cast(t).alias(c) for c, t in kinds])
 
 
 def apply_batch(rows: DataFrame, batch_id: int, path: str, missing: str = "drop", order=()) -> DataFrame:
@@ -76,16 +84,17 @@ def apply_batch(rows: DataFrame, batch_id: int, path: str, missing: str = "drop"
     """
     spark = rows.sparkSession
     seen = read_state(spark, path, ROW_STATE, batch_id).select("event_id")
-    columns = [c.split()[0] for c in ROW_STATE.split(", ")]
-    append_state(new_events(rows, seen, order, missing).select(*columns), path, batch_id)
+    append_state(state_rows(new_events(rows, seen, order, missing)), path, batch_id)
     return read_state(spark, path, ROW_STATE).filter(F.col(BATCH) == batch_id).drop(BATCH)
 
 
-def apply_event(rows: DataFrame, mode: str, path: str, batch_id: int = 0, missing: str = "drop", order=()) -> DataFrame:
-    """File messages replace their state, row messages add to theirs."""
+def apply_event(rows: DataFrame, mode: str, path: str, batch_id: int, missing: str = "drop", order=()) -> DataFrame:
+    """File messages replace their state, row messages add to theirs.
+
+    A row message given twice under one ``batch_id`` replaces itself.
+    """
     if mode == "file":
-        columns = [c.split()[0] for c in ROW_STATE.split(", ")]
-        replace_state(rows.select(*columns), f"{path}/file")
+        replace_state(state_rows(rows), f"{path}/file")
         return read_state(rows.sparkSession, f"{path}/file", ROW_STATE).drop(BATCH)
     if mode == "row":
         return apply_batch(rows, batch_id, f"{path}/row", missing, order)
@@ -96,12 +105,14 @@ def ingest_lines(lines: DataFrame, batch_id: int, path: str) -> DataFrame:
     """One micro-batch: parse, skip known batches, explode, apply new rows."""
     spark = lines.sparkSession
     messages = parse_envelope(lines, ("batch", "row")).persist(StorageLevel.MEMORY_AND_DISK)
-    seen = read_state(spark, f"{path}/batches", BATCH_STATE, batch_id)
-    fresh = new_batches(messages, seen.select("batch_id"))
-    applied = apply_batch(explode_batches(fresh), batch_id, f"{path}/rows")
-    done = messages.filter((F.col("message_type") == "batch") & (F.length("batch_id") > 0)).select("batch_id").distinct()
-    append_state(done, f"{path}/batches", batch_id)
-    messages.unpersist()
+    try:
+        seen = read_state(spark, f"{path}/batches", BATCH_STATE, batch_id)
+        fresh = new_batches(messages, seen.select("batch_id"))
+        applied = apply_batch(explode_batches(fresh), batch_id, f"{path}/rows")
+        named = (F.col("message_type") == "batch") & (F.length("batch_id") > 0)
+        append_state(messages.filter(named).select("batch_id").distinct(), f"{path}/batches", batch_id)
+    finally:
+        messages.unpersist()
     return applied
 
 
