@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from lakemill.llm.common import texts
+from lakemill.llm.common import slices, texts
 from lakemill.llm.tokens import WordCache, worker_cache
 
 CHUNK, OVERLAP = 16_384, 512
@@ -126,7 +126,7 @@ def bpe(
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = codec(ranks_path, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             yield pd.DataFrame(
                 [result(own, i, own.encode(own.pattern.findall(t))) for i, t in zip(batch["doc_id"], batch["text"])],
                 columns=columns,

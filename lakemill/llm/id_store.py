@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakemill.llm.common import column, part_bases
+from lakemill.llm.common import column, part_bases, slices
 from lakemill.llm.packing import width
 from lakemill.llm.tokens import encoder
 from lakemill.session import scratch_path
@@ -184,7 +184,7 @@ def write_ids(
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids_of = encoder(tokenizer, spaced).encode
-        for batch in batches:
+        for batch in slices(batches):
             ids = [np.frombuffer(ids_of(t) + tail, dtype="<u4").astype(kind) for t in batch["text"]]
             part = np.where(batch["known"], np.searchsorted(cuts, batch["doc_id"], side="right") + 1, 0)
             yield batch[["doc_id", "known"]].assign(

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from lakemill.llm.common import part_bases, stored, texts
+from lakemill.llm.common import part_bases, slices, stored, texts
 from lakemill.llm.tokens import encoder
 
 WINDOW = 4096
@@ -34,7 +34,7 @@ def encoded_parts(docs: DataFrame, make: Callable, vocabulary: int, end_id: int)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, part, before = make(), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in slices(batches):
             ids = [np.frombuffer(encode(t) + tail, dtype="<u4").astype(kind) for t in batch["text"]]
             counts = np.asarray([len(x) for x in ids], dtype="int64")
             ends = before + np.cumsum(counts)
@@ -75,7 +75,7 @@ def pack(
     kind = width(vocabulary)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for doc_id, first, packed in zip(batch["doc_id"], batch["first"], batch["ids"]):
                 ids = np.frombuffer(packed, dtype=kind).astype("<u4")

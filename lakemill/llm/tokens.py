@@ -16,7 +16,7 @@ LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 LATIN_MARK = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|]+)(?:\n([A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?]*))?")
 CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Words kept by each of the two generations of a cache, and the longest word kept.
-GENERATION, LONGEST = 400_000, 64
+GENERATION, LONGEST = 250_000, 64
 
 
 def worker_cache(key: str, make):
