@@ -11,6 +11,7 @@ the spread is the distance from the lower quartile, which junk does not move.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -40,6 +41,11 @@ RULES = (
 )
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once a row, and not once for each element of a lambda that reads it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def repeated_words(words: Column) -> Column:
     """Words inside 8-word windows that occur twice or more in ``words``."""
     size = 8
@@ -55,12 +61,10 @@ def repeated_words(words: Column) -> Column:
             hashes, lambda h, i: F.struct(h.alias("h"), F.hash(F.slice(w, i + 1, size)).alias("g"), i.alias("p"))
         )
         same = lambda a, b: (a["h"] == b["h"]) & (a["g"] == b["g"])
-        twice = F.transform(
-            F.array(F.sort_array(keyed)),
-            lambda s: F.filter(
-                s, lambda x, k: F.coalesce(same(F.get(s, k - 1), x), F.lit(False)) | F.coalesce(same(F.get(s, k + 1), x), F.lit(False))
-            ),
-        )[0]
+        beside = lambda s, x, k: F.coalesce(same(F.get(s, k), x), F.lit(False))
+        twice = bound(
+            F.sort_array(keyed), lambda s: F.filter(s, lambda x, k: beside(s, x, k - 1) | beside(s, x, k + 1))
+        )
         return F.sort_array(F.transform(twice, lambda x: x["p"].cast("bigint")))
 
     def covered(places: Column) -> Column:
@@ -72,13 +76,11 @@ def repeated_words(words: Column) -> Column:
             lambda a: a["n"],
         )
 
-    # An array of one element binds what a lambda reads, so it is computed once a row and not once an element.
-    return F.transform(
-        F.array(F.struct(words.alias("w"), windows(words).alias("h"))),
-        lambda b: F.when(F.size(F.array_distinct(b["h"])) == F.size(b["h"]), F.lit(0).cast("bigint")).otherwise(
-            covered(marked(b["w"], b["h"]))
-        ),
-    )[0]
+    def found(w: Column, h: Column) -> Column:
+        none = F.lit(0).cast("bigint")
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), none).otherwise(covered(marked(w, h)))
+
+    return bound(words, lambda w: bound(windows(w), lambda h: found(w, h)))
 
 
 def counts(docs: DataFrame, text_col: str = "text", into: str = "counts") -> DataFrame:
@@ -99,10 +101,10 @@ def counts(docs: DataFrame, text_col: str = "text", into: str = "counts") -> Dat
         }
         return F.struct(*[c.cast("bigint").alias(n) for n, c in whole.items()])
 
-    raw = F.struct(
-        words.alias("words"), lines.alias("lines"), symbols.alias("symbols"), repeated_words(words).alias("repeats")
-    )
-    return docs.withColumn(into, F.transform(F.array(raw), described)[0])
+    def read(w: Column) -> Column:
+        return F.struct(w.alias("words"), lines.alias("lines"), symbols.alias("symbols"), repeated_words(w).alias("repeats"))
+
+    return docs.withColumn(into, bound(bound(words, read), described))
 
 
 def base_failed(c: str = "counts") -> Column:
