@@ -10,7 +10,8 @@ from itertools import islice
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
-from lakemill.operators.ledger import BRONZE_LEDGER
+from lakemill.config import Registry
+from lakemill.operators.ledger import BRONZE_LEDGER, RAW_LEDGER, resolve
 from lakemill.sinks.files import copy_file
 from lakemill.sinks.tables import to_bronze
 from lakemill.sources.readers import read_any
@@ -28,6 +29,32 @@ def bronze_key(prefix: str, row: Row) -> str:
     return f"{prefix}/{row.domain}/{row.topic}/{row.source_name}/{address}/{row.file_name}.parquet"
 
 
+def land_file(spark: SparkSession, row: Row, root: str) -> tuple:
+    """Copy the bytes of one request to its place; a failure becomes its ledger row."""
+    status, message = row.status, row.error_message
+    if status == "landed":
+        try:
+            copy_file(spark, row.source_uri, f"{root}/{row.bucket}/{row.object_key}")
+        except Exception as error:  # any file system error is a fact about the file
+            status, message = "error", str(error)
+    return (*row[:-2], status, message)
+
+
+def land_requests(
+    spark: SparkSession, requests: DataFrame, registry: Registry, root: str, ledger_path: str, parallel: int = 8
+) -> None:
+    """Land every request whose address a Hadoop file system reads, then note it in the raw ledger.
+
+    A ledger row says ``landed`` only after its bytes are in place; web
+    addresses and other failures are noted as errors and tried again later.
+    """
+    rows = resolve(requests, registry).toLocalIterator()
+    with ThreadPoolExecutor(parallel) as pool:
+        for block in blocks(rows, LEDGER_BLOCK):
+            done = list(pool.map(lambda r: land_file(spark, r, root), block))
+            spark.createDataFrame(done, RAW_LEDGER).write.mode("append").parquet(ledger_path)
+
+
 def ingest_file(spark: SparkSession, row: Row, root: str, bronze_prefix: str, error_prefix: str) -> tuple:
     """Read and write one file; a failure becomes its ledger row."""
     raw = f"{root}/{row.bucket}/{row.object_key}"

@@ -6,12 +6,14 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakemill.config import SILVER_TABLES, Domain
+from lakemill.config import SILVER_TABLES, Domain, SourceConfig
 from lakemill.operators import conform as C
 from lakemill.operators import marts, quality, trips
 from lakemill.operators.enrich import silver_source
 from lakemill.operators.lineage import metadata_last, with_lineage
 from lakemill.sinks.tables import write_layer
+from lakemill.sources.jdbc import load_source
+from lakemill.sources.listing import classify_family, frames_of, list_files
 from lakemill.sources.readers import read_table, run_if_exists, table_name
 
 TRIP_SPECS = {
@@ -93,6 +95,24 @@ def write_trip_gold(spark: SparkSession, domain: str) -> list[str]:
     return written
 
 
+def trips_from_files(spark: SparkSession, bronze: str, domain: str) -> list[str]:
+    """Bronze files below a folder → silver and gold tables of every trip family that has files.
+
+    Families are told apart by the names of the folders that raw files became;
+    files of a family are read once for each schema their footers show.
+    """
+    folder = F.element_at(F.split("path", "/"), -2)
+    files = list_files(spark, bronze).filter(F.col("path").endswith(".parquet"))
+    files = files.withColumn("family", classify_family(folder)).persist()
+    try:
+        here = {r.family for r in files.select("family").distinct().collect()}  # one row a family
+        frames = {f: frames_of(files.filter(F.col("family") == f)) for f in SILVER_TABLES if f in here}
+    finally:
+        files.unpersist()
+    written = [write_trip_silver(family, parts, domain) for family, parts in frames.items()]
+    return written + write_trip_gold(spark, domain)
+
+
 def write_domain(frames: Mapping[str, Iterable[DataFrame]], domain: Domain) -> list[str]:
     """Silver and gold table of each topic of a business domain.
 
@@ -116,6 +136,24 @@ def write_domain(frames: Mapping[str, Iterable[DataFrame]], domain: Domain) -> l
     return written
 
 
+def load_hospital(spark: SparkSession, url: str, sources: Iterable[SourceConfig], namespace: str, **settings) -> list[str]:
+    """Extract the configured tables of a database and build every layer from them.
+
+    ``settings`` go to the JDBC reader; bounds of a source split its read.
+    """
+    raw = {s.name: load_source(spark, url, s, **settings) for s in sources}
+    return write_hospital(spark, raw, namespace)
+
+
+def write_sample_marts(spark: SparkSession, silver: str, namespace: str) -> list[str]:
+    """The daily marts of the encounter extract, from its silver table."""
+    written = []
+    for mart, build in SAMPLE_MARTS.items():
+        write_layer(build(spark.read.table(silver)), table_name("gold", namespace, mart))
+        written.append(table_name("gold", namespace, mart))
+    return written
+
+
 def write_hospital(spark: SparkSession, raw: Mapping[str, DataFrame], namespace: str) -> list[str]:
     """Raw extracts → bronze → silver → the five dashboard marts."""
     for source, df in raw.items():

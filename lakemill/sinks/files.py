@@ -35,9 +35,15 @@ def _publish_single(df: DataFrame, target: str, suffix: str, write) -> None:
         raise RuntimeError(f"expected one {suffix} part file, found {len(parts)}")
     final, _ = _fs(spark, target)
     fs.mkdirs(final.getParent())
-    fs.delete(final, False)
+    # The old file goes only after the new one lies beside it, and comes back if the move fails.
+    old, _ = _fs(spark, f"{target}.old")
+    fs.delete(old, False)
+    replaced = fs.exists(final) and fs.rename(final, old)
     if not fs.rename(parts[0], final):
+        if replaced:
+            fs.rename(old, final)
         raise RuntimeError(f"could not move the part file to {target}")
+    fs.delete(old, False)
     fs.delete(folder, True)
 
 

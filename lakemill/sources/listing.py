@@ -119,14 +119,20 @@ def unreadable_files(files: DataFrame) -> DataFrame:
 
 
 def frames_by_schema(spark: SparkSession, pattern: str, skip_unreadable: bool = False) -> list[DataFrame]:
-    """Bronze files of a glob as one frame per distinct schema.
+    """Bronze files of a glob as one frame per distinct schema."""
+    return frames_of(list_files(spark, pattern), skip_unreadable)
+
+
+def frames_of(files: DataFrame, skip_unreadable: bool = False) -> list[DataFrame]:
+    """Listed Parquet files as one frame per distinct schema.
 
     Files are grouped by the schema in their footers first, so ten thousand
     files of two layouts make two reads, not ten thousand. A file that can't be
     read stops the run with its error; with ``skip_unreadable`` the caller has
     recorded such files (``unreadable_files``) and goes on without them.
     """
-    found = file_schemas(list_files(spark, pattern)).select("schema_json", "path", "read_error")
+    spark = files.sparkSession
+    found = file_schemas(files).select("schema_json", "path", "read_error")
     groups: dict[str, list[str]] = {}
     broken = []
     # Spark keeps the list of input files on the driver in any case; it comes in sorted blocks.

@@ -136,3 +136,54 @@ def test_titles(spark):
     df = spark.createDataFrame([("mta_tax",), ("tolls_amount",), ("fare_amount",)], "f string")
     assert rows(df.select(feature_title(F.col("f")))) == [("Fare Amount",), ("MTA Tax",), ("Toll Charges",)]
     assert df.select(dataset_title(F.lit("fhv_trip"))).first()[0] == "For-Hired Vehicle (FHV) Trips"
+
+
+def test_the_profiling_run_makes_each_chart_once(spark, tmp_path):
+    from lakemill.plans.charts import profile_dataset
+
+    df = spark.range(2000).select((F.col("id") % 50).cast("double").alias("trip_duration_minutes"), F.lit("x").alias("other"))
+    df = df.union(spark.createDataFrame([*[(100.0, "tail")] * 300, (900.0, "far"), (float("nan"), "bad")], df.schema))
+    root = f"{tmp_path}/charts"
+    assert profile_dataset(df, "fhv_trip", root, relative_error=0.0) == ["inrange/trip_duration_minutes", "peak/trip_duration_minutes"]
+    assert profile_dataset(df, "fhv_trip", root) == []
+    chart = spark.read.parquet(f"{root}/latest/fhv_trip/inrange")
+    first = chart.first()
+    assert chart.agg(F.sum("cnt")).first()[0] >= 1990 and first.feature_title == "Trip Duration" and first.raw_max == 900.0
+    assert profile_dataset(df, "fhv_trip", root, overwrite=True) != []
+
+
+def test_requests_land_before_the_ledger_says_so(spark, tmp_path):
+    from lakemill.config import Domain, Registry
+    from lakemill.plans.ingest import land_requests
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("x\n1\n")
+    fields = "job_id string, source_type string, source_uri string, source_name string, domain string, topic string, file_name string, file_type string"
+    asked = [("j", "file", f"file://{tmp_path}/in/{n}", "s", d, "t", n, "csv") for n, d in (("a.csv", "d"), ("gone.csv", "d"), ("b.csv", "none"))]
+    land_requests(spark, spark.createDataFrame(asked, fields), Registry((Domain("d"),)), f"file://{tmp_path}/lake", f"{tmp_path}/ledger")
+    done = {r.file_name: r for r in spark.read.parquet(f"{tmp_path}/ledger").collect()}
+    assert {n: r.status for n, r in done.items()} == {"a.csv": "landed", "gone.csv": "error", "b.csv": "error"}
+    assert (tmp_path / "lake" / done["a.csv"].bucket / done["a.csv"].object_key).read_text() == "x\n1\n"
+
+
+def test_trip_files_become_tables(spark, tmp_path):
+    from lakemill.checks import trips as T
+    from lakemill.plans.fixtures import Data
+
+    d = Data(spark, "/root/testdata/sf0.001")
+    d.sql(T.LEGACY).coalesce(1).write.parquet(f"{tmp_path}/yellow_tripdata_2009-01.parquet")
+    d.sql(T.MODERN).coalesce(1).write.parquet(f"{tmp_path}/yellow_tripdata_2024-01.parquet")
+    d.sql(T.FHV).coalesce(1).write.parquet(f"{tmp_path}/fhv_tripdata_2024-01.parquet")
+    written = medallion.trips_from_files(spark, str(tmp_path), "filed")
+    assert {"silver_filed.yellow_taxi", "silver_filed.fhv_trip", "gold_filed.yellow_taxi_tips"} <= set(written)
+    assert spark.read.table("silver_filed.yellow_taxi").count() > 0
+
+
+def test_sample_marts(spark):
+    from lakemill.checks.hospital import encounters
+    from lakemill.plans.fixtures import Data
+
+    d = Data(spark, "/root/testdata/sf0.001")
+    encounters(d).write.mode("overwrite").saveAsTable("encounter_extract")
+    written = medallion.write_sample_marts(spark, "encounter_extract", "extract")
+    assert len(written) == 4 and all(spark.read.table(t).count() for t in written)
