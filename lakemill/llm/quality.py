@@ -160,15 +160,14 @@ def thresholds(values: DataFrame, least_docs: int) -> DataFrame:
         *[c for c in df.columns if c not in names], *[F.col(c).alias(f"{p}_{c}") for c in names]
     )
     groups = fine.select("lang", "source").distinct()
-    everything = fences(merge().withColumn("one", F.lit(1)), ["one"], 1)
+    one = fences(merge().withColumn("one", F.lit(1)), ["one"], 1).first()  # one number for each rule
     by_lang = fences(merge("lang"), ["lang"], least_docs)
     by_group = fences(fine, ["lang", "source"], least_docs)
+    last = {n: F.lit(one[n] if one else None).cast("bigint") for n in names}
     return (
-        groups.withColumn("one", F.lit(1))
-        .join(prefixed(by_group, "own"), ["lang", "source"], "left")
+        groups.join(prefixed(by_group, "own"), ["lang", "source"], "left")
         .join(prefixed(by_lang, "lang"), ["lang"], "left")
-        .join(prefixed(everything, "all"), ["one"], "left")
-        .select("lang", "source", *[F.coalesce(f"own_{n}", f"lang_{n}", f"all_{n}").alias(n) for n in names])
+        .select("lang", "source", *[F.coalesce(f"own_{n}", f"lang_{n}", last[n]).alias(n) for n in names])
     )
 
 
