@@ -16,9 +16,13 @@ before left open, and every link is confirmed on full shingle sets:
 2. all pairs of sketches whose buckets still hold two components or more: small
    buckets in full;
 3. documents of large buckets with several components left (passages that many
-   texts share): an exact prefix filter, rarest shingles first, with pivots for
-   a few rounds and then every pair of different components that shares a
-   prefix shingle and fits in size. Nothing is capped.
+   texts share): an exact prefix filter, rarest shingles first, with pivots once
+   and then every pair of different components that shares a prefix shingle.
+
+Before a pair travels, exact bounds rule out most that can't be similar enough:
+the sizes, the places of the shared prefix shingle, and a bitmap in which every
+shingle flips one bit, as two sets differ in at least the bits that their
+bitmaps differ in. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -31,14 +35,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lakemill.llm.common import column, field, kept, slices, staying, stored, with_rows
+from lakemill.llm.common import column, field, slices, staying, stored, with_rows
 
 #: A bucket of so many members is compared in full; larger ones by pivots.
 SMALL = 6
 #: Members that one task compares with a pivot.
 FANOUT = 256
-ROUNDS = 3
-SALTS = 32
+#: Pieces of a class or component that may hold very many rows; joins split larger ones at run time.
+SALTS = 8
+#: Bits of a set's bitmap.
+BITS = 1024
 
 
 @dataclass(frozen=True)
@@ -51,6 +57,16 @@ class Plan:
     rows: int = 2
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """A step's result as a written table.
+
+    Not checkpoint(): a checkpointed frame keeps the size estimate of its plan,
+    and estimates of joins multiply from round to round until the numbers
+    alone fill the driver.
+    """
+    return stored(df, "near-dedup")
+
+
 # --- shingle sets ---------------------------------------------------------
 
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -128,8 +144,14 @@ def sketches(hashes: np.ndarray, plan: Plan) -> np.ndarray:
     return out
 
 
+def bitmap(hashes: np.ndarray) -> np.ndarray:
+    """``BITS`` bits, each the parity of how many of the shingles fall on it."""
+    falls = np.bincount((hashes >> np.uint64(40)).astype("int64") % BITS, minlength=BITS)
+    return np.packbits((falls & 1).astype("uint8"), bitorder="little").view("int64")
+
+
 def sketched(docs: DataFrame, plan: Plan) -> DataFrame:
-    """(row, n, digest, sketch) of every (row, text)."""
+    """(row, n, digest, sketch, bits) of every (row, text)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in slices(batches):
@@ -137,10 +159,10 @@ def sketched(docs: DataFrame, plan: Plan) -> DataFrame:
             for row, text in zip(batch["row"], batch["text"]):
                 own = shingles(text, plan.words)
                 digest = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
-                out.append((row, len(own), digest, sketches(own, plan).view("int64") if len(own) else []))
-            yield pd.DataFrame(out, columns=["row", "n", "digest", "sketch"])
+                out.append((row, len(own), digest, sketches(own, plan).view("int64") if len(own) else [], bitmap(own)))
+            yield pd.DataFrame(out, columns=["row", "n", "digest", "sketch", "bits"])
 
-    return docs.mapInPandas(run, "row long, n long, digest binary, sketch array<long>")
+    return docs.mapInPandas(run, "row long, n long, digest binary, sketch array<long>, bits array<long>")
 
 
 def shingle_sets(docs: DataFrame, plan: Plan) -> DataFrame:
@@ -158,32 +180,32 @@ def shingle_sets(docs: DataFrame, plan: Plan) -> DataFrame:
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(row, comp): each node with the least row it is linked to, by large and small stars in turn.
+    """(row, comp): each node with the least row it is linked to, by contraction.
 
-    Both stars are a minimum per node and a join back to its edges, so a node
-    with very many links is pre-aggregated and never one list.
+    Each round every node moves to its least neighbour, and on to where that one
+    moves; links between the places they reach are the next round's. The least
+    node of a component never moves, so when no link is left every node is
+    there. A node with very many links is pre-aggregated and never one list.
     """
-    # Each edge as (greater, lesser).
-    edges = kept(
-        links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    )
-    sign = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    while sign[0]:
+    edges = kept(links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v").distinct())
+    reached = None
+    while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").select(F.col("v").alias("x"), "u", "m")
-        small = small.select(F.col("x").alias("u"), F.col("m").alias("v")).unionByName(lowest.select("u", F.col("m").alias("v")))
-        edges = kept(small.where("u <> v").distinct())
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == sign:
-            break
-        sign = now
-    labels = edges.groupBy("u").agg(F.min("v").alias("comp"))
-    joined = nodes.select("row").join(labels, F.col("row") == F.col("u"), "left")
-    return kept(joined.select("row", F.coalesce("comp", "row").alias("comp")))
+        least = kept(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        onward = least.select(F.col("u").alias("m"), F.col("m").alias("further"))
+        moves = kept(least.join(onward, "m").select("u", F.col("further").alias("m")))
+        ends = lambda c: moves.select(F.col("u").alias(c), F.col("m").alias(f"m_{c}"))
+        edges = edges.join(ends("u"), "u").join(ends("v"), "v").where("m_u <> m_v")
+        edges = kept(edges.select(F.least("m_u", "m_v").alias("u"), F.greatest("m_u", "m_v").alias("v")).distinct())
+        if reached is None:
+            reached = moves
+        else:
+            later = moves.select(F.col("u").alias("m"), F.col("m").alias("further"))
+            reached = kept(reached.join(later, "m", "left").select("u", F.coalesce("further", "m").alias("m")))
+    if reached is None:
+        return nodes.select("row", F.col("row").alias("comp"))
+    joined = nodes.select("row").join(reached, F.col("row") == F.col("u"), "left")
+    return kept(joined.select("row", F.coalesce("m", "row").alias("comp")))
 
 
 # --- candidates -----------------------------------------------------------
@@ -194,6 +216,19 @@ def fitting(a: str, b: str, plan: Plan) -> Column:
     return F.expr(f"100 * least({a}, {b}) >= {plan.percent} * greatest({a}, {b})")
 
 
+def near_bits(a: str, b: str, an: str, bn: str, plan: Plan) -> Column:
+    """Sets differ in at least the bits that their bitmaps differ in; similar ones in few."""
+    apart = f"aggregate(zip_with({a}, {b}, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
+    return F.expr(f"{100 + plan.percent} * {apart} <= {100 - plan.percent} * ({an} + {bn})")
+
+
+def plausible(pairs: DataFrame, nodes: DataFrame, plan: Plan) -> DataFrame:
+    """The (a, b) that their bitmaps do not rule out."""
+    side = lambda c: nodes.select(F.col("row").alias(c), F.col("n").alias(f"{c}n"), F.col("bits").alias(f"{c}bits"))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    return joined.where(near_bits("abits", "bbits", "an", "bn", plan)).select("a", "b")
+
+
 def open_buckets(buckets: DataFrame) -> DataFrame:
     """(key, size, pivot) of the buckets with several components; the pivot has the least hashed row."""
     pivot = F.min(F.struct(F.xxhash64("row").alias("rank"), "row", "n", "comp")).alias("pivot")
@@ -212,12 +247,28 @@ def pivot_pairs(members: DataFrame, plan: Plan) -> DataFrame:
     )
 
 
-def full_pairs(members: DataFrame, plan: Plan) -> DataFrame:
-    """(a, b): all pairs of different components within a bucket; AQE splits keys that stand out."""
-    left = members.select("key", F.col("row").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"))
-    right = members.select("key", F.col("row").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bc"))
-    joined = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")))
-    return joined.where(fitting("an", "bn", plan)).select("a", "b").distinct()
+def full_pairs(members: DataFrame, nodes: DataFrame, plan: Plan) -> DataFrame:
+    """(a, b): the pairs of different components within a bucket that no bound rules out.
+
+    ``members`` may have ``pos``, the place of the key in the order of the
+    whole set. At the first shared key, what is left of either set bounds the
+    intersection; later ones need not give the pair again. AQE splits keys that
+    stand out.
+    """
+    wide = members.join(nodes.select("row", "bits"), "row")
+    placed = "pos" in members.columns
+    side = lambda c, *more: wide.select(
+        "key", F.col("row").alias(c), *[F.col(x).alias(f"{c}{x}") for x in ("n", "comp", "bits", *(["pos"] if placed else []))]
+    )
+    bound = (F.col("a") < F.col("b")) & (F.col("acomp") != F.col("bcomp")) & fitting("an", "bn", plan)
+    if placed:
+        bound = bound & F.expr(
+            f"{100 + plan.percent} * (least(an - apos, bn - bpos) + 1) >= {plan.percent} * (an + bn)"
+        )
+    bound = bound & near_bits("abits", "bbits", "an", "bn", plan)
+    left, right = side("a"), side("b")
+    joined = left.join(right.withColumnRenamed("key", "bkey"), (F.col("key") == F.col("bkey")) & bound)
+    return joined.select("a", "b").distinct()
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
@@ -226,8 +277,9 @@ def confirmed(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
     Members travel to their pivot in blocks of about ``FANOUT``: each block
     reads the pivot's set once and holds two sets at a time.
     """
+    pairs = kept(pairs)
     sized = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("size"))
-    blocks = sized.select("a", F.ceil(F.col("size") / FANOUT).cast("int").alias("blocks"))
+    blocks = kept(sized.select("a", F.ceil(F.col("size") / FANOUT).cast("int").alias("blocks")))
     dealt = pairs.join(blocks, "a").select(
         "a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"), "b"
     )
@@ -257,7 +309,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
 
 
 def prefix_buckets(sets: DataFrame, plan: Plan) -> DataFrame:
-    """(key, row, n): the shingles of each set's prefix, rarest first, that another set has too.
+    """(key, row, n, pos): the shingles of each set's prefix, rarest first, that another set has too.
 
     Two sets that are similar enough share a shingle of their prefixes. A
     shingle of one set alone only takes up room in its prefix, so its rows end
@@ -280,9 +332,7 @@ def prefix_buckets(sets: DataFrame, plan: Plan) -> DataFrame:
     place = F.row_number().over(own.orderBy("df", "key"))
     alone = F.col("n") - F.count(F.lit(1)).over(own)
     length = F.expr(f"n - div(n * {plan.percent} + 99, 100) + 1")
-    return common.select("key", "row", "n", place.alias("place"), alone.alias("alone")).where(
-        F.col("place") + F.col("alone") <= length
-    ).select("key", "row", "n")
+    return common.select("key", "row", "n", (place + alone).alias("pos")).where(F.col("pos") <= length)
 
 
 def labelled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
@@ -298,11 +348,10 @@ def resolve(sketch: DataFrame, classes: DataFrame, docs: DataFrame, plan: Plan)
     """(row, comp) of the classes."""
     half = plan.half
     nodes = kept(
-        sketch.join(classes.select(F.col("class").alias("row")), "row", "left_semi").select("row", "n", "sketch")
+        sketch.join(classes.select(F.col("class").alias("row")), "row", "left_semi").select("row", "n", "sketch", "bits")
     )
-    slot = lambda c: F.posexplode(c).alias("slot", "value")
     # Sketches that another class has too; the others cannot meet anyone.
-    entries = nodes.select("row", "n", slot("sketch")).select(
+    entries = nodes.select("row", "n", F.posexplode("sketch").alias("slot", "value")).select(
         "row", "n", "slot", "value", F.xxhash64("slot", "value").alias("key")
     )
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
@@ -310,18 +359,20 @@ def resolve(sketch: DataFrame, classes: DataFrame, docs: DataFrame, plan: Plan)
     sides = entries.groupBy("row").agg(
         F.max((F.col("slot") < half).cast("int")).alias("left"), F.max((F.col("slot") >= half).cast("int")).alias("right")
     )
-    meeting = sides.where("left + right = 2").select("row")
+    meeting = kept(sides.where("left + right = 2").select("row"))
     sets = stored(shingle_sets(docs.join(meeting, "row", "left_semi"), plan), "shingle-sets")
 
     # 1. Diagonal tables.
     left, right = entries.where(F.col("slot") < half), entries.where(F.col("slot") >= half)
     other = right.select("row", (F.col("slot") - half).alias("slot"), F.col("value").alias("other"))
-    diagonal = left.join(other, ["row", "slot"]).select(
-        F.xxhash64(F.lit(1), "slot", "value", "other").alias("key"), "row", "n", F.col("row").alias("comp")
+    diagonal = kept(
+        left.join(other, ["row", "slot"]).select(
+            F.xxhash64(F.lit(1), "slot", "value", "other").alias("key"), "row", "n", F.col("row").alias("comp")
+        )
     )
-    diagonal = kept(diagonal)
-    start = diagonal.join(open_buckets(diagonal), "key")
-    pairs = pivot_pairs(start, plan).unionByName(full_pairs(start.where(F.col("size") <= SMALL), plan)).distinct()
+    start = kept(diagonal.join(open_buckets(diagonal), "key"))
+    met = plausible(pivot_pairs(start, plan), nodes, plan)
+    pairs = met.unionByName(full_pairs(start.where(F.col("size") <= SMALL), nodes, plan)).distinct()
     links = confirmed(pairs, sets, plan)
     labels = components(nodes, links)
 
@@ -336,29 +387,22 @@ def resolve(sketch: DataFrame, classes: DataFrame, docs: DataFrame, plan: Plan)
         .select(F.xxhash64(F.lit(2), "slot", "value", "slot2", "value2").alias("key"), "row", "n", "comp")
     )
     tables = stored(tables, "tables")
-    members = kept(tables.join(open_buckets(tables), "key"))
-    links = kept(links.unionByName(confirmed(full_pairs(members.where(F.col("size") <= SMALL), plan), sets, plan)))
-    labels = components(nodes, links)
+    members = kept(tables.join(open_buckets(tables), "key").select("key", "row", "n", "comp", "size"))
+    small = full_pairs(members.where(F.col("size") <= SMALL), nodes, plan)
 
-    # 3. Members of large buckets by exact prefixes.
+    # 3. Members of large buckets by exact prefixes: the pivot of each bucket, then all that is open.
     crowded = members.where(F.col("size") > SMALL).select("row").distinct()
     prefixes = kept(prefix_buckets(sets.join(crowded, "row", "left_semi"), plan))
-    for turn in range(ROUNDS + 1):
-        buckets = labelled(prefixes, labels)
-        found = open_buckets(buckets)
-        members = kept(buckets.join(found, "key"))
-        if members.isEmpty():
-            break
-        if turn < ROUNDS:
-            pairs = pivot_pairs(members, plan)
-            # A pivot has met its whole bucket.
-            done = members.select("key", F.col("pivot.row").alias("row")).distinct()
-            prefixes = kept(prefixes.join(members.select("key").distinct(), "key", "left_semi").join(done, ["key", "row"], "left_anti"))
-        else:
-            pairs = full_pairs(members, plan)
-        links = kept(links.unionByName(confirmed(pairs, sets, plan)))
+    buckets = labelled(prefixes, labels)
+    met = plausible(pivot_pairs(buckets.join(open_buckets(buckets), "key"), plan), nodes, plan)
+    found = confirmed(small.unionByName(met).distinct(), sets, plan)
+    if not found.isEmpty():
+        links = kept(links.unionByName(found))
         labels = components(nodes, links)
-    return labels
+        buckets = labelled(prefixes, labels)
+    rest = buckets.join(open_buckets(buckets).select("key"), "key", "left_semi")
+    found = confirmed(full_pairs(rest, nodes, plan), sets, plan)
+    return labels if found.isEmpty() else components(nodes, links.unionByName(found))
 
 
 def near_dedup(
