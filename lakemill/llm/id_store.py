@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemill.llm.common import column, part_bases, slices
 from lakemill.llm.packing import width
-from lakemill.llm.tokens import encoder
+from lakemill.llm.tokens import encoder, vocabulary_size
 from lakemill.session import scratch_path
 
 MAGIC = b"LMID"
@@ -158,7 +158,7 @@ def blocks(raw: bytes) -> Iterator[Block]:
 
 
 def write_ids(
-    docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, vocabulary: int = 50_257, spaced: bool = True,
+    docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, spaced: bool = True,
     id_col: str = "doc_id", text_col: str = "text", parts: int | None = None, block_tokens: int = BLOCK_TOKENS,
 ) -> None:
     """Encode all documents and write them below ``path`` in ascending doc_id order, each ending in ``end_id``.
@@ -180,7 +180,8 @@ def write_ids(
     quantiles = [i / parts for i in range(1, parts)]
     cuts = lean.where("known").agg(F.percentile_approx("doc_id", quantiles, 20 * parts)).first()[0] if quantiles else None
     cuts = np.unique(np.asarray(cuts or [], dtype="int64"))  # at most one number for each part
-    kind, tail = width(vocabulary), np.asarray([end_id], dtype="<u4").tobytes()
+    kind = width(max(vocabulary_size(tokenizer), end_id + 1))
+    tail = np.asarray([end_id], dtype="<u4").tobytes()
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids_of = encoder(tokenizer, spaced).encode

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from lakemill.llm.common import part_bases, slices, stored, texts
-from lakemill.llm.tokens import encoder
+from lakemill.llm.tokens import encoder, vocabulary_size
 
 WINDOW = 4096
 
@@ -58,8 +58,8 @@ def cut(first: int, ids: np.ndarray, window: int) -> Iterator[tuple[int, np.ndar
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, end_id: int = 2, window: int = WINDOW, vocabulary: int = 49_408,
-    spaced: bool = False, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, tokenizer: str, end_id: int = 2, window: int = WINDOW, spaced: bool = False,
+    id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Pieces of all documents in sequences of ``window`` tokens.
 
@@ -70,6 +70,7 @@ def pack(
     as often as it occurs, a null doc_id stays null. An empty table gives no pieces.
     """
     lean, restored = texts(docs, id_col, text_col)
+    vocabulary = max(vocabulary_size(tokenizer), end_id + 1)
     tokens = stored(encoded_parts(lean, lambda: encoder(tokenizer, spaced).encode, vocabulary, end_id), "packing")
     bases = part_bases(tokens.groupBy("part").agg(F.sum("n").alias("tokens")), "tokens")
     kind = width(vocabulary)

@@ -139,6 +139,13 @@ class Encoder:
         return self.joined(CUT.split(text), self.edge)
 
 
+def vocabulary_size(path: str) -> int:
+    """Ids of a vocabulary file, added tokens included; read on the driver."""
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values()) + 1
+
+
 def encoder(path: str, spaced: bool) -> Encoder:
     """The worker's encoder of a vocabulary file."""
     return worker_cache(f"encoder:{path}:{spaced}", lambda: Encoder(path, spaced))
