@@ -238,7 +238,7 @@ def _(d):
     root = scratch_path(d.spark, "ingest")
     ingest_files(d.spark, land_files(d, root), root, f"{root}/ledger")
     done = d.spark.read.parquet(f"{root}/ledger")
-    written = d.spark.read.parquet(f"{root}/bronze/lakehouse/*.parquet")
+    written = d.spark.read.parquet(f"{root}/bronze/lakehouse/*/*/*/*/*.parquet")
     counts = written.groupBy(F.col("event_type").alias("topic")).agg(F.count(F.lit(1)).alias("bronze_rows"))
     counted = done.select("topic", "file_name", "status").join(counts, "topic", "left")
     return counted.withColumn("bronze_rows", F.when(F.col("status") == "success", F.col("bronze_rows")))
