@@ -144,8 +144,8 @@ def test_the_profiling_run_makes_each_chart_once(spark, tmp_path):
     df = spark.range(2000).select((F.col("id") % 50).cast("double").alias("trip_duration_minutes"), F.lit("x").alias("other"))
     df = df.union(spark.createDataFrame([*[(100.0, "tail")] * 300, (900.0, "far"), (float("nan"), "bad")], df.schema))
     root = f"{tmp_path}/charts"
-    assert profile_dataset(df, "fhv_trip", root, relative_error=0.0) == ["inrange/trip_duration_minutes", "peak/trip_duration_minutes"]
-    assert profile_dataset(df, "fhv_trip", root) == []
+    assert profile_dataset(df, "fhv_trip", root, relative_error=0.0, mode="hard_cap") == ["inrange/trip_duration_minutes", "peak/trip_duration_minutes"]
+    assert profile_dataset(df, "fhv_trip", root, mode="hard_cap") == []
     chart = spark.read.parquet(f"{root}/latest/fhv_trip/inrange")
     first = chart.first()
     assert chart.agg(F.sum("cnt")).first()[0] >= 1990 and first.feature_title == "Trip Duration" and first.raw_max == 900.0
