@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lakemill.llm.common import SPACES, column, kept, whole
+from lakemill.llm.common import SPACES, column, field, kept, staying, with_rows
 
 PRECISION = 7
 #: Thresholds go to every task if there are at most so many rows of them (about 5 MB); else they are joined by a shuffle.
@@ -239,10 +239,13 @@ def quality(
 
 
 def keep_good(
-    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", least_docs: int = 200
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
+    least_docs: int = 200,
 ) -> DataFrame:
-    """The rows of ``docs`` that pass; columns stay as they are. Texts are counted twice and moved only if limits are many."""
-    own = docs.select(whole(docs), column(text_col).alias("__text"), grouped(docs, lang_col, source_col).alias("__group"))
-    measured = counts(own, "__text", "__counts").select("doc", "__group", "__counts")
-    limits = limits_of(measured.select("__group", "__counts"), least_docs)
-    return judged(measured, limits).where("__kept").select("doc.*")
+    """The rows of ``docs`` that pass; columns stay as they are. Texts are counted once and joined with the verdicts."""
+    rows = with_rows(docs, id_col)
+    view = rows.select(
+        "row", field(text_col).alias("text"), field(lang_col).alias("lang"), field(source_col).alias("source")
+    )
+    verdicts = quality(view, id_col="row", least_docs=least_docs)
+    return staying(rows, verdicts.where("kept").select(F.col("doc_id").alias("row")))
