@@ -325,6 +325,30 @@ def test_templates_that_rewrite_history_are_flagged(spark):
     assert flags == {"1": True, "2": True, "5": True}
 
 
+def test_prefixes_reach_back_to_the_first_turn(spark):
+    def numbered(turns):
+        return "".join(f"{1 + i // 2}. {role}: {text}\n" for i, (role, text) in enumerate(turns))
+
+    def strips_old(turns):
+        return "".join(f"{role}: {text if i + 10 >= len(turns) else ''}\n" for i, (role, text) in enumerate(turns))
+
+    def opens_with_user(turns):
+        if turns[0][0] != "user":
+            raise ValueError("a conversation begins with the user")
+        return numbered(turns)
+
+    turns = [(5, k, ("user", "assistant")[k % 2], f"turn {k}") for k in range(41)]
+    frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    said = [t[2:] for t in turns]
+    for template in (numbered, opens_with_user, chat_format.turn_template):
+        got = sorted(rows(chat_format.format_chats(frame, template)), key=lambda r: r["position"])
+        assert "".join(r["piece"] for r in got) == template(said) and not any(r["rewrites"] for r in got)
+        learned = [r["piece"][r["loss_start"] : r["loss_end"]] for r in got]
+        assert learned == [text if role == "assistant" else "" for role, text in said]
+    flags = {r["position"]: r["rewrites"] for r in rows(chat_format.format_chats(frame, strips_old))}
+    assert flags == {k: k >= 10 for k in range(41)}
+
+
 def test_escapes_are_reversible():
     import random
 
