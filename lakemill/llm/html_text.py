@@ -31,7 +31,7 @@ from lakemill.operators.numbering import with_row_index
 RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NEVER = frozenset(
-    "head nav footer aside form button select datalist menu dialog svg canvas object video audio map math".split()
+    "head nav footer aside form button select datalist menu dialog svg canvas object video audio map annotation annotation-xml".split()
 )
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dir div dl dt fieldset figcaption figure footer "
@@ -39,6 +39,21 @@ BLOCK = frozenset(
     "section summary table tbody td tfoot th thead tr ul".split()
 )
 MAIN = frozenset(("article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+FORMATTING = frozenset("a b big code em font i nobr s small strike strong tt u".split())
+#: An opening tag that ends an open paragraph; elements that an end tag, or an implied end, does not reach beyond.
+ENDS_P = BLOCK - frozenset("body caption dd dt head html legend li optgroup option tbody td tfoot th thead tr".split())
+SCOPE = frozenset("html table td th caption object template".split())
+TABLE_PARTS = frozenset("table tbody td tfoot th thead tr caption".split())
+#: What an opening tag ends, and the elements that this does not reach beyond.
+IMPLIED = {
+    "li": (frozenset(("li",)), frozenset("ul ol menu dir".split()) | SCOPE),
+    **dict.fromkeys(("dd", "dt"), (frozenset(("dd", "dt")), frozenset(("dl",)) | SCOPE)),
+    "option": (frozenset(("option",)), frozenset(("select", "datalist", "optgroup")) | SCOPE),
+    **dict.fromkeys(("td", "th"), (frozenset(("td", "th")), frozenset(("tr", "table")))),
+    "tr": (frozenset(("tr",)), frozenset(("table",))),
+    **dict.fromkeys(("tbody", "thead", "tfoot"), (frozenset(("tbody", "thead", "tfoot", "tr")), frozenset(("table",)))),
+}
 NOISE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie "
     "cookies disclaimer disqus footer header login masthead menu modal nav navbar navigation newsletter notice notices "
@@ -48,6 +63,11 @@ NOISE_WORDS = frozenset(
 #: A class name that also holds one of these belongs to the article or to a frame around it; comments always go.
 KEEP_WORDS = frozenset("article content post entry story body text has no with layout wrapper".split())
 COMMENT_WORDS = frozenset(("comment", "comments", "disqus"))
+#: Beside noise words, these do not make the id of a block inside an article the slug of a section.
+FRAME_WORDS = frozenset(
+    "area bar block bottom box button buttons container content form frame icons inner left links list outer page right "
+    "section site slot top unit wrapper".split()
+)
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 
 TAG = re.compile(
@@ -55,8 +75,8 @@ TAG = re.compile(
     r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)(?:>|\Z)",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
-HIDDEN = re.compile(r"(?:\s|^)hidden(?:\s|=|$)|display\s*:\s*none", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+NOT_SHOWN = re.compile(r"display\s*:\s*none", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+")
 
 
@@ -67,33 +87,66 @@ def noisy(words: set[str], name: str) -> bool:
     return name not in MAIN and bool(words & NOISE_WORDS) and not words & KEEP_WORDS
 
 
-def is_noise(name: str, rest: str) -> bool:
-    """Whether an element is left out with all it holds."""
+def is_noise(name: str, rest: str, inside: bool = False) -> bool:
+    """Whether an element is left out with all it holds; ``inside``: of an article or main element.
+
+    There, headings are text, and ids are mostly slugs of sections: only the id
+    of a block or list counts, if it has no other words than those of a frame.
+    """
     if name in NEVER:
         return True
     if not rest or name in ("html", "body"):
         return False
+    given: dict[str, str] = {}
     for m in ATTRIBUTE.finditer(rest):
-        value = (m[2] or m[3] or m[4] or "").lower()
-        if m[1].lower() == "role":
-            if value.strip() in NOISE_ROLES:
-                return True
-        elif any(noisy(set(WORD.findall(part)), name) for part in value.split()):
-            return True
-    return bool(HIDDEN.search(rest))
+        given.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    if "hidden" in given and given["hidden"].lower() != "until-found" or NOT_SHOWN.search(given.get("style", "")):
+        return True
+    if given.get("role", "").strip().lower() in NOISE_ROLES:
+        return True
+    if inside and name in HEADINGS:
+        return False
+    if any(noisy(set(WORD.findall(part)), name) for part in given.get("class", "").lower().split()):
+        return True
+    words = set(WORD.findall(given.get("id", "").lower()))
+    if inside and not (name in ("div", "ul", "ol") and words <= NOISE_WORDS | FRAME_WORDS):
+        return False
+    return noisy(words, name)
 
 
 def lines_of(page: str) -> list[tuple[str, int]]:
     """(text, standing) of every block: 0 left out, 1 plain, 2 in a main element, 3 in an article."""
     out: list[tuple[str, int]] = []
     parts: list[str] = []
-    at, skipping, depth, inside = 0, "", 0, {"article": 0, "main": 0}
+    at, inside = 0, {"article": 0, "main": 0}
+    # Open elements, and the place in them of the one that is being left out.
+    stack: list[str] = []
+    skipping: int | None = None
+
+    def cut(place: int) -> None:
+        """Ends the elements from a place of the stack on."""
+        nonlocal skipping
+        for gone in stack[place:]:
+            if gone in MAIN:
+                inside[gone] -= 1
+        del stack[place:]
+        if skipping is not None and place <= skipping:
+            skipping = None
+
+    def find(names: frozenset[str], barrier: frozenset[str]) -> int | None:
+        """Place of the innermost open element of one of the names."""
+        for place in range(len(stack) - 1, -1, -1):
+            if stack[place] in names:
+                return place
+            if stack[place] in barrier:
+                return None
+        return None
 
     def flush() -> None:
         text = " ".join("".join(parts).split())
         parts.clear()
         if text:
-            out.append((text, 0 if skipping else 3 if inside["article"] else 2 if inside["main"] else 1))
+            out.append((text, 0 if skipping is not None else 3 if inside["article"] else 2 if inside["main"] else 1))
 
     size = len(page)
     while at < size:
@@ -115,28 +168,41 @@ def lines_of(page: str) -> list[tuple[str, int]]:
             flush()
         elif name == "br":
             parts.append(" ")
-        if skipping:
-            if not closes and name in MAIN and not is_noise(name, rest):
-                skipping, depth = "", 0  # an element that was never closed does not swallow the article
-            elif name == skipping:
-                depth += -1 if closes else 1
-                if not depth:
-                    flush()
-                    skipping = ""
-                continue
-            else:
-                continue
         if closes:
-            if name in MAIN and inside[name]:
-                inside[name] -= 1
+            if name in FORMATTING:
+                place = find(frozenset((name,)), SCOPE)
+                if place is not None:
+                    if place == skipping:
+                        flush()
+                        skipping = None
+                    elif skipping is not None and place < skipping:
+                        skipping -= 1
+                    del stack[place]
+                continue
+            barrier = frozenset(("table",)) if name in TABLE_PARTS else SCOPE if name in BLOCK or name in NEVER else SCOPE | BLOCK
+            place = find(frozenset((name,)), barrier)
+            if place is not None:
+                if skipping is not None and place <= skipping:
+                    flush()
+                cut(place)
             continue
         if name in VOID or rest.endswith("/"):
+            if name == "hr" and (place := find(frozenset(("p",)), SCOPE)) is not None:
+                cut(place)
             continue
-        noise = is_noise(name, rest) or (name == "header" and not inside["article"])
-        if noise:
-            flush()
-            skipping, depth = name, 1
-        elif name in MAIN:
+        if name in IMPLIED and (place := find(*IMPLIED[name])) is not None:
+            cut(place)
+        if name in ENDS_P and (place := find(frozenset(("p",)), SCOPE | {"button"})) is not None:
+            cut(place)
+        within = bool(inside["article"] or inside["main"])
+        if skipping is None:
+            if is_noise(name, rest, within) or (name == "header" and not inside["article"]):
+                flush()
+                skipping = len(stack)
+        elif name in MAIN and not is_noise(name, rest, within):
+            skipping = None  # an element that was never closed does not swallow the article
+        stack.append(name)
+        if name in MAIN:
             inside[name] += 1
     flush()
     return out

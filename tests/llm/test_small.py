@@ -389,6 +389,25 @@ def test_html(spark):
     assert html_text.extract(frame.where("false")).count() == 0
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ('<article><p class="ad">Buy<p>Text one</p><p>Text two</p></article>', "Text one\nText two"),
+        ('<article><ul><li class="ad">Buy<li>One<li>Two</ul><dl><dt class="ad">x<dd>three</dl></article>', "One\nTwo\nthree"),
+        ('<article><table><tr><td class="ad">Buy<td>cell<tr class="promo"><td>no<tr><td>last</table>end</article>', "cell\nlast\nend"),
+        ('<article><div><span class="ad">Buy</div><p>after</p></article><div>out</div>', "after"),
+        ('<article><a class="promo"><p>Buy</a><p>after</article>', "after"),
+        ('<article><div class="ad"><p>a<div>b</div></div><p>after</article>', "after"),
+        ('<article><h2 id="market-share">Share</h2><section id="search-algorithms">Find</section><h2 id="notices">N</h2></article>', "Share\nFind\nN"),
+        ('<article><div id="market-share">s</div><div id="share-buttons">b</div><div class="share">c</div>t</article>', "s\nt"),
+        ('<article><p title="a hidden gem">gem</p><p data-x="display:none">x</p><p hidden>h</p><p style="display: none">n</p></article>', "gem\nx"),
+        ("<article>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>tex</annotation></math> holds</article>", "so x=1\nholds"),
+    ],
+)
+def test_noise_ends_where_its_element_ends(page, want):
+    assert "\n".join(line for line, standing in html_text.lines_of(page) if standing > 1) == want
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     import random
 
