@@ -1,17 +1,20 @@
 """HTML extraction by nearest-URL page differencing.
 
-Pages are ordered by host and URL path; each is paired with the neighbour that
-shares the longest path. The text lines of the two are aligned by a longest
-common subsequence, and shared lines, which a site repeats from page to page,
-are deleted. Two things keep articles whole: lines inside a declared article or
-main element are never deleted for being shared (copies and quoted passages
-occur there), and without such an element a partner that shares over four
-fifths of a page's characters is taken for a copy. Elements that are never article
-text (menus, scripts, forms, …) are left out whether shared or not.
+Pages are ordered by host and URL path; each meets the few neighbours on its
+host that share the longest paths. The text lines of page and neighbour are
+aligned by a longest common subsequence. Neighbours that leave nothing unshared
+are copies and say nothing; a line that most of the others share is one a site
+repeats from page to page, and is deleted. Articles stay whole: a line in a
+declared article or main element is deleted only if all neighbours with other
+text there have it at the same place, and no deletion may leave only lines that
+are shorter than a deleted one where few neighbours speak for it. Where no
+neighbour says anything, an article or main element that holds most of the text
+is taken for the article. Elements that are never article text (menus, scripts,
+forms, …) are left out whether shared or not.
 
 A host may hold a third of all pages. Its pages are dealt to blocks of the
-global order; the first and last page of a block also go to the neighbouring
-block, so every page meets both neighbours wherever blocks are cut.
+global order; the first and last few pages of a block also go to the neighbouring
+block, so every page meets its neighbours wherever blocks are cut.
 """
 
 from __future__ import annotations
@@ -79,6 +82,10 @@ ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 NOT_SHOWN = re.compile(r"display\s*:\s*none", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+")
 
+#: Neighbours that a page meets, and as many pages on either side to choose them from. From this many with other
+#: text on, their majority decides alone.
+NEAR, MANY = 4, 3
+
 
 def noisy(words: set[str], name: str) -> bool:
     """Whether the words of one class or id speak against an element."""
@@ -240,19 +247,56 @@ def shared_lines(a: list[str], b: list[str]) -> list[int]:
     return [*range(head), *reversed(found), *range(len(a) - tail, len(a))]
 
 
-def article(lines: list[str], standings: list[int], partner: list[str] | None) -> str:
-    """Lines of the page that are neither left out nor shared with its partner."""
-    best = max(standings, default=1)
-    drop: set[int] = set()
-    if partner is not None:
-        drop = set(shared_lines(lines, partner))
-        usable = [i for i, s in enumerate(standings) if s]
-        shared = sum(len(lines[i]) for i in usable if i in drop)
-        if best == 1 and 5 * shared > 4 * sum(len(lines[i]) for i in usable):
-            drop = set()
-    return "\n".join(
-        line for i, (line, s) in enumerate(zip(lines, standings)) if s and (s == best if best > 1 else i not in drop)
-    )
+def same_place(mine: list[str], others: list[list[str]]) -> set[int]:
+    """Lines that all others have at the same place from the beginning, or all from the end."""
+    return {
+        i
+        for i, line in enumerate(mine)
+        if all(i < len(o) and o[i] == line for o in others)
+        or all(len(mine) - i <= len(o) and o[i - len(mine)] == line for o in others)
+    }
+
+
+def outweighs(lines: list[str], kept: set[int], gone: set[int]) -> bool:
+    """Whether a kept line is as long as every deleted one: what goes is not the text itself."""
+    return max((len(lines[i]) for i in kept), default=0) >= max((len(lines[i]) for i in gone), default=0)
+
+
+def article(lines: list[str], standings: list[int], others: list[tuple[list[str], list[int]]]) -> str:
+    """Lines of the page that its neighbours ``others`` do not show to be the site's.
+
+    Lines that are left out come neither in ``lines`` nor in those of ``others``.
+    """
+    everything = set(range(len(lines)))
+    main = [i for i, s in enumerate(standings) if s > 1]
+    region, outside = set(main), everything.difference(main)
+    mine = [lines[i] for i in main]
+    votes, speakers, regions, met = [0] * len(lines), 0, [], set()
+    for theirs, places in others:
+        if tuple(theirs) in met:
+            continue
+        met.add(tuple(theirs))
+        shared = shared_lines(lines, theirs)
+        if len(shared) in (len(lines), len(theirs)):
+            continue
+        speakers += 1
+        for i in shared:
+            votes[i] += 1
+        part = [line for line, s in zip(theirs, places) if s > 1]
+        if mine and part and part not in regions and len(shared_lines(mine, part)) < min(len(mine), len(part)):
+            regions.append(part)
+    if not speakers:
+        if sum(len(lines[i]) for i in region) > sum(len(lines[i]) for i in outside):
+            return "\n".join(mine)
+        return "\n".join(lines)
+    gone = {i for i in outside if 2 * votes[i] > speakers}
+    if speakers < MANY and not outweighs(lines, {i for i in everything if not votes[i]}, gone):
+        gone = set()
+    if len(regions) > 1:
+        framed = {main[k] for k in same_place(mine, regions)}
+        if outweighs(lines, region - framed, framed):
+            gone |= framed
+    return "\n".join(line for i, line in enumerate(lines) if i not in gone)
 
 
 def path_overlap(a: str, b: str) -> int:
@@ -263,10 +307,9 @@ def path_overlap(a: str, b: str) -> int:
     return steps << 32 | chars
 
 
-def nearest(host: str, path: str, before: tuple | None, after: tuple | None) -> list[str] | None:
-    """Lines of the neighbour on the same host with the nearest path; the one before on a tie."""
-    near = [n for n in (before, after) if n and n[0] == host]
-    return max(near, key=lambda n: path_overlap(n[1], path))[2] if near else None
+def nearest(host: str, path: str, around: list[tuple]) -> list[tuple]:
+    """The (host, path, lines, standings) around a page that are on its host and nearest by path; earlier ones on a tie."""
+    return sorted((n for n in around if n[0] == host), key=lambda n: -path_overlap(n[1], path))[:NEAR]
 
 
 def extract(
@@ -276,8 +319,8 @@ def extract(
 
     A null or empty page, or one without article text, gives an empty text. A
     null URL counts as the empty one for pairing and is returned as null.
-    Repeated rows and pages with one URL pair with each other and, as copies,
-    keep their text. Other columns are left out; an empty table gives an empty
+    Repeated rows and pages with one URL meet each other and, as copies, keep
+    their text. Other columns are left out; an empty table gives an empty
     result.
     """
     url = F.coalesce(column(url_col).cast("string"), F.lit(""))
@@ -297,51 +340,63 @@ def extract(
     key = F.concat_ws("\x00", "host", "path", F.coalesce("page_id", F.lit("")), F.coalesce("url", F.lit("")))
     order = with_row_index(place.select(key.alias("key")), ["key"])
     total = place.count()
-    step = max(2, -(-total // blocks))
+    step = max(NEAR, -(-total // blocks))
     at = (F.col("row_index") - 1) % step
-    # Two keys a block at most come to the driver.
-    edges = order.where((at == 0) | (at == step - 1)).select("key", at.alias("at"), "row_index").orderBy("row_index").collect()
+    # Three keys a block at most come to the driver: of its first page, and of the pages up to and from which others are guests next door.
+    edges = order.where(at.isin(0, NEAR - 1, step - NEAR)).select("key", at.alias("at"), "row_index").orderBy("row_index").collect()
     firsts = [e["key"] for e in edges if e["at"] == 0]
-    lasts = [e["key"] for e in edges if e["at"] == step - 1]
+    heads = [e["key"] for e in edges if e["at"] == NEAR - 1]
+    tails = [e["key"] for e in edges if e["at"] == step - NEAR]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first_set, last_set = set(firsts), set(lasts)
         for batch in batches:
             out = []
             for page_id, url_, host, path_, page, key_ in batch.itertuples(index=False):
-                found = lines_of(page)
+                found = [x for x in lines_of(page) if x[1]]
                 lines = "\n".join(line for line, _ in found)
                 standings = "".join(str(s) for _, s in found)
                 block = max(0, bisect_right(firsts, key_) - 1)
                 row = (key_, page_id, url_, host, path_, lines, standings)
                 out.append((block, False, *row))
-                if key_ in first_set and block:
+                # Only the last block may be too short to have these keys.
+                if block and (block >= len(heads) or key_ <= heads[block]):
                     out.append((block - 1, True, *row))
-                if key_ in last_set and block + 1 < len(firsts):
+                if block + 1 < len(firsts) and key_ >= tails[block]:
                     out.append((block + 1, True, *row))
             yield pd.DataFrame(out, columns=columns)
 
     def differ(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        before, now, out = None, None, []
+        # The pages of a block around the next one to be closed, and its place among them.
+        held: list[tuple] = []
+        at, out = 0, []
 
-        def closed(after: tuple | None) -> None:
-            block, guest, page_id, url_, host, path_, lines, standings = now
+        def close() -> None:
+            nonlocal at
+            _, guest, page_id, url_, host, path_, lines, standings = held[at]
             if not guest:
-                partner = nearest(host, path_, *(n and n[0] == block and (n[4], n[5], n[6]) or None for n in (before, after)))
-                text = article(lines, standings, partner)
+                around = [n[4:] for n in held[max(0, at - NEAR) : at] + held[at + 1 : at + 1 + NEAR]]
+                text = article(lines, standings, [n[2:] for n in nearest(host, path_, around)])
                 out.append((page_id, url_, text, len(text)))
+            at += 1
+            if at > NEAR:
+                del held[0]
+                at -= 1
 
         for batch in batches:
             for block, guest, _, page_id, url_, host, path_, lines, standings in batch.itertuples(index=False):
-                row = (block, guest, page_id, url_, host, path_, lines.split("\n") if lines else [], [int(s) for s in standings])
-                if now:
-                    closed(row)
-                before, now = now, row
-            yield pd.DataFrame(out, columns=results)
-            out = []
-        if now:
-            closed(None)
+                if held and held[-1][0] != block:
+                    while at < len(held):
+                        close()
+                    held.clear()
+                    at = 0
+                held.append((block, guest, page_id, url_, host, path_, lines.split("\n") if lines else [], [int(s) for s in standings]))
+                if len(held) - at > NEAR:
+                    close()
             yield pd.DataFrame(out, columns=results)
+            out.clear()
+        while at < len(held):
+            close()
+        yield pd.DataFrame(out, columns=results)
 
     columns = ["block", "guest", "key", "page_id", "url", "host", "path", "lines", "standings"]
     results = ["page_id", "url", "text", "n_chars"]

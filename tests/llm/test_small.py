@@ -389,6 +389,43 @@ def test_html(spark):
     assert html_text.extract(frame.where("false")).count() == 0
 
 
+def test_differences_decide_in_main_regions_too(spark):
+    def para(k, n=1):
+        return "".join(f"<p>Page {k} tells in its paragraph {j} what no other page of the site has to say</p>" for j in range(n))
+
+    def said(k, n=1):
+        return [f"Page {k} tells in its paragraph {j} what no other page of the site has to say" for j in range(n)]
+
+    quote = "A passage that is quoted on every page"
+    pages = {
+        # Template lines without a known class in an article; a quoted passage at changing places stays.
+        **{
+            (f"http://a.example/{k}", f"<div>Menu</div><article><div>Part of a series</div>{para(k, k)}<p>{quote}</p>{para(-k, 6 - k)}<div>Tell a friend</div></article>"):
+            [*said(k, k), quote, *said(-k, 6 - k)]
+            for k in range(1, 6)
+        },
+        # A body beside one teaser card.
+        **{
+            (f"http://b.example/{k}", f"<div>Menu</div><div>{para(k, 3)}</div><article>Card {k}</article><div>Imprint</div>"): [*said(k, 3), f"Card {k}"]
+            for k in range(4)
+        },
+        ("http://c.example/", f"<div>{para(1, 3)}</div><article>Card</article>"): [*said(1, 3), "Card"],
+        ("http://d.example/", f"<div>Menu</div><article>{para(1, 3)}</article>"): said(1, 3),
+        # Copies that differ in a short line, and short texts in a large template.
+        **{
+            (f"http://e.example/{k}", f"<div>{para(1, 2)}</div><div>{k} views</div>"): [*said(1, 2), f"{k} views"] for k in range(2)
+        },
+        **{
+            (f"http://f.example/{k}", "".join(f"<div>Template line {j} of all pages</div>" for j in range(30)) + f"<p>News {k}</p>"): [f"News {k}"]
+            for k in range(5)
+        },
+    }
+    frame = spark.createDataFrame([(k, url, page) for k, (url, page) in enumerate(pages)], "page_id long, url string, html string")
+    for blocks in (1, 40):
+        got = {r["url"]: r["text"].split("\n") for r in rows(html_text.extract(frame, blocks=blocks))}
+        assert got == {url: want for (url, _), want in pages.items()}
+
+
 @pytest.mark.parametrize(
     "page, want",
     [
