@@ -4,8 +4,9 @@ Candidate strings are long runs of key characters. For each character class a
 window slides over the runs of that class inside a candidate; counts of its
 characters and the sum of n·log2(n) change by one character in and one out, so
 the entropy of every window costs a constant. Windows over the class's limit
-join into spans, an allow-list suppresses known harmless shapes, and what
-overlaps a pattern's span is left to the pattern.
+join into spans, an allow-list suppresses known harmless shapes, placeholder
+words excuse their own word or window, and of a span that meets a pattern's the
+parts outside the pattern's stay.
 """
 
 from __future__ import annotations
@@ -58,8 +59,11 @@ ALLOWED = (
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
     r"[0-9T:Z+_-]+",
     r"([A-Za-z]+[-_/])*[A-Za-z]+[-_/]?[0-9]{1,4}",
-    r"(?i:.*(abcdefghij|0123456789|example|sample|placeholder).*)",
 )
+#: A word of letters and digits that holds one of these is harmless up to a length of two windows; a longer one only
+#: where a window holds it whole.
+PLACEHOLDER = re.compile(r"abcdefghij|0123456789|example|sample|placeholder", re.IGNORECASE)
+WORD, LONGEST_PLACEHOLDER = re.compile(r"[A-Za-z0-9]+"), 40
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -105,18 +109,35 @@ def enough(kinds: dict[str, int], needs: str) -> bool:
     return all(kinds["u"] + kinds["l"] if need == "a" else kinds[need] for need in needs)
 
 
+def placeholders(candidate: str, at: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """(words that no window may touch, placeholders that no window may hold) of a candidate that begins at ``at``."""
+    harmless, excused = [], []
+    if PLACEHOLDER.search(candidate):
+        for word in WORD.finditer(candidate):
+            held = [(at + word.start() + m.start(), at + word.start() + m.end()) for m in PLACEHOLDER.finditer(word[0])]
+            if held and len(word[0]) <= LONGEST_PLACEHOLDER:
+                harmless.append((at + word.start(), at + word.end()))
+            else:
+                excused += held
+    return harmless, excused
+
+
 def entropy_spans(text: str, classes: tuple[CharClass, ...] = CLASSES, allowed: tuple[str, ...] = ALLOWED) -> list[tuple[int, int]]:
-    """Joined spans of windows over the limit of their class, without allowed ones."""
+    """Joined spans of windows over the limit of their class, without allowed and placeholders' ones."""
     found = []
     for candidate in CANDIDATE.finditer(text):
         if not DIGIT.search(candidate[0]):
             continue
+        harmless, excused = placeholders(candidate[0], candidate.start())
         for c in classes:
             for run in re.finditer(c.chars + "{%d,}" % c.size, candidate[0]):
                 first = candidate.start() + run.start()
                 for start, bits, kinds in windows(run[0], c.size):
                     if bits >= c.bits and enough(kinds, c.needs):
-                        found.append((first + start, first + start + c.size))
+                        a, b = first + start, first + start + c.size
+                        if any(a < y and x < b for x, y in harmless) or any(a <= x and y <= b for x, y in excused):
+                            continue
+                        found.append((a, b))
     joined: list[list[int]] = []
     for start, end in sorted(found):
         if joined and start <= joined[-1][1]:
@@ -129,7 +150,7 @@ def entropy_spans(text: str, classes: tuple[CharClass, ...] = CLASSES, allowed:
 def scan(text: str, classes=CLASSES, allowed=ALLOWED) -> tuple[list, list]:
     """(base spans, all spans) as sorted (start, kind, end)."""
     base = base_spans(text)
-    # Base spans may overlap each other, so the free ones are tested against their union.
+    # Base spans may overlap each other, so the free ones are cut by their union.
     busy: list[list[int]] = []
     for start, _, end in base:
         if busy and start <= busy[-1][1]:
@@ -140,8 +161,14 @@ def scan(text: str, classes=CLASSES, allowed=ALLOWED) -> tuple[list, list]:
     for start, end in entropy_spans(text, classes, allowed):
         while k < len(busy) and busy[k][1] <= start:
             k += 1
-        if k == len(busy) or busy[k][0] >= end:
-            more.append((start, 3, end))
+        # What lies between the base spans that the span meets, before and after them.
+        at, j = start, k
+        while j < len(busy) and busy[j][0] < end:
+            if busy[j][0] > at:
+                more.append((at, 3, busy[j][0]))
+            at, j = max(at, busy[j][1]), j + 1
+        if at < end:
+            more.append((at, 3, end))
     return base, sorted(base + more)
 
 
