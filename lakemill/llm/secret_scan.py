@@ -38,20 +38,29 @@ DIGIT = re.compile(r"[0-9]")
 
 @dataclass(frozen=True)
 class CharClass:
-    """Runs of ``chars``; a window of ``size`` counts from ``bits`` of entropy on, if it holds each of ``needs``."""
+    """Runs of ``chars``; a window of ``size`` counts from ``bits`` of entropy on, if it holds each of ``needs``.
+
+    With ``shape``, a window must also hold that pattern, and stands for its whole run.
+    """
 
     name: str
     chars: str
     size: int
     bits: float
     needs: str
+    shape: str = ""
+
 
+#: In one case letters tell little from words: three numbers in a window, or two and four letters without a vowel.
+SPREAD = r"(?i)(?:[0-9]+[a-z]+){2}[0-9]|(?=.*[0-9][a-z]+[0-9]).*[b-df-hj-np-tv-xz]{4}"
 
-#: Random strings of a window's length come to about 3.3 bits (hex) and 4.1 bits (base64); words stay below.
+#: Random strings of a window's length come to about 3.3 bits (hex), 3.8 (one case) and 4.1 (base64); words stay below.
 CLASSES = (
     CharClass("hex", r"[0-9A-Fa-f]", 24, 3.0, "da"),
     CharClass("base64", r"[A-Za-z0-9+/=]", 20, 3.75, "dul"),
     CharClass("urlsafe", r"[A-Za-z0-9_-]", 20, 3.75, "dul"),
+    CharClass("lower", r"[a-z0-9]", 20, 3.4, "dl", SPREAD),
+    CharClass("upper", r"[A-Z0-9]", 20, 3.4, "du", SPREAD),
 )
 
 #: A span that one of these matches as a whole is harmless: UUIDs, dates and times, counted file names, the alphabet.
@@ -137,7 +146,11 @@ def entropy_spans(text: str, classes: tuple[CharClass, ...] = CLASSES, allowed:
                         a, b = first + start, first + start + c.size
                         if any(a < y and x < b for x, y in harmless) or any(a <= x and y <= b for x, y in excused):
                             continue
-                        found.append((a, b))
+                        if not c.shape:
+                            found.append((a, b))
+                        elif re.search(c.shape, run[0][start : start + c.size]):
+                            found.append((first, first + len(run[0])))
+                            break
     joined: list[list[int]] = []
     for start, end in sorted(found):
         if joined and start <= joined[-1][1]:

@@ -523,6 +523,27 @@ def test_entropy_beside_patterns_and_placeholders_is_kept():
     assert found(f"example{key}") == [] and found(f"{key}PLACEHOLDER") == []
 
 
+def test_random_keys_in_one_case_are_found():
+    import random
+
+    draw = random.Random(5)
+    alphabets = ("abcdefghijklmnopqrstuvwxyz234567", "abcdefghijklmnopqrstuvwxyz0123456789")
+    for letters in (*alphabets, *(a.upper() for a in alphabets)):
+        for size, least in ((24, 0.85), (32, 0.95), (52, 0.99)):
+            keys = ["".join(draw.choice(letters) for _ in range(size)) for _ in range(300)]
+            hits = sum(secret_scan.masked(f"the key {key} is", "*") == "the key * is" for key in keys)
+            assert hits >= least * len(keys), (letters, size, hits)
+    for key in ("q7x2m9zk4v8w1rt6y3p5n0s8h2j4", "GEZDGNBVGY3TQOJQGEZDGNBVGY3TQOJQ"):
+        assert secret_scan.entropy_spans(f"use {key} now") == [(4, 4 + len(key))]
+    clean = (
+        PROSE, "base64encodedsha256digest", "internationalization2024", "donaudampfschifffahrtsgesellschaft1", "DE89370400440532013000",
+        "20240131t235959z20240201t000000z", "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+        "some-long-slug-of-2024-with-10-words-and-3-numbers", "VERYLONGCONSTANTNAMEVERSION2", "123e4567-e89b-12d3-a456-426614174000",
+    )
+    for text in clean:
+        assert secret_scan.entropy_spans(text) == [], text
+
+
 def test_pipeline_on_messy_rows(docs, spark, tmp_path):
     rows_in = [(100 + i, f"{PROSE} number {' '.join(f'n{i}w{k}' for k in range(40))}", "en", "s", 1) for i in range(30)]
     rows_in += [(200, rows_in[0][1], "en", "s", 1), (201, rows_in[1][1] + " tail", "en", "s", 1), (202, None, None, None, None)]
