@@ -63,7 +63,8 @@ class Encoder:
 
     ``spaced``: words carry the space before them (byte-level vocabularies);
     else the tokenizer drops white space and lower-cases (word-end vocabularies).
-    Strings of special tokens in a text are ordinary text.
+    Ids are those of the library's ``encode`` without added special tokens: the
+    string of an added token in a text is that token, and ends the words beside it.
     """
 
     def __init__(self, path: str, spaced: bool, generation: int = GENERATION):
@@ -73,7 +74,12 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        added = self.whole.get_added_tokens_decoder()
+        self.added = {t.content: array("I", [i]).tobytes() for i, t in added.items()}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.marks = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if added else None
+        # Such tokens are found in normalized text, or take space or whole words with them: only the library splits at them.
+        self.entire = any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added.values())
         self.model = self.whole.model
         self.spaced = spaced
         self.letters = byte_alphabet()
@@ -128,6 +134,15 @@ class Encoder:
         return self.cache[word] if word.strip() == word else self.plain(self.lead + word)
 
     def encode(self, text: str) -> bytes:
+        if self.entire:
+            return self.plain(text)
+        if self.marks and self.marks.search(text):
+            parts = self.marks.split(text)
+            return b"".join(self.added[part] if i % 2 else self.unmarked(part) for i, part in enumerate(parts))
+        return self.unmarked(text)
+
+    def unmarked(self, text: str) -> bytes:
+        """Ids of a text without strings of added tokens."""
         if not text:
             return b""
         words = text.split(" ")

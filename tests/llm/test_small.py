@@ -109,6 +109,16 @@ def test_word_cache_keeps_ids(name, spaced):
         assert own.encode(text) == own.plain(text), text
 
 
+@pytest.mark.parametrize("name,spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_added_tokens_in_texts_are_as_the_library_has_them(name, spaced):
+    library = Tokenizer.from_file(public_tokenizers.path(name))
+    own = Encoder(public_tokenizers.path(name), spaced)
+    for mark in ("<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext|><|endoftext|>"):
+        for text in (mark, f"{mark} z", f"one two{mark}three four", f" a  {mark}\n b {mark}", f"x {mark} y's {mark[:-1]}", f"é{mark}É"):
+            want = np.asarray(library.encode(text, add_special_tokens=False).ids, dtype="<u4")
+            assert own.encode(text) == want.tobytes(), text
+
+
 def test_byte_bpe(docs, nothing):
     ranks_path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     with open(ranks_path, "rb") as lines:
