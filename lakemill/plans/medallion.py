@@ -114,9 +114,10 @@ def trips_from_files(spark: SparkSession, bronze: str, domain: str) -> list[str]
 
 
 def write_domain(frames: Mapping[str, Iterable[DataFrame]], domain: Domain) -> list[str]:
-    """Silver and gold table of each topic of a business domain.
+    """Silver and gold table of each topic of a business domain, by name.
 
-    Rows that name another topic than their files go to a quarantine table.
+    Rows that name another topic than their files go to the bronze table
+    ``<silver>_quarantine``, which is no result and not among the names.
     """
     written = []
     for topic, (silver, gold) in domain.topics.items():
@@ -126,7 +127,6 @@ def write_domain(frames: Mapping[str, Iterable[DataFrame]], domain: Domain) -> l
         strays = stray_rows(parts, topic)
         if strays is not None and not strays.isEmpty():
             write_layer(strays, table_name("bronze", domain.name, f"{silver}_quarantine"))
-            written.append(table_name("bronze", domain.name, f"{silver}_quarantine"))
         rows = silver_domain(parts, domain.name, topic)
         write_layer(rows, table_name("silver", domain.name, silver))
         spark = rows.sparkSession

@@ -88,15 +88,19 @@ def apply_batch(rows: DataFrame, batch_id: int, path: str, missing: str = "drop"
     return read_state(spark, path, ROW_STATE).filter(F.col(BATCH) == batch_id).drop(BATCH)
 
 
-def apply_event(rows: DataFrame, mode: str, path: str, batch_id: int, missing: str = "drop", order=()) -> DataFrame:
+def apply_event(
+    rows: DataFrame, mode: str, path: str, batch_id: int | None = None, missing: str = "drop", order=()
+) -> DataFrame:
     """File messages replace their state, row messages add to theirs.
 
-    A row message given twice under one ``batch_id`` replaces itself.
+    A row message given twice under one ``batch_id`` replaces itself; it needs one.
     """
     if mode == "file":
         replace_state(state_rows(rows), f"{path}/file")
         return read_state(rows.sparkSession, f"{path}/file", ROW_STATE).drop(BATCH)
     if mode == "row":
+        if batch_id is None:
+            raise ValueError("a row message needs a batch id")
         return apply_batch(rows, batch_id, f"{path}/row", missing, order)
     raise ValueError(f"Unsupported mode: {mode}")
 

@@ -30,6 +30,8 @@ def test_domain_run_keeps_topics_apart(spark):
     written = medallion.write_domain({"finance": [d.view("finance"), other]}, domain)
     assert written == ["silver_finance.finance_silver", "gold_finance.finance_summary"]
     assert spark.read.table(written[0]).count() == d.table("orders").count()
+    strays = spark.read.table("bronze_finance.finance_silver_quarantine")
+    assert strays.count() == other.count() and strays.select("topic").distinct().collect() == [("another",)]
 
 
 def test_hospital_run(spark):
