@@ -17,6 +17,7 @@ from lakemill.llm.packing import pack
 from lakemill.llm.quality import quality
 from lakemill.llm.secret_scan import secrets
 from lakemill.llm.token_counts import token_counts
+from lakemill.llm.vector_codes import vector_codes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -169,3 +170,52 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_secrets")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets(table(spark, sf_dir, "documents"))
+
+
+def assigned(entries: str) -> str:
+    """SQL for the nearest entry of every part and its squared distance, ties to the lower index."""
+    gap = "list_sum(list_transform(range(1, len(e.v) + 1), lambda i: (p.v[i] - e.v[i]) * (p.v[i] - e.v[i])))::BIGINT"
+    return f"""(
+  SELECT r, part, min(s).k AS k, min(s).gap AS gap
+  FROM (SELECT p.r, p.part, struct_pack(gap := {gap}, k := e.k) AS s FROM parts p JOIN {entries} e USING (part))
+  GROUP BY r, part
+)"""
+
+
+def averaged(entries: str, nearest: str) -> str:
+    """SQL for entries replaced by the floored mean of their parts; unused ones stay."""
+    return f"""(
+  SELECT e.part, e.k, coalesce(m.v, e.v) AS v FROM {entries} e LEFT JOIN (
+    SELECT part, k, list((s - ((s % n + n) % n)) // n ORDER BY i) AS v
+    FROM (SELECT p.part, a.k, i, sum(p.v[i])::BIGINT AS s, count(*) AS n
+          FROM parts p JOIN {nearest} a USING (r, part), unnest(range(1, len(p.v) + 1)) u(i) GROUP BY p.part, a.k, i)
+    GROUP BY part, k) m USING (part, k)
+)"""
+
+
+VECTOR_SQL = f"""
+WITH RECURSIVE kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT r, part, v[part * (len(v) // 16) + 1 : (part + 1) * (len(v) // 16)] AS v FROM kept, unnest(range(16)) u(part)
+), book0 AS MATERIALIZED (SELECT part, r - 1 AS k, v FROM parts WHERE r <= 64),
+near0 AS MATERIALIZED {assigned("book0")},
+book1 AS MATERIALIZED {averaged("book0", "near0")},
+near1 AS MATERIALIZED {assigned("book1")},
+book2 AS MATERIALIZED {averaged("book1", "near1")},
+near2 AS MATERIALIZED {assigned("book2")},
+codes AS (
+  SELECT r, string_agg(printf('%02x', k), '' ORDER BY part) AS code, sum(gap)::BIGINT AS error FROM near2 GROUP BY r
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, k)) AS codebooks_sha256 FROM book2
+)
+SELECT vec_id, label, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN codes USING (r), digest
+"""
+
+
+@query("op13_vector_codes", VECTOR_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"))
