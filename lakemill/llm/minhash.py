@@ -14,15 +14,14 @@ before left open, and every link is confirmed on full shingle sets:
 1. the diagonal tables (i, i): members of a bucket meet its pivot, so a bucket
    costs its size, not its square; links make components;
 2. all pairs of sketches whose buckets still hold two components or more: small
-   buckets in full;
+   buckets in full, large ones by their smallest set;
 3. documents of large buckets with several components left (passages that many
-   texts share): an exact prefix filter, rarest shingles first, with pivots once
-   and then every pair of different components that shares a prefix shingle.
+   texts share): the exact join of ``crowds.py``, which tells what they all have
+   in common from the rest.
 
 Before a pair travels, exact bounds rule out most that can't be similar enough:
-the sizes, the places of the shared prefix shingle, and a bitmap in which every
-shingle flips one bit, as two sets differ in at least the bits that their
-bitmaps differ in. Nothing is capped.
+the sizes, and a bitmap in which every shingle flips one bit, as two sets differ
+in at least the bits that their bitmaps differ in. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -33,9 +32,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lakemill.llm.common import column, field, slices, staying, stored, with_rows
+from lakemill.llm.crowds import crowd_links
 
 #: A bucket of so many members is compared in full; larger ones by pivots.
 SMALL = 6
@@ -247,24 +247,16 @@ def pivot_pairs(members: DataFrame, plan: Plan) -> DataFrame:
     )
 
 
-def full_pairs(members: DataFrame, nodes: DataFrame, plan: Plan) -> DataFrame:
-    """(a, b): the pairs of different components within a bucket that no bound rules out.
+def smallest_members(members: DataFrame) -> DataFrame:
+    """(key, pivot) of large buckets: the smallest set, which needs the least overlap with any other."""
+    return members.groupBy("key").agg(F.min(F.struct("n", "row", "comp")).alias("pivot"))
 
-    ``members`` may have ``pos``, the place of the key in the order of the
-    whole set. At the first shared key, what is left of either set bounds the
-    intersection; later ones need not give the pair again. AQE splits keys that
-    stand out.
-    """
+
+def full_pairs(members: DataFrame, nodes: DataFrame, plan: Plan) -> DataFrame:
+    """(a, b): the pairs of different components within a small bucket that no bound rules out."""
     wide = members.join(nodes.select("row", "bits"), "row")
-    placed = "pos" in members.columns
-    side = lambda c, *more: wide.select(
-        "key", F.col("row").alias(c), *[F.col(x).alias(f"{c}{x}") for x in ("n", "comp", "bits", *(["pos"] if placed else []))]
-    )
+    side = lambda c: wide.select("key", F.col("row").alias(c), *[F.col(x).alias(f"{c}{x}") for x in ("n", "comp", "bits")])
     bound = (F.col("a") < F.col("b")) & (F.col("acomp") != F.col("bcomp")) & fitting("an", "bn", plan)
-    if placed:
-        bound = bound & F.expr(
-            f"{100 + plan.percent} * (least(an - apos, bn - bpos) + 1) >= {plan.percent} * (an + bn)"
-        )
     bound = bound & near_bits("abits", "bbits", "an", "bn", plan)
     left, right = side("a"), side("b")
     joined = left.join(right.withColumnRenamed("key", "bkey"), (F.col("key") == F.col("bkey")) & bound)
@@ -308,33 +300,6 @@ def confirmed(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
     return kept(placed.select("a", "row", "member", "set").mapInPandas(run, "a long, b long"))
 
 
-def prefix_buckets(sets: DataFrame, plan: Plan) -> DataFrame:
-    """(key, row, n, pos): the shingles of each set's prefix, rarest first, that another set has too.
-
-    Two sets that are similar enough share a shingle of their prefixes. A
-    shingle of one set alone only takes up room in its prefix, so its rows end
-    with the count.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in slices(batches, 64):
-            own = [np.frombuffer(s, dtype="int64") for s in batch["set"]]
-            sizes = [len(x) for x in own]
-            yield pd.DataFrame({
-                "row": np.repeat(batch["row"].to_numpy(), sizes), "n": np.repeat(sizes, sizes),
-                "key": np.concatenate(own) if own else np.zeros(0, "int64"),
-            })
-
-    spelled = sets.mapInPandas(run, "row long, n long, key long")
-    often = spelled.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    common = spelled.join(often, "key")
-    own = Window.partitionBy("row")
-    place = F.row_number().over(own.orderBy("df", "key"))
-    alone = F.col("n") - F.count(F.lit(1)).over(own)
-    length = F.expr(f"n - div(n * {plan.percent} + 99, 100) + 1")
-    return common.select("key", "row", "n", (place + alone).alias("pos")).where(F.col("pos") <= length)
-
-
 def labelled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return buckets.join(labels, "row")
 
@@ -390,19 +355,24 @@ def resolve(sketch: DataFrame, classes: DataFrame, docs: DataFrame, plan: Plan)
     members = kept(tables.join(open_buckets(tables), "key").select("key", "row", "n", "comp", "size"))
     small = full_pairs(members.where(F.col("size") <= SMALL), nodes, plan)
 
-    # 3. Members of large buckets by exact prefixes: the pivot of each bucket, then all that is open.
-    crowded = members.where(F.col("size") > SMALL).select("row").distinct()
-    prefixes = kept(prefix_buckets(sets.join(crowded, "row", "left_semi"), plan))
-    buckets = labelled(prefixes, labels)
-    met = plausible(pivot_pairs(buckets.join(open_buckets(buckets), "key"), plan), nodes, plan)
+    large = members.where(F.col("size") > SMALL)
+    met = plausible(pivot_pairs(large.join(smallest_members(large), "key"), plan), nodes, plan)
     found = confirmed(small.unionByName(met).distinct(), sets, plan)
     if not found.isEmpty():
         links = kept(links.unionByName(found))
         labels = components(nodes, links)
-        buckets = labelled(prefixes, labels)
-    rest = buckets.join(open_buckets(buckets).select("key"), "key", "left_semi")
-    found = confirmed(full_pairs(rest, nodes, plan), sets, plan)
-    return labels if found.isEmpty() else components(nodes, links.unionByName(found))
+
+    # 3. Members of large buckets that are still open, exactly.
+    now = labelled(large.drop("comp"), labels)
+    crowd = kept(now.join(open_buckets(now).select("key"), "key", "left_semi").select("row").distinct())
+    if crowd.isEmpty():
+        return labels
+    found = crowd_links(
+        sets.join(crowd, "row", "left_semi"), labels.join(crowd, "row", "left_semi"), plan.percent, kept,
+        lambda pairs: confirmed(plausible(pairs, nodes, plan), sets, plan),
+        lambda more: components(nodes, links.unionByName(more)).join(crowd, "row", "left_semi"),
+    )
+    return components(nodes, links.unionByName(found))
 
 
 def near_dedup(
