@@ -13,6 +13,7 @@ from lakemill.llm.exact_dedup import exact_dedup
 from lakemill.llm.html_text import extract
 from lakemill.llm.id_store import id_store
 from lakemill.llm.minhash import near_dedup
+from lakemill.llm.ngram_join import ngram_join
 from lakemill.llm.packing import pack
 from lakemill.llm.quality import quality
 from lakemill.llm.secret_scan import secrets
@@ -172,6 +173,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets(table(spark, sf_dir, "documents"))
 
 
+@query("op12_ngram_join")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"))
+
+
 def assigned(entries: str) -> str:
     """SQL for the nearest entry of every part and its squared distance, ties to the lower index."""
     gap = "list_sum(list_transform(range(1, len(e.v) + 1), lambda i: (p.v[i] - e.v[i]) * (p.v[i] - e.v[i])))::BIGINT"
