@@ -17,6 +17,7 @@ from lakemill.llm.ngram_join import ngram_join
 from lakemill.llm.packing import pack
 from lakemill.llm.quality import quality
 from lakemill.llm.secret_scan import secrets
+from lakemill.llm.token_align import Vocabularies, token_align
 from lakemill.llm.token_counts import token_counts
 from lakemill.llm.vector_codes import vector_codes
 
@@ -173,6 +174,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets(table(spark, sf_dir, "documents"))
 
 
+@query("op11_token_align")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = Vocabularies(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return token_align(table(spark, sf_dir, "documents"), files)
+
+
 @query("op12_ngram_join")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"))
