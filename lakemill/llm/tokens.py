@@ -8,15 +8,18 @@ encoded by the tokenizers library, and frequent words come from a cache.
 from __future__ import annotations
 
 import re
+import struct
 import sys
 import types
 from array import array
 
-LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
-LATIN_MARK = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|]+)(?:\n([A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?]*))?")
+#: Letters, marks behind them (one pre-token of either vocabulary), and a word of the next line.
+LATIN_MARK = re.compile(
+    r"([A-Za-zÀ-ÖØ-öø-ÿ]+)(?:([.,;:!?|#*$%&@+=~^/_()\[\]{}\"-]+)(?:\n([A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?]*))?)?"
+)
 CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Words kept by each of the two generations of a cache, and the longest word kept.
-GENERATION, LONGEST = 250_000, 64
+GENERATION, LONGEST = 350_000, 64
 
 
 def worker_cache(key: str, make):
@@ -46,6 +49,10 @@ class WordCache(dict):
         return value
 
 
+#: Packs so many ids as unsigned 32-bit integers.
+PACKED = [struct.Struct(f"<{n}I").pack for n in range(17)]
+
+
 class OddSpace(Exception):
     """A cut at every space would split a run of white space."""
 
@@ -82,7 +89,9 @@ class Encoder:
         self.entire = any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added.values())
         self.model = self.whole.model
         self.spaced = spaced
+        self.tokenize = self.model.tokenize
         self.letters = byte_alphabet()
+        self.accents = {c: "".join(self.letters[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
         self.lead = " " if spaced else ""
         self.cache = WordCache(self.word, generation)
         self.bare = WordCache(self.bare_word, generation // 4)
@@ -99,30 +108,32 @@ class Encoder:
     def letters_piece(self, word: str, lead: str) -> bytes:
         if not self.spaced:
             return self.piece(word.lower())
-        if lead and word.isascii():  # \u0120 stands for the space
-            return array("I", [t.id for t in self.model.tokenize("\u0120" + word)]).tobytes()
-        return self.piece(lead + word)
+        # \u0120 stands for the space
+        spelled = word if word.isascii() else word.translate(self.accents)
+        ids = [t.id for t in self.tokenize("\u0120" + spelled if lead else spelled)]
+        return PACKED[len(ids)](*ids) if len(ids) < len(PACKED) else array("I", ids).tobytes()
 
     def word(self, word: str) -> bytes:
         """A word after a space."""
-        if LATIN.fullmatch(word):
-            return self.letters_piece(word, " ")
-        if m := LATIN_MARK.fullmatch(word):
-            ids = self.cache[m[1]] + self.bare[m[2]]
-            if m[3]:
-                ids += self.bare["\n"] + self.bare[m[3]] if self.spaced else self.cache[m[3]]
-            return ids
-        if not word or word.strip() != word:
-            raise OddSpace
-        return self.plain(self.lead + word)
+        m = LATIN_MARK.fullmatch(word)
+        if m is None:
+            if not word or word.strip() != word:
+                raise OddSpace
+            return self.plain(self.lead + word)
+        letters, marks, line = m.groups()
+        if marks is None:
+            return self.letters_piece(letters, " ")
+        ids = self.cache[letters] + self.bare[marks]
+        if line:
+            ids += self.bare["\n"] + self.bare[line] if self.spaced else self.cache[line]
+        return ids
 
     def bare_word(self, word: str) -> bytes:
         """A word without a space before it."""
-        if LATIN.fullmatch(word):
-            return self.letters_piece(word, "")
-        if m := LATIN_MARK.fullmatch(word):
-            return self.bare[m[1]] + self.bare[m[2]]
-        return self.plain(word)
+        m = LATIN_MARK.fullmatch(word)
+        if m is None or m[3]:
+            return self.plain(word)
+        return self.bare[m[1]] + self.bare[m[2]] if m[2] else self.letters_piece(word, "")
 
     def joined(self, words: list[str], ids) -> bytes:
         """``words`` with one space between them; the first one has none before it."""
