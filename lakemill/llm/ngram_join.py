@@ -11,7 +11,8 @@ neighbours tell. Allowances plus one that add up to D + 1 miss no pair: with all
 segments beyond their allowance, the sets would differ in D + 1 shingles.
 
 Where the allowances lie is a matter of cost. A band has a few segments more
-than D + 1, so most sets look up every segment at 0 but skip a few. A segment
+than D + 1, so most sets look up every segment at 0 but skip a few, and similar
+sets share several segments, which two sets that share one by chance do not. A segment
 subset that very many sets share (empty, or all of it from a common passage) is
 dear: it is skipped, and the units come from the cheapest alternatives, a 1
 elsewhere, priced by the matches that the deletions have, or the dear one after
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from lakemill.llm.common import column, slices, stored, with_rows
 from lakemill.llm.crowds import crowd_links
-from lakemill.llm.minhash import bitmap, components, confirmed, fitting, full_pairs, mixed, plausible, shingle_sets, shingles
+from lakemill.llm.minhash import bitmap, components, confirmed, fitting, mixed, near_bits, plausible, shingle_sets, shingles
 
 #: A key of so many sets is looked up in full; a dearer one is up to the allocation.
 SMALL = 6
@@ -44,6 +45,8 @@ SMALL = 6
 DEAR = 32
 #: Pieces of a class that may hold very many rows.
 SALTS = 8
+#: Bits of the filter that spares keys of one or two sets a second shuffle, and of a block of Spark's bitmaps.
+FILTER_BITS, BLOCK_BITS = 26, 32768
 
 _SPREAD, _SEGMENT, _VALUE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
@@ -71,10 +74,14 @@ def distance(a: int, b: int, percent: int) -> int:
 
 @lru_cache(maxsize=None)
 def band_starts(percent: int) -> tuple[int, ...]:
-    """Smallest size of each band; partners of a size lie in its band and the next lower one."""
+    """Smallest size of each band; partners of a size lie in its band and the next lower one.
+
+    Bands of 7/4 make the fewest keys: narrower ones are all looked into from
+    the band above, wider ones have more segments than their small sets need.
+    """
     starts = [1]
     while starts[-1] < 2**40:
-        starts.append(max(starts[-1] + 1, -(-starts[-1] * 100 // percent)))
+        starts.append(max(starts[-1] + 1, -(-starts[-1] * 100 // percent), starts[-1] * 7 // 4))
     return tuple(starts)
 
 
@@ -133,7 +140,7 @@ def looks_within(n: int, percent: int) -> bool:
 
 
 def signed(docs: DataFrame, plan: Plan) -> DataFrame:
-    """(row, n, digest, bits, own, below) of every (row, text): keys in the own band and the one below."""
+    """(row, n, digest, bits, wide, own, below) of every (row, text): keys in the own band, of ``wide`` segments, and below."""
     percent = plan.percent
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -146,10 +153,12 @@ def signed(docs: DataFrame, plan: Plan) -> DataFrame:
                 band = band_of(n, percent) if n else 0
                 within = full_keys(own, band, percent) if n and looks_within(n, percent) else []
                 below = full_keys(own, band - 1, percent) if n and looks_below(n, percent) else []
-                out.append((row, n, digest, bitmap(own), within, below))
-            yield pd.DataFrame(out, columns=["row", "n", "digest", "bits", "own", "below"])
+                out.append((row, n, digest, bitmap(own), segments(band, percent), within, below))
+            yield pd.DataFrame(out, columns=["row", "n", "digest", "bits", "wide", "own", "below"])
 
-    return docs.mapInPandas(run, "row long, n long, digest binary, bits array<long>, own array<long>, below array<long>")
+    return docs.mapInPandas(
+        run, "row long, n long, digest binary, bits array<long>, wide long, own array<long>, below array<long>"
+    )
 
 
 def lookups(sets: DataFrame, plan: Plan) -> DataFrame:
@@ -196,9 +205,63 @@ def budgets(probes: DataFrame, plan: Plan) -> DataFrame:
 
 
 def entries_of(nodes: DataFrame) -> DataFrame:
-    """(key, row, n, role) of every lookup."""
-    own = nodes.select(F.explode("own").alias("key"), "row", "n", F.lit(1).alias("role"))
-    return own.unionByName(nodes.select(F.explode("below").alias("key"), "row", "n", F.lit(0).alias("role")))
+    """(key, entry) of every lookup; ``entry`` is twice the row, and one more in the own band."""
+    own = nodes.select(F.explode("own").alias("key"), (F.col("row") * 2 + 1).alias("entry"))
+    return own.unionByName(nodes.select(F.explode("below").alias("key"), (F.col("row") * 2).alias("entry")))
+
+
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """A bitmap of ``2**FILTER_BITS`` bits in which those of the keys are set; its size does not depend on them."""
+    place = F.col("key").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    blocks = keys.groupBy(F.bitmap_bucket_number(place).alias("block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    out = np.zeros(((1 << FILTER_BITS) // BLOCK_BITS + 1, BLOCK_BITS // 8), dtype="uint8")
+    for block, bits in blocks.toLocalIterator():
+        out[block] = np.frombuffer(bits, dtype="uint8")
+    return out
+
+
+def filtered(nodes: DataFrame, bits: np.ndarray) -> DataFrame:
+    """(key, row, n, role): the lookups whose key may be among those of a bitmap."""
+    shared = nodes.sparkSession.sparkContext.broadcast(bits)  # of fixed size
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = shared.value
+        for batch in slices(batches):
+            for role, name in ((1, "own"), (0, "below")):
+                sizes = batch[name].map(len).to_numpy()
+                keys = np.concatenate(list(batch[name])) if sizes.sum() else np.zeros(0, dtype="int64")
+                # Block numbers start at one, as bitmap_bucket_number has them; so do positions with bit 0 of 0.
+                place = keys.astype("int64") & ((1 << FILTER_BITS) - 1)
+                at = np.where(place > 0, (place - 1) % BLOCK_BITS, 0)
+                block = np.where(place > 0, (place - 1) // BLOCK_BITS + 1, 0)
+                there = bits[block, at >> 3] >> (at & 7).astype("uint8") & 1
+                keep = there.astype(bool)
+                yield pd.DataFrame({
+                    "key": keys[keep], "row": np.repeat(batch["row"].to_numpy(), sizes)[keep],
+                    "n": np.repeat(batch["n"].to_numpy(), sizes)[keep], "role": role,
+                })
+
+    return nodes.select("row", "n", "own", "below").mapInPandas(run, "key long, row long, n long, role int")
+
+
+def counted_pairs(pairs: DataFrame, lean: DataFrame, skipped: DataFrame, plan: Plan) -> DataFrame:
+    """(a, b) of (a, b, times) that share as many keys as similar sets must.
+
+    In the band of the smaller set they differ in at most D of its segments. Of
+    those they share, the dear keys of the smaller one (row, dear) may be missing
+    from the count.
+    """
+    found = pairs.groupBy("a", "b").agg(F.sum("times").alias("times"))
+    side = lambda c: lean.select(F.col("row").alias(c), *[F.col(x).alias(f"{c}{x}") for x in ("n", "wide", "bits")])
+    sized = found.join(side("a"), "a").join(side("b"), "b").where(fitting("an", "bn", plan))
+    sized = sized.withColumn("row", F.when(F.col("an") <= F.col("bn"), F.col("a")).otherwise(F.col("b")))
+    least = F.expr(
+        f"if(an <= bn, awide, bwide) - ({100 - plan.percent} * (an + bn)) div {100 + plan.percent} - coalesce(dear, 0L)"
+    )
+    known = sized.join(skipped, "row", "left").where(F.col("times") >= least)
+    return known.where(near_bits("abits", "bbits", "an", "bn", plan)).select("a", "b")
 
 
 def open_keys(members: DataFrame) -> DataFrame:
@@ -209,15 +272,19 @@ def open_keys(members: DataFrame) -> DataFrame:
     return found.where("lo <> hi AND held > 0").select("key", "size", "held")
 
 
-def allocated(dear: DataFrame, sets: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
+def short_of(dear: DataFrame, plan: Plan) -> DataFrame:
+    """(row, role, plain, missing) of sets that hold more dear (key, row, n, role) than they may skip."""
+    return budgets(dear.groupBy("row", "role", "n").agg(F.count(F.lit(1)).alias("dear")), plan)
+
+
+def allocated(dear: DataFrame, short: DataFrame, sets: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
     """Candidates (a, b) of sets that hold (key, row, n, role, held) dear keys, and the rows of the crowd.
 
     Skipped keys are made up for by the cheapest units, those of no cost first.
     Only sets that hold a dear key themselves can have been skipped.
     """
-    probes = dear.groupBy("row", "role", "n").agg(F.count(F.lit(1)).alias("dear"))
-    short = kept(budgets(probes, plan))
-    indexed = dear.where("role = 1").select("row").distinct()
+    asked = dear.join(short.select("row", "role"), ["row", "role"], "left_semi").select("key").distinct()
+    indexed = dear.where("role = 1").join(asked, "key", "left_semi").select("row").distinct()
     wanted = kept(short.select("row").unionByName(indexed).distinct())
     keys = kept(lookups(sets.join(wanted, "row", "left_semi"), plan))
     there = keys.where("role = 1").join(indexed, "row", "left_semi").select(F.col("row").alias("b"), "kind", "key")
@@ -256,42 +323,47 @@ def allocated(dear: DataFrame, sets: DataFrame, plan: Plan) -> tuple[DataFrame,
 
 
 def resolve(nodes: DataFrame, docs: DataFrame, plan: Plan) -> DataFrame:
-    """(row, comp) of the classes (row, n, bits, own, below)."""
-    entries = entries_of(nodes)
-    found = entries.groupBy("key").agg(
-        F.count(F.lit(1)).alias("size"), F.sum("role").alias("held"), F.min("row").alias("a"), F.max("row").alias("b")
+    """(row, comp) of the classes (row, n, bits, wide, own, below)."""
+    found = entries_of(nodes).groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("entry").alias("a"), F.max("entry").alias("b"))
+    shared = kept(found.where("size > 2 OR (size = 2 AND (a % 2 = 1 OR b % 2 = 1))"))
+    lean = kept(nodes.select("row", "n", "wide", "bits"))
+    groups = shared.where("size > 2").select("key", "size")
+    members = kept(filtered(nodes, key_filter(groups)).join(groups, "key"))
+    dear = kept(members.where(F.col("size") > SMALL))
+    skipped = dear.where("role = 1").groupBy("row").agg(F.count(F.lit(1)).alias("dear"))
+    twos = shared.where("size = 2").select(F.expr("a div 2").alias("a"), F.expr("b div 2").alias("b"), F.lit(1).alias("times"))
+    few = members.where(F.col("size") <= SMALL)
+    left, right = (few.select("key", *[F.col(x).alias(f"{c}{x}") for x in ("row", "role")]) for c in "ab")
+    threes = left.join(right, "key").where("arow < brow AND arole + brole > 0").select(
+        F.col("arow").alias("a"), F.col("brow").alias("b"), F.lit(1).alias("times")
     )
-    shared = kept(found.where("size > 1 AND held > 0"))
-    lean = kept(nodes.select("row", "n", "bits"))
-    groups = shared.where("size > 2").select("key")
-    members = kept(entries.join(groups, "key"))
-    twos = kept(shared.where("size = 2").select("a", "b").distinct())
-    side = lambda c: lean.select(F.col("row").alias(c), F.col("n").alias(f"{c}n"))
-    twos = twos.join(side("a"), "a").join(side("b"), "b").where(fitting("an", "bn", plan)).select("a", "b")
-    pivots = members.groupBy("key").agg(F.min(F.struct("n", "row")).alias("pivot"))
-    met = members.join(pivots, "key").where((F.col("pivot.row") != F.col("row")) & fitting("pivot.n", "n", plan))
-    met = met.select(F.least("pivot.row", "row").alias("a"), F.greatest("pivot.row", "row").alias("b"))
-    pairs = kept(plausible(twos.unionByName(met).distinct(), lean, plan))
-    meeting = members.select("row").unionByName(pairs.select(F.col("a").alias("row"))).unionByName(pairs.select(F.col("b").alias("row")))
+    pairs = kept(counted_pairs(twos.unionByName(threes), lean, skipped, plan))
+
+    # Dear keys matter to sets that hold more of them than they may skip: first each with the smallest holder.
+    short = kept(short_of(dear, plan))
+    mine = kept(dear.join(short.select("row", "role"), ["row", "role"], "left_semi"))
+    pivots = dear.where("role = 1").groupBy("key").agg(F.min(F.struct("n", "row")).alias("pivot"))
+    met = mine.join(pivots, "key").where((F.col("pivot.row") != F.col("row")) & fitting("pivot.n", "n", plan))
+    met = met.select(F.least("pivot.row", "row").alias("a"), F.greatest("pivot.row", "row").alias("b")).distinct()
+    pairs = kept(pairs.unionByName(plausible(met, lean, plan)).distinct())
+    crowded = mine.select("row").unionByName(dear.where("role = 1").join(mine.select("key").distinct(), "key", "left_semi").select("row"))
+    meeting = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).unionByName(crowded)
     sets = stored(shingle_sets(docs.join(meeting.distinct(), "row", "left_semi"), plan), "shingle-sets")
     links = confirmed(pairs, sets, plan)
     labels = components(lean, links)
 
-    # Keys of several sets that are still open: small ones in full, dear ones by allocation.
-    live = members.join(labels, "row")
-    live = kept(live.join(open_keys(live), "key"))
-    if live.isEmpty():
+    # Then by allocation, where dear keys of several components are left.
+    live = dear.join(labels, "row")
+    live = kept(live.drop("size").join(open_keys(live), "key"))
+    short = kept(short_of(live, plan))
+    if short.isEmpty():
         return labels
-    pairs = full_pairs(live.where(F.col("size") <= SMALL), lean, plan)
-    dear = live.where(F.col("size") > SMALL)
-    if dear.isEmpty():
-        found = confirmed(pairs, sets, plan)
-        return labels if found.isEmpty() else components(lean, links.unionByName(found))
-    more, crowd = allocated(dear, sets, plan)
+    more, crowd = allocated(live, short, sets, plan)
     comps = lambda c: labels.select(F.col("row").alias(c), F.col("comp").alias(f"{c}c"))
     more = more.join(comps("a"), "a").join(comps("b"), "b").where("ac <> bc").select("a", "b")
+    side = lambda c: lean.select(F.col("row").alias(c), F.col("n").alias(f"{c}n"))
     more = more.join(side("a"), "a").join(side("b"), "b").where(fitting("an", "bn", plan)).select("a", "b")
-    found = confirmed(pairs.unionByName(plausible(more, lean, plan)).distinct(), sets, plan)
+    found = confirmed(plausible(more, lean, plan).distinct(), sets, plan)
     if not found.isEmpty():
         links = kept(links.unionByName(found))
         labels = components(lean, links)
