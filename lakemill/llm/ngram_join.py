@@ -162,7 +162,7 @@ def signed(docs: DataFrame, plan: Plan) -> DataFrame:
 
 
 def lookups(sets: DataFrame, plan: Plan) -> DataFrame:
-    """(row, role, seg, kind, key): all keys of every (row, set), kind 0 of subsets, 1 with a shingle deleted.
+    """(row, role, seg, kind, key): all keys of every (row, role, set), kind 0 of subsets, 1 with a shingle deleted.
 
     Role 1: in the set's own band; 0: in the band below.
     """
@@ -170,17 +170,18 @@ def lookups(sets: DataFrame, plan: Plan) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in slices(batches, 64):
-            for row, packed in zip(batch["row"], batch["set"]):
+            out = []
+            for row, role, packed in zip(batch["row"], batch["role"], batch["set"]):
                 own = np.frombuffer(packed, dtype="uint64")
-                band = band_of(len(own), percent)
-                for role, to in ((1, band), (0, band - 1)):
-                    if (looks_within if role else looks_below)(len(own), percent):
-                        full = full_keys(own, to, percent)
-                        at, less = deletion_keys(own, to, percent)
-                        yield pd.DataFrame({
-                            "row": row, "role": role, "seg": np.concatenate([np.arange(len(full)), at]),
-                            "kind": np.repeat([0, 1], [len(full), len(less)]), "key": np.concatenate([full, less]),
-                        })
+                band = band_of(len(own), percent) - (1 - role)
+                full = full_keys(own, band, percent)
+                at, less = deletion_keys(own, band, percent)
+                out.append(pd.DataFrame({
+                    "row": row, "role": role, "seg": np.concatenate([np.arange(len(full)), at]),
+                    "kind": np.repeat([0, 1], [len(full), len(less)]), "key": np.concatenate([full, less]),
+                }))
+            if out:
+                yield pd.concat(out)
 
     return sets.mapInPandas(run, "row long, role int, seg long, kind int, key long")
 
@@ -277,17 +278,28 @@ def short_of(dear: DataFrame, plan: Plan) -> DataFrame:
     return budgets(dear.groupBy("row", "role", "n").agg(F.count(F.lit(1)).alias("dear")), plan)
 
 
+def owed_of(dear: DataFrame, short: DataFrame) -> DataFrame:
+    """The dear keys of short sets but for the dearest, as many as may be skipped.
+
+    Similar sets share more segments than may be skipped: if all they share are
+    dear, one of these is among them.
+    """
+    least = Window.partitionBy("row", "role").orderBy("size", "key")
+    placed = dear.join(short.select("row", "role", "missing"), ["row", "role"]).withColumn("place", F.row_number().over(least))
+    return placed.where("place <= missing").drop("place", "missing")
+
+
 def allocated(dear: DataFrame, short: DataFrame, sets: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
     """Candidates (a, b) of sets that hold (key, row, n, role, held) dear keys, and the rows of the crowd.
 
     Skipped keys are made up for by the cheapest units, those of no cost first.
-    Only sets that hold a dear key themselves can have been skipped.
+    Only holders of the keys owed can be partners that no plain segment shows.
     """
-    asked = dear.join(short.select("row", "role"), ["row", "role"], "left_semi").select("key").distinct()
-    indexed = dear.where("role = 1").join(asked, "key", "left_semi").select("row").distinct()
-    wanted = kept(short.select("row").unionByName(indexed).distinct())
-    keys = kept(lookups(sets.join(wanted, "row", "left_semi"), plan))
-    there = keys.where("role = 1").join(indexed, "row", "left_semi").select(F.col("row").alias("b"), "kind", "key")
+    asked = owed_of(dear, short).select("key").distinct()
+    indexed = kept(dear.where("role = 1").join(asked, "key", "left_semi").select("row", "role").distinct())
+    wanted = short.select("row", "role").unionByName(indexed).distinct()
+    keys = kept(lookups(sets.join(wanted, "row"), plan))
+    there = keys.join(indexed, ["row", "role"], "left_semi").select(F.col("row").alias("b"), "kind", "key")
     # A probe's subset meets deletions, its deletions meet subsets.
     mine = keys.join(short.select("row", "role"), ["row", "role"], "left_semi")
     hot = dear.select("row", "role", "key", F.lit(0).alias("kind"), "held")
@@ -341,7 +353,7 @@ def resolve(nodes: DataFrame, docs: DataFrame, plan: Plan) -> DataFrame:
 
     # Dear keys matter to sets that hold more of them than they may skip: first each with the smallest holder.
     short = kept(short_of(dear, plan))
-    mine = kept(dear.join(short.select("row", "role"), ["row", "role"], "left_semi"))
+    mine = kept(owed_of(dear, short))
     pivots = dear.where("role = 1").groupBy("key").agg(F.min(F.struct("n", "row")).alias("pivot"))
     met = mine.join(pivots, "key").where((F.col("pivot.row") != F.col("row")) & fitting("pivot.n", "n", plan))
     met = met.select(F.least("pivot.row", "row").alias("a"), F.greatest("pivot.row", "row").alias("b")).distinct()

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,8 +29,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from lakemill.llm.common import stored, texts
-from lakemill.llm.tokens import CUT, Encoder, WordCache, byte_alphabet, worker_cache
+from lakemill.llm.tokens import Encoder, WordCache, byte_alphabet, worker_cache
 
+#: A space between other characters; the model of B never merges across it.
+SINGLE = re.compile("(?<=[^ ]) (?=[^ ])")
 #: A chunk ends after so many characters or documents.
 CHUNK_CHARS, CHUNK_DOCS = 2_000_000, 4096
 #: Windows remembered by each of two generations, and the most ids of one that is.
@@ -90,35 +93,55 @@ class PieceTokenizer:
         return array("I", self.model.encode(word, num_threads=1)).tobytes()
 
     def ids(self, text: str) -> np.ndarray:
-        words = CUT.split(text) if self.cuts else [text]
+        words = text.split(" ") if self.cuts else [text]
+        if self.cuts and "" in words:
+            words = SINGLE.split(text)
         return np.frombuffer(b"".join(map(self.cache.__getitem__, words)), dtype="uint32")
 
 
-@dataclass
+@dataclass(slots=True)
 class Window:
-    """Groups as text, their number, and the linked (A id << 32 | B id) of every link."""
+    """The bytes both sides stand for, groups as text, their number, and (A id << 32 | B id) of every link.
 
+    Without bytes the sides stand for different ones, and there is nothing to align.
+    """
+
+    raw: bytes | None
     groups: str
     n_groups: int
-    pairs: np.ndarray
-
+    pairs: array
 
-def ends_of(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    return np.cumsum(lengths[ids])
 
+def aligned(a: list[int], b: list[int], a_entries: list[bytes], b_entries: list[bytes]) -> Window:
+    """Groups and links of tokens, from left to right, if they cover the same bytes.
 
-def aligned(a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray) -> Window:
-    """Groups and links of tokens that cover the same bytes."""
-    shared, at_a, at_b = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
-    groups, x, y = [], 0, 0
-    names_a, names_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-    for i, j in zip((at_a + 1).tolist(), (at_b + 1).tolist()):
-        groups.append(",".join(names_a[x:i]) + "|" + ",".join(names_b[y:j]))
-        x, y = i, j
-    # Between two neighbouring ends of either kind lies the overlap of one A token with one B token.
-    ends = np.union1d(a_ends, b_ends)
-    pairs = a[np.searchsorted(a_ends, ends)].astype("int64") << 32 | b[np.searchsorted(b_ends, ends)].astype("int64")
-    return Window(";".join(groups), len(shared), pairs)
+    Between two neighbouring ends of either kind lies the overlap of one A token
+    with one B token.
+    """
+    a_bytes, b_bytes = [a_entries[x] for x in a], [b_entries[x] for x in b]
+    raw = b"".join(a_bytes)
+    if raw != b"".join(b_bytes):
+        return Window(None, "", 0, array("q"))
+    a_lengths, b_lengths = list(map(len, a_bytes)), list(map(len, b_bytes))
+    groups, pairs = [], []
+    i = j = first_a = first_b = 0
+    a_end, b_end = a_lengths[0], b_lengths[0]
+    while True:
+        pairs.append(a[i] << 32 | b[j])
+        if a_end < b_end:
+            i += 1
+            a_end += a_lengths[i]
+        elif b_end < a_end:
+            j += 1
+            b_end += b_lengths[j]
+        else:
+            i, j = i + 1, j + 1
+            groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
+            if i == len(a):
+                return Window(raw, ";".join(groups), len(groups), array("q", pairs))
+            first_a, first_b = i, j
+            a_end += a_lengths[i]
+            b_end += b_lengths[j]
 
 
 class Aligner:
@@ -134,17 +157,16 @@ class Aligner:
         self.memo: dict[tuple[bytes, bytes], Window] = {}
         self.old: dict[tuple[bytes, bytes], Window] = {}
 
-    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of both, or None where there are none to align."""
+    def tokens(self, text: str, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """Ids and ends of both, or None where they can't cover the ``size`` bytes of a space and the text."""
         if not text:
             return None
-        a, b, want = self.a.ids(text), self.b.ids(text), (" " + text).encode()
-        same = lambda ids, entries: b"".join(map(entries.__getitem__, ids.tolist())) == want
-        return (a, b) if same(a, self.a.entries) and same(b, self.b.entries) else None
+        a, b = self.a.ids(text), self.b.ids(text)
+        a_ends, b_ends = np.cumsum(self.a_lengths[a]), np.cumsum(self.b_lengths[b])
+        return (a, b, a_ends, b_ends) if a_ends[-1] == size == b_ends[-1] else None
 
-    def windows(self, a: np.ndarray, b: np.ndarray) -> list[tuple[bytes, bytes]]:
+    def windows(self, a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray) -> list[tuple[bytes, bytes]]:
         """Id tuples between anchors, packed."""
-        a_ends, b_ends = ends_of(a, self.a_lengths), ends_of(b, self.b_lengths)
         at = np.searchsorted(b_ends, a_ends)
         shared = np.flatnonzero(b_ends[at] == a_ends)
         here, there = shared + 1, at[shared] + 1
@@ -162,8 +184,7 @@ class Aligner:
         if found is None:
             found = self.old.get(key)
             if found is None:
-                a, b = np.frombuffer(key[0], dtype="uint32"), np.frombuffer(key[1], dtype="uint32")
-                found = aligned(a, b, ends_of(a, self.a_lengths), ends_of(b, self.b_lengths))
+                found = aligned(array("I", key[0]).tolist(), array("I", key[1]).tolist(), self.a.entries, self.b.entries)
             if len(key[0]) + len(key[1]) <= 4 * LONGEST:
                 if len(self.memo) >= GENERATION:
                     self.memo, self.old = {}, self.memo
@@ -177,48 +198,58 @@ class Chunk:
     def __init__(self, name: int, aligner: Aligner):
         self.name, self.aligner = name, aligner
         self.numbers: dict[tuple[bytes, bytes], int] = {}
-        self.found: list[Window] = []
+        # Of every window, by its number.
+        self.raw: list[bytes | None] = []
+        self.groups: list[str] = []
+        self.n_groups: list[int] = []
+        self.pairs: list[array] = []
         self.docs: list[tuple] = []
         self.chars = 0
 
+    def numbered(self, key: tuple[bytes, bytes]) -> int:
+        window = self.aligner.window(key)
+        self.raw.append(window.raw)
+        self.groups.append(window.groups)
+        self.n_groups.append(window.n_groups)
+        self.pairs.append(window.pairs)
+        self.numbers[key] = len(self.numbers)
+        return len(self.numbers) - 1
+
     def add(self, doc_id: str | None, text: str) -> None:
         self.chars += len(text)
-        tokens = self.aligner.tokens(text)
-        if tokens is None:
-            self.docs.append((doc_id, 0, 0, 0, 0, "", np.zeros(0, dtype="int64")))
-            return
-        numbers, found = self.numbers, self.found
-        windows = []
-        for key in self.aligner.windows(*tokens):
-            number = numbers.get(key)
-            if number is None:
-                number = numbers[key] = len(found)
-                found.append(self.aligner.window(key))
-            windows.append(number)
-        groups = hashlib.sha256(";".join([found[w].groups for w in windows]).encode()).hexdigest()
-        a, b = map(len, tokens)
-        n_groups = sum([found[w].n_groups for w in windows])
-        self.docs.append((doc_id, a, b, n_groups, a + b - n_groups, groups, np.array(windows)))
+        want = (" " + text).encode()
+        tokens = self.aligner.tokens(text, len(want))
+        if tokens is not None:
+            get, numbered = self.numbers.get, self.numbered
+            windows = [found if (found := get(key)) is not None else numbered(key) for key in self.aligner.windows(*tokens)]
+            raw = list(map(self.raw.__getitem__, windows))
+            if None not in raw and b"".join(raw) == want:
+                groups = hashlib.sha256(";".join(map(self.groups.__getitem__, windows)).encode()).hexdigest()
+                self.docs.append((doc_id, len(tokens[0]), len(tokens[1]), groups, np.array(windows)))
+                return
+        self.docs.append((doc_id, 0, 0, "", np.zeros(0, dtype="int64")))
 
     def full(self) -> bool:
         return self.chars >= CHUNK_CHARS or len(self.docs) >= CHUNK_DOCS
 
     def rows(self) -> Iterator[pd.DataFrame]:
         """A row for each document, and one with the chunk's pairs."""
-        sizes = np.array([len(w.pairs) for w in self.found], dtype="int64")
+        sizes = np.array([len(p) for p in self.pairs], dtype="int64")
+        group_counts = np.array(self.n_groups, dtype="int64")
         starts = np.cumsum(sizes) - sizes
-        every = np.concatenate([w.pairs for w in self.found]) if self.found else np.zeros(0, dtype="int64")
+        every = np.frombuffer(b"".join(self.pairs), dtype="int64")
         pairs, index = np.unique(every, return_inverse=True)
         held = np.zeros(len(pairs), dtype="int64")
         out = []
-        for doc_id, a, b, n_groups, n_links, groups, windows in self.docs:
+        for doc_id, a, b, groups, windows in self.docs:
+            n_groups = int(group_counts[windows].sum())
             own, often = np.unique(windows, return_counts=True)
             each = sizes[own]
             flat = np.repeat(starts[own] - np.cumsum(each) + each, each) + np.arange(each.sum())
             mine, back = np.unique(index[flat], return_inverse=True)
             times = np.bincount(back, weights=np.repeat(often, each), minlength=len(mine)).astype("int64")
             held[mine] += 1
-            out.append((self.name, doc_id, a, b, n_groups, n_links, groups, mine.astype("<i4").tobytes(), times.astype("<i4").tobytes()))
+            out.append((self.name, doc_id, a, b, n_groups, a + b - n_groups, groups, mine.astype("<i4").tobytes(), times.astype("<i4").tobytes()))
         none = (None,) * 8
         names = ["chunk", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "mine", "times", "pairs", "held"]
         rows = [(*doc, None, None) for doc in out] + [(self.name, *none, pairs, held)]
