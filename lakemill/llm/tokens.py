@@ -8,7 +8,6 @@ encoded by the tokenizers library, and frequent words come from a cache.
 from __future__ import annotations
 
 import re
-import struct
 import sys
 import types
 from array import array
@@ -49,10 +48,6 @@ class WordCache(dict):
         return value
 
 
-#: Packs so many ids as unsigned 32-bit integers.
-PACKED = [struct.Struct(f"<{n}I").pack for n in range(17)]
-
-
 class OddSpace(Exception):
     """A cut at every space would split a run of white space."""
 
@@ -110,8 +105,7 @@ class Encoder:
             return self.piece(word.lower())
         # \u0120 stands for the space
         spelled = word if word.isascii() else word.translate(self.accents)
-        ids = [t.id for t in self.tokenize("\u0120" + spelled if lead else spelled)]
-        return PACKED[len(ids)](*ids) if len(ids) < len(PACKED) else array("I", ids).tobytes()
+        return array("I", [t.id for t in self.tokenize("\u0120" + spelled if lead else spelled)]).tobytes()
 
     def word(self, word: str) -> bytes:
         """A word after a space."""
