@@ -275,7 +275,12 @@ MIN_UPPER_BOUND = 10.0
 
 
 def upper_bound(df: DataFrame, column: str, relative_error: float = 0.02) -> float:
-    """Two-stage bound of one column for the event histogram, at least 10."""
+    """Two-stage bound of one column for the event histogram, at least 10.
+
+    Infinite values, which have no place on a finite axis, do not move it.
+    """
+    value = typed(f"`{column}`", "double")
+    df = df.select(F.when(F.abs(value) != F.lit(math.inf), value).alias(column))
     quartiles = quantiles(df, [column], TAIL_PROBABILITIES, relative_error)[column]
     if not _usable(quartiles, 3):
         top = df.agg(F.max(column)).first()[0]

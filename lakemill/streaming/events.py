@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakemill.operators.events import explode_batches, new_batches, new_events, packed_rows, parse_envelope
-from lakemill.operators.histograms import ceil_bucket, ceil_frame, ceil_histogram
-from lakemill.operators.profiling import upper_bound
+from lakemill.streaming.ids import append_ids, compact_ids, seen_ids
+from lakemill.streaming.summaries import SUMMARY, histogram_of, merged, sketch_size, summarise
 
 BATCH = "_batch_id"
 
@@ -66,7 +66,6 @@ def replace_state(rows: DataFrame, path: str) -> None:
 
 
 ROW_STATE = "event_id string, trip_id string, fare_amount double, event_time string, event_type string, extra string"
-BATCH_STATE = "batch_id string"
 #: Of the message around a row; no part of the row itself.
 ENVELOPE_FIELDS = ("message_type", "batch_id")
 
@@ -80,12 +79,23 @@ def state_rows(rows: DataFrame) -> DataFrame:
 def apply_batch(rows: DataFrame, batch_id: int, path: str, missing: str = "drop", order=()) -> DataFrame:
     """Apply the new rows of one batch to the row state and return them.
 
-    Only the id column of earlier batches is read for the comparison.
+    Ids are compared with an index beside the rows: of it, a batch reads only
+    the buckets its own ids fall into.
     """
-    spark = rows.sparkSession
-    seen = read_state(spark, path, ROW_STATE, batch_id).select("event_id")
+    spark, index = rows.sparkSession, f"{path}-ids"
+    compact_ids(spark, index, batch_id)
+    seen = seen_ids(rows, index, batch_id)
     append_state(state_rows(new_events(rows, seen, order, missing)), path, batch_id)
-    return read_state(spark, path, ROW_STATE).filter(F.col(BATCH) == batch_id).drop(BATCH)
+    applied = batch_rows(spark, path, ROW_STATE, batch_id)
+    append_ids(applied, index, batch_id)
+    return applied
+
+
+def batch_rows(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
+    """What one batch wrote; nothing if it had no rows."""
+    if batch_id not in batches_of(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/{BATCH}={batch_id}")
 
 
 def apply_event(
@@ -110,11 +120,13 @@ def ingest_lines(lines: DataFrame, batch_id: int, path: str) -> DataFrame:
     spark = lines.sparkSession
     messages = parse_envelope(lines, ("batch", "row")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        seen = read_state(spark, f"{path}/batches", BATCH_STATE, batch_id)
-        fresh = new_batches(messages, seen.select("batch_id"))
+        named = messages.filter("message_type = 'batch' AND length(batch_id) > 0")
+        named = named.select(F.col("batch_id").alias("event_id")).distinct()
+        compact_ids(spark, f"{path}/batches", batch_id)
+        seen = seen_ids(named, f"{path}/batches", batch_id)
+        fresh = new_batches(messages, seen.select(F.col("event_id").alias("batch_id")))
         applied = apply_batch(explode_batches(fresh), batch_id, f"{path}/rows")
-        named = (F.col("message_type") == "batch") & (F.length("batch_id") > 0)
-        append_state(messages.filter(named).select("batch_id").distinct(), f"{path}/batches", batch_id)
+        append_ids(named, f"{path}/batches", batch_id)
     finally:
         messages.unpersist()
     return applied
@@ -126,36 +138,50 @@ SNAPSHOT = (
 
 
 def snapshot(spark: SparkSession, path: str, batch_id: int, applied: DataFrame, relative_error: float = 0.02) -> DataFrame:
-    """Histogram of the state after a batch.
+    """Histogram of the state after a batch, from mergeable summaries.
 
-    The bound is taken from the value column of the state. While it stays the
-    same, the last counts and those of the new rows are added up; when it moves,
-    the state is counted anew.
+    The rows of the batch are summarised and added to the summary of the batch
+    before; rows of the state are not read again. Up to 65,535 values bound and
+    counts are exact; beyond, ``relative_error`` holds for the ranks of the
+    bound, and 0 asks for the largest sketch.
     """
-    values = read_state(spark, f"{path}/rows", ROW_STATE).filter(F.col(BATCH) <= batch_id).select("fare_amount")
-    bound = upper_bound(values, "fare_amount", relative_error)
-    last = last_snapshot(spark, path, batch_id)
-    if last.isEmpty() or last.filter(F.col("upper_bound") != F.lit(bound)).limit(1).count():
-        counted = ceil_histogram(values, "fare_amount", bound=bound)
-    else:
-        fresh = (
-            applied.select(ceil_bucket(F.col("fare_amount"), bound).alias("bucket"))
-            .filter(F.col("bucket").isNotNull())
-            .groupBy("bucket")
-            .agg(F.count(F.lit(1)).alias("fresh"))
-        )
-        kept = last.select("bucket", F.col("cnt").alias("kept"))
-        joined = ceil_frame(spark, bound).join(kept, "bucket", "left").join(fresh, "bucket", "left")
-        total = F.coalesce("kept", F.lit(0)) + F.coalesce("fresh", F.lit(0))
-        counted = joined.withColumn("cnt", total).drop("kept", "fresh")
-    append_state(counted.coalesce(1), f"{path}/snapshots", batch_id)
+    size = sketch_size(relative_error)
+    before = last_of(spark, f"{path}/summaries", SUMMARY, batch_id)
+    own = summarise(applied, "fare_amount", size)
+    append_state(merged(before.unionByName(own), size).coalesce(1), f"{path}/summaries", batch_id)
+    drop_older(spark, f"{path}/summaries", batch_id)
+    made = histogram_of(last_of(spark, f"{path}/summaries", SUMMARY, batch_id + 1))
+    append_state(made.coalesce(1), f"{path}/snapshots", batch_id)
     return last_snapshot(spark, path, batch_id + 1)
 
 
+def last_of(spark: SparkSession, path: str, schema: str, before: int) -> DataFrame:
+    """What the latest of the earlier batches wrote; folder names alone tell which."""
+    known = [b for b in batches_of(spark, path) if b < before]
+    if not known:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/{BATCH}={max(known)}")
+
+
+def batches_of(spark: SparkSession, path: str) -> list[int]:
+    """Micro-batches with a folder below ``path``."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
+    return [int(n.partition("=")[2]) for n in names if n.startswith(f"{BATCH}=")]
+
+
+def drop_older(spark: SparkSession, path: str, batch_id: int, keep: int = 2) -> None:
+    """Remove folders that neither this batch nor a repeat of it needs."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for old in sorted(b for b in batches_of(spark, path) if b < batch_id)[:-keep]:
+        folder = fs_path(f"{path}/{BATCH}={old}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def last_snapshot(spark: SparkSession, path: str, before: int) -> DataFrame:
     """The latest snapshot written before a batch."""
-    snapshots = read_state(spark, f"{path}/snapshots", SNAPSHOT, before)
-    return snapshots.filter(F.col(BATCH) == snapshots.select(F.max(BATCH)).scalar()).drop(BATCH)
+    return last_of(spark, f"{path}/snapshots", SNAPSHOT, before)
 
 
 def stream_histogram(

@@ -157,3 +157,66 @@ def test_messages_one_by_one(spark, tmp_path):
     assert process_message(spark, bare, path)[0].applied_row_count == 1  # its id is made from the source
     with pytest.raises(ValueError):
         process_message(spark, E.parse_envelope(lines(spark, {"message_type": "text"})).first(), path)
+
+
+def test_ids_are_known_through_merges_and_repeats(spark, tmp_path):
+    from lakemill.streaming import ids as I
+
+    path = str(tmp_path / "ids")
+    frame = lambda names: spark.createDataFrame([(n,) for n in names], "event_id string")
+    known = set()
+    for batch in range(18):
+        I.compact_ids(spark, path, batch)
+        names = [f"e{batch}", f"e{batch}-b", "e0"]
+        seen = {r.event_id for r in I.seen_ids(frame(names), path, batch).collect()}
+        assert known & set(names) <= seen <= known  # of the buckets asked for, all; and nothing of this batch
+        I.append_ids(frame(n for n in names if n not in seen), path, batch)
+        known |= set(names)
+    found = I.folders(spark, path)
+    assert {level for level, *_ in found} == {0, 1}
+    assert max(sum(1 for l, b, *_ in found if (l, b) == key) for key in {f[:2] for f in found}) <= I.FAN_IN
+    # A merge that is cut short after its write: ids lie twice, a repeat of the batch sees and keeps the same ones.
+    I.append_ids(frame(["e3"]), path, 17)
+    I.compact_ids(spark, path, 24)
+    again = {r.event_id for r in I.seen_ids(frame(["e3", "new"]), path, 24).collect()}
+    assert "e3" in again and "new" not in again
+    few = I.seen_ids(frame(["e5"]), path, 24)
+    assert len(few.inputFiles()) <= I.FAN_IN  # one bucket of 64
+
+
+def test_repeated_batch_after_a_merge(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    frame = lambda *names: spark.createDataFrame([(n, n, 1.0, "2024", "x") for n in names], ROW)
+    for batch in range(9):
+        assert S.apply_batch(frame("a", f"b{batch}"), batch, path).count() == (2 if batch == 0 else 1)
+    assert S.apply_batch(frame("a", "b8", "b2"), 8, path).count() == 1  # batch 8 again, behind the merge
+    assert S.read_state(spark, path, S.ROW_STATE).select("event_id").distinct().count() == 10
+    assert S.read_state(spark, path, S.ROW_STATE).count() == 10
+
+
+def test_stream_stopped_and_started_gives_each_event_once(spark, tmp_path):
+    from lakemill.streaming.once import first_of_ids
+
+    box = tmp_path / "in"
+    box.mkdir()
+    for i in range(4):
+        text = "\n".join(json.dumps(row_message(day)) for day in (DAYS[i], DAYS[0], DAYS[i]))
+        (box / f"{i}.json").write_text(text + "\n")
+
+    def start():
+        rows = E.explode_batches(E.parse_envelope(S.event_stream(spark, str(box), 1)))
+        return first_of_ids(rows).writeStream.format("parquet").outputMode("append").option(
+            "checkpointLocation", str(tmp_path / "offsets")
+        )
+
+    out = str(tmp_path / "out")
+    query = start().start(out)
+    while not query.recentProgress or query.lastProgress["batchId"] < 1:
+        assert query.exception() is None
+        query.awaitTermination(1)
+    query.stop()  # somewhere between the batches
+    last = start().trigger(availableNow=True).start(out)
+    assert last.awaitTermination(600)
+    ids = sorted(r.event_id for r in spark.read.parquet(out).select("event_id").collect())
+    whole = E.explode_batches(E.parse_envelope(spark.read.text(str(box))))
+    assert ids == sorted(r.event_id for r in E.new_events(whole, spark.createDataFrame([], "event_id string")).collect())
