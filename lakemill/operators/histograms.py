@@ -120,54 +120,106 @@ def fixed_edge(top: float | None) -> int:
     return int(math.ceil(reach / FIXED_WIDTH) * FIXED_WIDTH)
 
 
-def _fixed_frame(spark: SparkSession, last: int) -> DataFrame:
-    return spark.range(last // FIXED_WIDTH).select(
-        F.col("id").cast("int").alias("bucket"),
-        (F.col("id") * FIXED_WIDTH).cast("double").alias("left_edge"),
-        ((F.col("id") + 1) * FIXED_WIDTH).cast("double").alias("right_edge"),
-        (F.col("id") * FIXED_WIDTH + FIXED_WIDTH / 2).cast("double").alias("center"),
+#: Up to here buckets have one width (4096 of them); beyond, 64 buckets share each doubling of the value.
+FIXED_REACH, OCTAVE_BUCKETS = 8192, 64
+_REACH_POWER = int(math.log2(FIXED_REACH))
+
+
+def _fixed_layout(top: float | None, endless: bool) -> tuple[int, int, bool]:
+    """Last edge of the even buckets, number of wider ones beyond them, and whether an open one comes last."""
+    last = fixed_edge(top if top is None else min(top, FIXED_REACH))
+    wider = 0
+    if top is not None and top > FIXED_REACH:
+        power = math.frexp(top)[1] - 1
+        wider = (power - _REACH_POWER) * OCTAVE_BUCKETS + int(math.ldexp(top, -power) * OCTAVE_BUCKETS - OCTAVE_BUCKETS) + 1
+    return last, wider, endless
+
+
+def _fixed_frame(spark: SparkSession, layout: tuple[int, int, bool]) -> DataFrame:
+    last, wider, endless = layout
+    even = last // FIXED_WIDTH
+    place = F.col("id") - even
+    left = lambda k: F.pow(F.lit(2.0), F.lit(_REACH_POWER) + F.floor(k / OCTAVE_BUCKETS)) * (
+        1 + F.pmod(k, F.lit(OCTAVE_BUCKETS)) / OCTAVE_BUCKETS
     )
+    beyond = F.lit(float("inf"))
+    is_even, is_open = F.col("id") < even, F.col("id") >= even + wider
+    low = F.when(is_even, (F.col("id") * FIXED_WIDTH).cast("double")).otherwise(left(place) if wider else F.lit(float(last)))
+    high = F.when(is_even, ((F.col("id") + 1) * FIXED_WIDTH).cast("double")).when(is_open, beyond).otherwise(left(place + 1))
+    framed = spark.range(even + wider + int(endless)).select(F.col("id").cast("int").alias("bucket"), low.alias("left_edge"), high.alias("right_edge"))
+    return framed.withColumn("center", F.when(is_finite("right_edge"), F.col("left_edge") + (F.col("right_edge") - F.col("left_edge")) / 2).otherwise(beyond))
+
+
+def is_finite(column: str | Column) -> Column:
+    value = (F.col(column) if isinstance(column, str) else column).cast("double")
+    return ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
 
 
-def _fixed_bucket(value: Column, last: int) -> Column:
-    """Bucket of a value; the last bucket is closed and negatives are ignored."""
-    place = F.least(F.floor(value / FIXED_WIDTH), F.lit(last // FIXED_WIDTH - 1)).cast("int")
-    return F.when((value >= 0) & (value <= F.lit(last)), place)
+def _fixed_bucket(value: Column, layout: tuple[int, int, bool]) -> Column:
+    """Bucket of a value; the last even bucket is closed if none follows, negatives are ignored.
+
+    Infinity and NaN, which Spark orders last, fall into the open bucket.
+    """
+    last, wider, _ = layout
+    even, value = last // FIXED_WIDTH, value.cast("double")
+    power = F.floor(F.log2(value))
+    # The logarithm is rounded; powers of two are exact.
+    power = F.when(value < F.pow(F.lit(2.0), power), power - 1).when(value >= F.pow(F.lit(2.0), power + 1), power + 1).otherwise(power)
+    within = F.floor(value / F.pow(F.lit(2.0), power) * OCTAVE_BUCKETS) - OCTAVE_BUCKETS
+    place = F.least(F.floor(value / FIXED_WIDTH), F.lit(even - 1))
+    return (
+        F.when(F.isnan(value) | (value == F.lit(float("inf"))), F.lit(even + wider))
+        .when((value >= FIXED_REACH) & F.lit(wider > 0), even + (power - _REACH_POWER) * OCTAVE_BUCKETS + within)
+        .when(value >= 0, place)
+        .cast("int")
+    )
+
+
+def _reach(column: str) -> list[Column]:
+    """Largest finite value, and whether there are infinite ones or NaN."""
+    value = F.col(column).cast("double")
+    beyond = F.isnan(value) | (value == F.lit(float("inf")))
+    return [F.max(F.when(is_finite(value), value)).alias("top"), F.coalesce(F.max(beyond), F.lit(False)).alias("endless")]
 
 
 def fixed_histogram(df: DataFrame, column: str) -> DataFrame:
-    """Counts over [0, 2), [2, 4), … up to the largest value, the last closed."""
-    last = fixed_edge(df.agg(F.max(F.when(~F.isnan(F.col(column).cast("double")), F.col(column)))).first()[0])
+    """Counts over [0, 2), [2, 4), … up to the largest value, the last closed.
+
+    Beyond 8192 buckets widen with the value, 64 to a doubling, and infinity and
+    NaN have an open bucket at the end: the result stays bounded, and every value
+    but negative ones is counted.
+    """
+    layout = _fixed_layout(*df.agg(*_reach(column)).first())
     counts = (
-        df.select(_fixed_bucket(F.col(column), last).alias("bucket"))
+        df.select(_fixed_bucket(F.col(column), layout).alias("bucket"))
         .filter(F.col("bucket").isNotNull())
         .groupBy("bucket")
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
-    return _fixed_frame(df.sparkSession, last).join(counts, "bucket", "left").withColumn(
+    return _fixed_frame(df.sparkSession, layout).join(counts, "bucket", "left").withColumn(
         "cnt", F.coalesce("cnt", F.lit(0))
     )
 
 
 def compare_histograms(before: DataFrame, after: DataFrame, column: str) -> DataFrame:
-    """Counts of two inputs over common edges, with their row counts."""
+    """Counts of two inputs over common edges, with the number of their values, NaN and infinity included."""
     tagged = before.select(F.col(column).alias("v"), F.lit(0).alias("side")).unionByName(
         after.select(F.col(column).alias("v"), F.lit(1).alias("side"))
     )
-    tagged = tagged.filter(F.col("v").isNotNull() & ~F.isnan(F.col("v").cast("double")))
+    tagged = tagged.filter(F.col("v").isNotNull())
     totals = tagged.agg(
-        F.max("v").alias("top"), F.count_if(F.col("side") == 0).alias("before"), F.count_if(F.col("side") == 1).alias("after")
+        *_reach("v"), F.count_if(F.col("side") == 0).alias("before"), F.count_if(F.col("side") == 1).alias("after")
     ).first()
-    last = fixed_edge(totals.top)
+    layout = _fixed_layout(totals.top, totals.endless)
     counts = (
-        tagged.select("side", _fixed_bucket(F.col("v"), last).alias("bucket"))
+        tagged.select("side", _fixed_bucket(F.col("v"), layout).alias("bucket"))
         .groupBy("bucket")
         .agg(
             F.count_if(F.col("side") == 0).alias("before_cnt"),
             F.count_if(F.col("side") == 1).alias("after_cnt"),
         )
     )
-    filled = _fixed_frame(before.sparkSession, last).join(counts, "bucket", "left")
+    filled = _fixed_frame(before.sparkSession, layout).join(counts, "bucket", "left")
     return filled.withColumns(
         {
             "before_cnt": F.coalesce("before_cnt", F.lit(0)),

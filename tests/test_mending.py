@@ -117,7 +117,7 @@ def test_batches_are_deduplicated_with_equal_copies(spark):
 def test_a_sample_never_is_the_whole_table(spark):
     df = spark.range(2000).select(F.when(F.col("id") == 7, F.repeat(F.lit("x"), 100_000)).otherwise(F.lit("y")).alias("c"))
     size = sampling.json_bytes(df)
-    assert sampling.sample_to_bytes(df, size // 2, 42, tries=3).count() < 2000
+    assert sampling.sample_to_bytes(df, size // 2, 42).count() < 2000
 
 
 def test_rows_of_other_topics_are_kept_apart(spark):
@@ -128,8 +128,8 @@ def test_rows_of_other_topics_are_kept_apart(spark):
 
 def test_nan_in_fixed_histograms(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (5.0,)], "v double")
-    assert histograms.fixed_histogram(df, "v").agg(F.sum("cnt")).first()[0] == 2
-    assert histograms.compare_histograms(df, df, "v").agg(F.sum("before_cnt")).first()[0] == 2
+    assert histograms.fixed_histogram(df, "v").agg(F.sum("cnt")).first()[0] == 3  # NaN in the open bucket
+    assert histograms.compare_histograms(df, df, "v").agg(F.sum("before_cnt")).first()[0] == 3
 
 
 def test_titles(spark):

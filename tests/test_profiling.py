@@ -131,4 +131,33 @@ def test_sample_to_bytes(spark):
     total = sampling.json_bytes(df)
     assert sampling.sample_to_bytes(df, total * 2, 1).count() == 5000
     part = sampling.sample_to_bytes(df, total // 3, 1)
-    assert total // 3 <= sampling.json_bytes(part) < total // 2
+    assert total // 3 <= sampling.json_bytes(part) < total // 3 + 40
+    assert sorted(part.collect()) == sorted(sampling.sample_to_bytes(df.repartition(7), total // 3, 1).collect())
+
+
+def test_sample_of_equal_rows_and_of_one_cell(spark, monkeypatch):
+    """Equal rows have one place, of which as many stay as it takes; a narrow first step makes further passes."""
+    df = spark.range(900).select(F.lit("same").alias("row"), F.lit(1).alias("size"))
+    each = sampling.json_bytes(df) // 900
+    for target in (0, 1, each, 10 * each + 1, 450 * each):
+        assert sampling.sample_to_bytes(df, target, 3).count() == -(-target // each)
+    monkeypatch.setattr(sampling, "STEP_BITS", 4)
+    mixed = spark.range(3000).select(F.repeat(F.lit("ab"), (F.col("id") % 9).cast("int")).alias("place"), "id")
+    total = sampling.json_bytes(mixed)
+    part = sampling.sample_to_bytes(mixed, total // 5, 3)
+    assert 0 <= sampling.json_bytes(part) - total // 5 < 60 and part.columns == mixed.columns
+    assert sampling.sample_to_bytes(mixed.limit(0), 10, 3).count() == 0
+
+
+def test_fixed_histogram_of_any_value(spark):
+    """1e9, 1e300, infinity and NaN are counted, each in the bucket whose edges hold it, in a bounded number of rows."""
+    values = [0.0, 1.9, 2.0, 8191.9, 8192.0, 8319.9, 8320.0, 16384.0, 1e9, 1e300, 1.7e308, float("inf"), float("nan"), -1.0]
+    got = H.fixed_histogram(frame(spark, values), "x").collect()
+    assert sum(r.cnt for r in got) == len(values) - 1 and len(got) <= 4096 + 64 * 1011 + 1
+    for v in values[:11]:
+        assert sum(r.cnt for r in got if r.left_edge <= v < r.right_edge) >= 1
+        assert sum(1 for r in got if r.left_edge <= v < r.right_edge) == 1
+    assert max(got, key=lambda r: r.bucket).cnt == 2 and {r.bucket for r in got} == set(range(len(got)))
+    both = H.compare_histograms(frame(spark, values), frame(spark, values[:3]), "x").collect()
+    assert {(r.before_rows, r.after_rows) for r in both} == {(14, 3)}
+    assert sum(r.before_cnt for r in both) == 13 and sum(r.after_cnt for r in both) == 3
