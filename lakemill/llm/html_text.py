@@ -87,6 +87,10 @@ WORD = re.compile(r"[a-z]+")
 NEAR, MANY = 4, 3
 
 
+#: What closing tags do not look beyond.
+P, IN_TABLE, IN_BLOCK, IN_BUTTON = frozenset(("p",)), frozenset(("table",)), SCOPE | BLOCK, SCOPE | {"button"}
+
+
 def noisy(words: set[str], name: str) -> bool:
     """Whether the words of one class or id speak against an element."""
     if words & COMMENT_WORDS and "no" not in words:
@@ -126,14 +130,23 @@ def lines_of(page: str) -> list[tuple[str, int]]:
     out: list[tuple[str, int]] = []
     parts: list[str] = []
     at, inside = 0, {"article": 0, "main": 0}
-    # Open elements, and the place in them of the one that is being left out.
-    stack: list[str] = []
+    # Open elements (an ended formatting one leaves a gap), the places of each name, and that of the one left out.
+    stack: list[str | None] = []
+    places: dict[str, list[int]] = {}
     skipping: int | None = None
 
+    def leave(name: str) -> None:
+        """Forgets the innermost place of a name."""
+        places[name].pop()
+        if not places[name]:
+            del places[name]
+
     def cut(place: int) -> None:
         """Ends the elements from a place of the stack on."""
         nonlocal skipping
         for gone in stack[place:]:
+            if gone is not None:
+                leave(gone)
             if gone in MAIN:
                 inside[gone] -= 1
         del stack[place:]
@@ -141,13 +154,12 @@ def lines_of(page: str) -> list[tuple[str, int]]:
             skipping = None
 
     def find(names: frozenset[str], barrier: frozenset[str]) -> int | None:
-        """Place of the innermost open element of one of the names."""
-        for place in range(len(stack) - 1, -1, -1):
-            if stack[place] in names:
-                return place
-            if stack[place] in barrier:
-                return None
-        return None
+        """Place of the innermost open element of one of the names, if none of the barrier lies within it."""
+        place = max((places[n][-1] for n in names if n in places), default=-1)
+        if place < 0:
+            return None
+        wall = max((at[-1] for n, at in places.items() if n in barrier and n not in names), default=-1)
+        return place if place > wall else None
 
     def flush() -> None:
         text = " ".join("".join(parts).split())
@@ -182,11 +194,12 @@ def lines_of(page: str) -> list[tuple[str, int]]:
                     if place == skipping:
                         flush()
                         skipping = None
-                    elif skipping is not None and place < skipping:
-                        skipping -= 1
-                    del stack[place]
+                    leave(name)
+                    stack[place] = None
+                    while stack and stack[-1] is None:
+                        stack.pop()
                 continue
-            barrier = frozenset(("table",)) if name in TABLE_PARTS else SCOPE if name in BLOCK or name in NEVER else SCOPE | BLOCK
+            barrier = IN_TABLE if name in TABLE_PARTS else SCOPE if name in BLOCK or name in NEVER else IN_BLOCK
             place = find(frozenset((name,)), barrier)
             if place is not None:
                 if skipping is not None and place <= skipping:
@@ -194,12 +207,12 @@ def lines_of(page: str) -> list[tuple[str, int]]:
                 cut(place)
             continue
         if name in VOID or rest.endswith("/"):
-            if name == "hr" and (place := find(frozenset(("p",)), SCOPE)) is not None:
+            if name == "hr" and (place := find(P, SCOPE)) is not None:
                 cut(place)
             continue
         if name in IMPLIED and (place := find(*IMPLIED[name])) is not None:
             cut(place)
-        if name in ENDS_P and (place := find(frozenset(("p",)), SCOPE | {"button"})) is not None:
+        if name in ENDS_P and (place := find(P, IN_BUTTON)) is not None:
             cut(place)
         within = bool(inside["article"] or inside["main"])
         if skipping is None:
@@ -208,6 +221,7 @@ def lines_of(page: str) -> list[tuple[str, int]]:
                 skipping = len(stack)
         elif name in MAIN and not is_noise(name, rest, within):
             skipping = None  # an element that was never closed does not swallow the article
+        places.setdefault(name, []).append(len(stack))
         stack.append(name)
         if name in MAIN:
             inside[name] += 1

@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -63,11 +64,13 @@ CLASSES = (
     CharClass("upper", r"[A-Z0-9]", 20, 3.4, "du", SPREAD),
 )
 
+#: Words in one case, capitalised or joined as in camelCase, each of two letters or more; keys of mixed case are none.
+NAME = "(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+)++"
 #: A span that one of these matches as a whole is harmless: UUIDs, dates and times, counted file names, the alphabet.
 ALLOWED = (
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
     r"[0-9T:Z+_-]+",
-    r"([A-Za-z]+[-_/])*[A-Za-z]+[-_/]?[0-9]{1,4}",
+    rf"({NAME}[-_/])*{NAME}[-_/]?[0-9]{{1,4}}",
 )
 #: A word of letters and digits that holds one of these is harmless up to a length of two windows; a longer one only
 #: where a window holds it whole.
@@ -138,13 +141,17 @@ def entropy_spans(text: str, classes: tuple[CharClass, ...] = CLASSES, allowed:
         if not DIGIT.search(candidate[0]):
             continue
         harmless, excused = placeholders(candidate[0], candidate.start())
+        # Either list ascends and does not overlap itself, so a window asks one entry of each.
+        word_starts, word_ends = [x for x, _ in harmless], [y for _, y in harmless]
+        held_starts, held_ends = [x for x, _ in excused], [y for _, y in excused]
         for c in classes:
             for run in re.finditer(c.chars + "{%d,}" % c.size, candidate[0]):
                 first = candidate.start() + run.start()
                 for start, bits, kinds in windows(run[0], c.size):
                     if bits >= c.bits and enough(kinds, c.needs):
                         a, b = first + start, first + start + c.size
-                        if any(a < y and x < b for x, y in harmless) or any(a <= x and y <= b for x, y in excused):
+                        k, j = bisect_right(word_ends, a), bisect_left(held_starts, a)
+                        if k < len(harmless) and word_starts[k] < b or j < len(excused) and held_ends[j] <= b:
                             continue
                         if not c.shape:
                             found.append((a, b))
