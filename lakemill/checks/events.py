@@ -7,11 +7,13 @@ from lakemill.checks.profiling import CEIL
 from lakemill.checks.registry import job
 from lakemill.operators import events as E
 from lakemill.operators.numbering import with_row_index
+from lakemill.operators.reconcile import reconcile
 from lakemill.plans.realtime import process_message
 from lakemill.session import scratch_path
 from lakemill.sinks.files import with_chunks, write_chunks
 from lakemill.sources.inbox import inbox_rows, load_manifest
 from lakemill.streaming import events as S
+from lakemill.streaming.once import first_of_ids
 
 ROWS = "SELECT event_id, trip_id, fare_amount, event_time, event_type FROM rt_events"
 ONCE = """SELECT cast(event_id AS string) AS event_id, cast(user_id AS string) AS trip_id, value AS fare_amount,
@@ -190,6 +192,25 @@ def _(d):
     return count("file").union(count("row"))
 
 
+CHANGED = """SELECT event_id, CASE WHEN event_type = 'view' THEN trip_id || 'x' ELSE trip_id END AS trip_id,
+    CASE WHEN fare_amount > 40 THEN fare_amount + 1 ELSE fare_amount END AS fare_amount, event_time, event_type
+    FROM ({}) r WHERE event_type <> 'error'"""
+
+
+@job(
+    "parity_whole_rows",
+    f"""SELECT a.event_id AS key, 1::bigint AS truth_rows, count(b.event_id) AS built_rows,
+          CASE WHEN count(b.event_id) = 0 THEN 'missing' ELSE 'changed' END AS status,
+          CASE WHEN count(b.event_id) > 0 THEN concat_ws(',',
+            CASE WHEN any_value(a.trip_id) <> any_value(b.trip_id) THEN 'trip_id' END,
+            CASE WHEN any_value(a.fare_amount) <> any_value(b.fare_amount) THEN 'fare_amount' END) END AS changed
+        FROM ({ONCE}) a LEFT JOIN ({CHANGED.format(ONCE)}) b USING (event_id)
+        WHERE b.event_id IS NULL OR a.trip_id <> b.trip_id OR a.fare_amount <> b.fare_amount GROUP BY a.event_id""",
+)
+def _(d):
+    return reconcile(d.sql(ONCE), d.sql(CHANGED.format(ONCE)), "event_id")
+
+
 @job("row_batch_manifest_load", f"SELECT *, row_number() OVER (ORDER BY event_time, event_id) AS source_row_index FROM ({ONCE}) e")
 def _(d):
     path = scratch_path(d.spark, "manifest")
@@ -331,6 +352,18 @@ def _(d):
     return d.spark.read.parquet(f"{path}/out")
 
 
+@job("stream_events_once", f"SELECT DISTINCT event_id FROM ({ROWS}) r WHERE event_id <> ''")
+def _(d):
+    """Messages sent twice, in micro-batches, with the ids of earlier ones in the state store."""
+    path = scratch_path(d.spark, "once")
+    row_lines(d).repartition(2).write.text(f"{path}/in")
+    row_lines(d).repartition(2).write.mode("append").text(f"{path}/in")
+    events = E.explode_batches(E.parse_envelope(S.event_stream(d.spark, f"{path}/in", 2))).select("event_id", "trip_id")
+    query = first_of_ids(events).writeStream.format("parquet").option("checkpointLocation", f"{path}/offsets")
+    query.outputMode("append").trigger(availableNow=True).start(f"{path}/out").awaitTermination(1800)
+    return d.spark.read.parquet(f"{path}/out").select("event_id")
+
+
 ONCE_BOUND = """vals AS (SELECT value AS x FROM events WHERE value IS NOT NULL),
 q AS (SELECT quantile_disc(x, 0.25) AS q25, quantile_disc(x, 0.75) AS q75, quantile_disc(x, 0.99) AS q99 FROM vals),
 h AS (SELECT CASE WHEN q75 - q25 <= 0 THEN q99 ELSE least(q99, q75 + 3 * (q75 - q25)) END AS hi1 FROM q),
