@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from lakemill.llm.common import slices
 
 #: A shingle of more sets of a crowd than this is common.
-COMMON = 32
+COMMON = 8
 
 
 def overlap(an: str, bn: str, percent: int) -> str:
