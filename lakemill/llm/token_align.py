@@ -5,7 +5,7 @@ same bytes again, a space and the text; then every token has a place in them.
 An end that tokens of both share, verified on these places, is an anchor where
 both go on with a token that begins with a space. Anchors cut a document into
 windows, pairs of id tuples. What lies in a window depends on its ids alone, so
-its groups and links are worked out once and remembered by the id tuples.
+its groups and links are worked out once in a chunk and remembered by the id tuples.
 
 How many documents link a pair of ids is counted over the corpus without a row
 per document and pair: tasks work in chunks of bounded size, keep the distinct
@@ -34,9 +34,7 @@ from lakemill.llm.tokens import Encoder, WordCache, byte_alphabet, worker_cache
 #: A space between other characters; the model of B never merges across it.
 SINGLE = re.compile("(?<=[^ ]) (?=[^ ])")
 #: A chunk ends after so many characters or documents.
-CHUNK_CHARS, CHUNK_DOCS = 2_000_000, 4096
-#: Windows remembered by each of two generations, and the most ids of one that is.
-GENERATION, LONGEST = 150_000, 64
+CHUNK_CHARS, CHUNK_DOCS = 4_000_000, 4096
 
 
 @dataclass(frozen=True)
@@ -99,53 +97,8 @@ class PieceTokenizer:
         return np.frombuffer(b"".join(map(self.cache.__getitem__, words)), dtype="uint32")
 
 
-@dataclass(slots=True)
-class Window:
-    """The bytes both sides stand for, groups as text, their number, and (A id << 32 | B id) of every link.
-
-    Without bytes the sides stand for different ones, and there is nothing to align.
-    """
-
-    raw: bytes | None
-    groups: str
-    n_groups: int
-    pairs: array
-
-
-def aligned(a: list[int], b: list[int], a_entries: list[bytes], b_entries: list[bytes]) -> Window:
-    """Groups and links of tokens, from left to right, if they cover the same bytes.
-
-    Between two neighbouring ends of either kind lies the overlap of one A token
-    with one B token.
-    """
-    a_bytes, b_bytes = [a_entries[x] for x in a], [b_entries[x] for x in b]
-    raw = b"".join(a_bytes)
-    if raw != b"".join(b_bytes):
-        return Window(None, "", 0, array("q"))
-    a_lengths, b_lengths = list(map(len, a_bytes)), list(map(len, b_bytes))
-    groups, pairs = [], []
-    i = j = first_a = first_b = 0
-    a_end, b_end = a_lengths[0], b_lengths[0]
-    while True:
-        pairs.append(a[i] << 32 | b[j])
-        if a_end < b_end:
-            i += 1
-            a_end += a_lengths[i]
-        elif b_end < a_end:
-            j += 1
-            b_end += b_lengths[j]
-        else:
-            i, j = i + 1, j + 1
-            groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
-            if i == len(a):
-                return Window(raw, ";".join(groups), len(groups), array("q", pairs))
-            first_a, first_b = i, j
-            a_end += a_lengths[i]
-            b_end += b_lengths[j]
-
-
 class Aligner:
-    """Both tokenizers of a worker, and the windows it remembers."""
+    """Both tokenizers of a worker, and what its chunks need of their vocabularies."""
 
     def __init__(self, files: Vocabularies):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -154,87 +107,112 @@ class Aligner:
         spaced = lambda entries: np.array([e[:1] == b" " for e in entries])
         self.a_lengths, self.b_lengths = measure(self.a.entries), measure(self.b.entries)
         self.a_spaced, self.b_spaced = spaced(self.a.entries), spaced(self.b.entries)
-        self.memo: dict[tuple[bytes, bytes], Window] = {}
-        self.old: dict[tuple[bytes, bytes], Window] = {}
+        # Decimal ids with what may follow them: another of the same side and group, the other side, another group.
+        self.size = max(len(self.a.entries), len(self.b.entries))
+        self.names = [f"{i}{mark}" for mark in ",|;" for i in range(self.size)]
 
-    def tokens(self, text: str, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
-        """Ids and ends of both, or None where they can't cover the ``size`` bytes of a space and the text."""
+    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of both, or None where they don't give the bytes of a space and the text."""
         if not text:
             return None
-        a, b = self.a.ids(text), self.b.ids(text)
-        a_ends, b_ends = np.cumsum(self.a_lengths[a]), np.cumsum(self.b_lengths[b])
-        return (a, b, a_ends, b_ends) if a_ends[-1] == size == b_ends[-1] else None
-
-    def windows(self, a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray) -> list[tuple[bytes, bytes]]:
-        """Id tuples between anchors, packed."""
-        at = np.searchsorted(b_ends, a_ends)
-        shared = np.flatnonzero(b_ends[at] == a_ends)
-        here, there = shared + 1, at[shared] + 1
+        a, b, want = self.a.ids(text), self.b.ids(text), (" " + text).encode()
+        same = lambda ids, entries: b"".join(map(entries.__getitem__, ids.tolist())) == want
+        return (a, b) if same(a, self.a.entries) and same(b, self.b.entries) else None
+
+
+class Alignment:
+    """Windows of one document, and what lies in those that are asked for."""
+
+    def __init__(self, aligner: Aligner, a: np.ndarray, b: np.ndarray):
+        self.aligner, self.a, self.b = aligner, a, b
+        self.a_ends, self.b_ends = np.cumsum(aligner.a_lengths[a]), np.cumsum(aligner.b_lengths[b])
+        at = np.searchsorted(self.b_ends, self.a_ends)
+        self.shared = self.b_ends[at] == self.a_ends
+        self.shared_b = np.zeros(len(b), dtype=bool)
+        self.shared_b[at[self.shared]] = True
+        # Anchors: shared ends before tokens with a space on both sides, and the last end.
+        here, there = np.flatnonzero(self.shared) + 1, at[self.shared] + 1
         inner = here < len(a)
-        inner[inner] = self.a_spaced[a[here[inner]]] & self.b_spaced[b[there[inner]]]
+        inner[inner] = aligner.a_spaced[a[here[inner]]] & aligner.b_spaced[b[there[inner]]]
         inner[-1] = True
-        cut_a, cut_b = (here[inner] * 4).tolist(), (there[inner] * 4).tolist()
-        packed_a, packed_b = a.tobytes(), b.tobytes()
-        return [
-            (packed_a[i:j], packed_b[k:m]) for i, j, k, m in zip([0, *cut_a], cut_a, [0, *cut_b], cut_b)
-        ]
+        start = np.zeros(1, dtype="int64")
+        self.cut_a, self.cut_b = np.concatenate([start, here[inner]]), np.concatenate([start, there[inner]])
+        self.groups = np.concatenate([start, np.flatnonzero(inner) + 1])
+        self.laid_out = None
 
-    def window(self, key: tuple[bytes, bytes]) -> Window:
-        found = self.memo.get(key)
-        if found is None:
-            found = self.old.get(key)
-            if found is None:
-                found = aligned(array("I", key[0]).tolist(), array("I", key[1]).tolist(), self.a.entries, self.b.entries)
-            if len(key[0]) + len(key[1]) <= 4 * LONGEST:
-                if len(self.memo) >= GENERATION:
-                    self.memo, self.old = {}, self.memo
-                self.memo[key] = found
-        return found
+    def windows(self) -> list[tuple[bytes, bytes]]:
+        """Id tuples between anchors, packed."""
+        i, j = (self.cut_a * 4).tolist(), (self.cut_b * 4).tolist()
+        a, b = self.a.tobytes(), self.b.tobytes()
+        return [(a[p:q], b[r:s]) for p, q, r, s in zip(i, i[1:], j, j[1:])]
+
+    def lay_out(self) -> tuple:
+        """Groups and links of the whole document, and where each window's begin: worked out once, when a window is new."""
+        group_a, group_b = (np.cumsum(x) - x for x in (self.shared, self.shared_b))
+        side = np.concatenate([2 * group_a, 2 * group_b + 1])
+        order = np.argsort(side, kind="stable")
+        side = side[order]
+        last = np.append(side[1:] != side[:-1], True)
+        mark = np.where(last, 1 + side % 2, 0)
+        ids = np.concatenate([self.a, self.b]).astype("int64")[order]
+        pieces = list(map(self.aligner.names.__getitem__, (mark * self.aligner.size + ids).tolist()))
+        # Between two neighbouring ends of either kind lies the overlap of one A token with one B token.
+        ends = np.union1d(self.a_ends, self.b_ends)
+        of_a, of_b = np.searchsorted(self.a_ends, ends), np.searchsorted(self.b_ends, ends)
+        pairs = self.a[of_a].astype("int64") << 32 | self.b[of_b].astype("int64")
+        first = self.cut_a + self.cut_b
+        return pieces, pairs.tobytes(), first.tolist(), ((first - self.groups) * 8).tolist(), self.groups.tolist()
+
+    def window(self, k: int) -> tuple[str, int, bytes]:
+        """Groups as text, their number, and the packed (A id << 32 | B id) of every link of window ``k``."""
+        if self.laid_out is None:
+            self.laid_out = self.lay_out()
+        pieces, pairs, first, links, groups = self.laid_out
+        return "".join(pieces[first[k] : first[k + 1]])[:-1], groups[k + 1] - groups[k], pairs[links[k] : links[k + 1]]
 
 
 class Chunk:
-    """Documents of one chunk, their windows numbered, and the pairs these link."""
+    """Documents of one chunk, and its windows: worked out once each, and remembered by their id tuples."""
 
     def __init__(self, name: int, aligner: Aligner):
         self.name, self.aligner = name, aligner
         self.numbers: dict[tuple[bytes, bytes], int] = {}
         # Of every window, by its number.
-        self.raw: list[bytes | None] = []
         self.groups: list[str] = []
         self.n_groups: list[int] = []
-        self.pairs: list[array] = []
+        self.pairs: list[bytes] = []
         self.docs: list[tuple] = []
         self.chars = 0
 
-    def numbered(self, key: tuple[bytes, bytes]) -> int:
-        window = self.aligner.window(key)
-        self.raw.append(window.raw)
-        self.groups.append(window.groups)
-        self.n_groups.append(window.n_groups)
-        self.pairs.append(window.pairs)
-        self.numbers[key] = len(self.numbers)
-        return len(self.numbers) - 1
-
     def add(self, doc_id: str | None, text: str) -> None:
         self.chars += len(text)
-        want = (" " + text).encode()
-        tokens = self.aligner.tokens(text, len(want))
-        if tokens is not None:
-            get, numbered = self.numbers.get, self.numbered
-            windows = [found if (found := get(key)) is not None else numbered(key) for key in self.aligner.windows(*tokens)]
-            raw = list(map(self.raw.__getitem__, windows))
-            if None not in raw and b"".join(raw) == want:
-                groups = hashlib.sha256(";".join(map(self.groups.__getitem__, windows)).encode()).hexdigest()
-                self.docs.append((doc_id, len(tokens[0]), len(tokens[1]), groups, np.array(windows)))
-                return
-        self.docs.append((doc_id, 0, 0, "", np.zeros(0, dtype="int64")))
+        tokens = self.aligner.tokens(text)
+        if tokens is None:
+            self.docs.append((doc_id, 0, 0, "", np.zeros(0, dtype="int64")))
+            return
+        found = Alignment(self.aligner, *tokens)
+        keys, numbers = found.windows(), self.numbers
+        windows = list(map(numbers.get, keys))
+        if None in windows:
+            for k, key in enumerate(keys):
+                if windows[k] is None:
+                    number = numbers.get(key)
+                    if number is None:
+                        number = numbers[key] = len(numbers)
+                        groups, n_groups, pairs = found.window(k)
+                        self.groups.append(groups)
+                        self.n_groups.append(n_groups)
+                        self.pairs.append(pairs)
+                    windows[k] = number
+        digest = hashlib.sha256(";".join(map(self.groups.__getitem__, windows)).encode()).hexdigest()
+        self.docs.append((doc_id, len(tokens[0]), len(tokens[1]), digest, np.array(windows)))
 
     def full(self) -> bool:
         return self.chars >= CHUNK_CHARS or len(self.docs) >= CHUNK_DOCS
 
     def rows(self) -> Iterator[pd.DataFrame]:
         """A row for each document, and one with the chunk's pairs."""
-        sizes = np.array([len(p) for p in self.pairs], dtype="int64")
+        sizes = np.array([len(p) // 8 for p in self.pairs], dtype="int64")
         group_counts = np.array(self.n_groups, dtype="int64")
         starts = np.cumsum(sizes) - sizes
         every = np.frombuffer(b"".join(self.pairs), dtype="int64")
