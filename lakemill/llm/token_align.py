@@ -107,6 +107,9 @@ class Aligner:
         spaced = lambda entries: np.array([e[:1] == b" " for e in entries])
         self.a_lengths, self.b_lengths = measure(self.a.entries), measure(self.b.entries)
         self.a_spaced, self.b_spaced = spaced(self.a.entries), spaced(self.b.entries)
+        flat = lambda entries: np.frombuffer(b"".join(entries), dtype="uint8")
+        self.a_flat, self.b_flat = flat(self.a.entries), flat(self.b.entries)
+        self.a_starts, self.b_starts = (np.cumsum(x) - x for x in (self.a_lengths, self.b_lengths))
         # Decimal ids with what may follow them: another of the same side and group, the other side, another group.
         self.size = max(len(self.a.entries), len(self.b.entries))
         self.names = [f"{i}{mark}" for mark in ",|;" for i in range(self.size)]
@@ -115,60 +118,70 @@ class Aligner:
         """Ids of both, or None where they don't give the bytes of a space and the text."""
         if not text:
             return None
-        a, b, want = self.a.ids(text), self.b.ids(text), (" " + text).encode()
-        same = lambda ids, entries: b"".join(map(entries.__getitem__, ids.tolist())) == want
-        return (a, b) if same(a, self.a.entries) and same(b, self.b.entries) else None
-
-
-class Alignment:
-    """Windows of one document, and what lies in those that are asked for."""
-
-    def __init__(self, aligner: Aligner, a: np.ndarray, b: np.ndarray):
-        self.aligner, self.a, self.b = aligner, a, b
-        self.a_ends, self.b_ends = np.cumsum(aligner.a_lengths[a]), np.cumsum(aligner.b_lengths[b])
-        at = np.searchsorted(self.b_ends, self.a_ends)
-        self.shared = self.b_ends[at] == self.a_ends
-        self.shared_b = np.zeros(len(b), dtype=bool)
-        self.shared_b[at[self.shared]] = True
-        # Anchors: shared ends before tokens with a space on both sides, and the last end.
-        here, there = np.flatnonzero(self.shared) + 1, at[self.shared] + 1
-        inner = here < len(a)
-        inner[inner] = aligner.a_spaced[a[here[inner]]] & aligner.b_spaced[b[there[inner]]]
-        inner[-1] = True
-        start = np.zeros(1, dtype="int64")
-        self.cut_a, self.cut_b = np.concatenate([start, here[inner]]), np.concatenate([start, there[inner]])
-        self.groups = np.concatenate([start, np.flatnonzero(inner) + 1])
-        self.laid_out = None
-
-    def windows(self) -> list[tuple[bytes, bytes]]:
-        """Id tuples between anchors, packed."""
-        i, j = (self.cut_a * 4).tolist(), (self.cut_b * 4).tolist()
-        a, b = self.a.tobytes(), self.b.tobytes()
-        return [(a[p:q], b[r:s]) for p, q, r, s in zip(i, i[1:], j, j[1:])]
-
-    def lay_out(self) -> tuple:
-        """Groups and links of the whole document, and where each window's begin: worked out once, when a window is new."""
-        group_a, group_b = (np.cumsum(x) - x for x in (self.shared, self.shared_b))
-        side = np.concatenate([2 * group_a, 2 * group_b + 1])
-        order = np.argsort(side, kind="stable")
-        side = side[order]
-        last = np.append(side[1:] != side[:-1], True)
-        mark = np.where(last, 1 + side % 2, 0)
-        ids = np.concatenate([self.a, self.b]).astype("int64")[order]
-        pieces = list(map(self.aligner.names.__getitem__, (mark * self.aligner.size + ids).tolist()))
+        a, b, want = self.a.ids(text), self.b.ids(text), np.frombuffer((" " + text).encode(), dtype="uint8")
+        same = spells(a, want, self.a_lengths, self.a_starts, self.a_flat)
+        return (a, b) if same and spells(b, want, self.b_lengths, self.b_starts, self.b_flat) else None
+
+    def worked_out(self, keys: list[tuple[bytes, bytes]]) -> list[tuple[str, bytes]]:
+        """Of windows by their id tuples: groups as text, and the packed (A id << 32 | B id) of every link.
+
+        The windows stand one behind the other and are aligned at once.
+        """
+        a = np.frombuffer(b"".join([x for x, _ in keys]), dtype="uint32")
+        b = np.frombuffer(b"".join([y for _, y in keys]), dtype="uint32")
+        a_ends, b_ends = np.cumsum(self.a_lengths[a]), np.cumsum(self.b_lengths[b])
+        at = np.searchsorted(b_ends, a_ends)
+        shared = b_ends[at] == a_ends
+        last_a, last_b = np.zeros(len(a), dtype="int64"), np.zeros(len(b), dtype="int64")
+        last_a[shared] = 1
+        last_b[at[shared]] = 1
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        upto_a, upto_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1
+        # A token stands behind the B tokens of earlier groups; a B token behind the A tokens of its own as well.
+        place_a = np.arange(len(a)) + np.append(0, upto_b[:-1])[group_a]
+        place_b = np.arange(len(b)) + upto_a[group_b]
+        names = np.empty(len(a) + len(b), dtype="int64")
+        names[place_a] = a + self.size * last_a
+        names[place_b] = b + 2 * self.size * last_b
+        pieces = list(map(self.names.__getitem__, names.tolist()))
         # Between two neighbouring ends of either kind lies the overlap of one A token with one B token.
-        ends = np.union1d(self.a_ends, self.b_ends)
-        of_a, of_b = np.searchsorted(self.a_ends, ends), np.searchsorted(self.b_ends, ends)
-        pairs = self.a[of_a].astype("int64") << 32 | self.b[of_b].astype("int64")
-        first = self.cut_a + self.cut_b
-        return pieces, pairs.tobytes(), first.tolist(), ((first - self.groups) * 8).tolist(), self.groups.tolist()
+        ends = np.union1d(a_ends, b_ends)
+        of_a, of_b = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+        pairs = (a[of_a].astype("int64") << 32 | b[of_b].astype("int64")).tobytes()
+        cut_a = np.cumsum([0] + [len(x) >> 2 for x, _ in keys])
+        cut_b = np.cumsum([0] + [len(y) >> 2 for _, y in keys])
+        groups = np.append(0, np.cumsum(last_a))[cut_a]
+        first, links = (cut_a + cut_b).tolist(), ((cut_a + cut_b - groups) * 8).tolist()
+        return [
+            ("".join(pieces[p:q])[:-1], pairs[r:s])
+            for p, q, r, s in zip(first, first[1:], links, links[1:])
+        ]
+
+
+def spells(ids: np.ndarray, want: np.ndarray, lengths: np.ndarray, starts: np.ndarray, flat: np.ndarray) -> bool:
+    """Whether the entries of the ids, one behind the other, are these bytes."""
+    sizes = lengths[ids]
+    ends = np.cumsum(sizes)
+    if ends[-1] != len(want):
+        return False
+    return np.array_equal(flat[np.repeat(starts[ids] - ends + sizes, sizes) + np.arange(len(want))], want)
 
-    def window(self, k: int) -> tuple[str, int, bytes]:
-        """Groups as text, their number, and the packed (A id << 32 | B id) of every link of window ``k``."""
-        if self.laid_out is None:
-            self.laid_out = self.lay_out()
-        pieces, pairs, first, links, groups = self.laid_out
-        return "".join(pieces[first[k] : first[k + 1]])[:-1], groups[k + 1] - groups[k], pairs[links[k] : links[k + 1]]
+
+def windows_of(aligner: Aligner, a: np.ndarray, b: np.ndarray) -> tuple[list[tuple[bytes, bytes]], int]:
+    """Packed id tuples between anchors, and the number of groups of the document.
+
+    Anchors are shared ends before tokens with a space on both sides, and the last end.
+    """
+    a_ends, b_ends = np.cumsum(aligner.a_lengths[a]), np.cumsum(aligner.b_lengths[b])
+    at = np.searchsorted(b_ends, a_ends)
+    shared = np.flatnonzero(b_ends[at] == a_ends)
+    here, there = shared + 1, at[shared] + 1
+    inner = here < len(a)
+    inner[inner] = aligner.a_spaced[a[here[inner]]] & aligner.b_spaced[b[there[inner]]]
+    inner[-1] = True
+    i, j = [0, *(here[inner] * 4).tolist()], [0, *(there[inner] * 4).tolist()]
+    a_packed, b_packed = a.tobytes(), b.tobytes()
+    return [(a_packed[p:q], b_packed[r:s]) for p, q, r, s in zip(i, i[1:], j, j[1:])], len(shared)
 
 
 class Chunk:
@@ -179,7 +192,6 @@ class Chunk:
         self.numbers: dict[tuple[bytes, bytes], int] = {}
         # Of every window, by its number.
         self.groups: list[str] = []
-        self.n_groups: list[int] = []
         self.pairs: list[bytes] = []
         self.docs: list[tuple] = []
         self.chars = 0
@@ -188,24 +200,20 @@ class Chunk:
         self.chars += len(text)
         tokens = self.aligner.tokens(text)
         if tokens is None:
-            self.docs.append((doc_id, 0, 0, "", np.zeros(0, dtype="int64")))
+            self.docs.append((doc_id, 0, 0, 0, "", np.zeros(0, dtype="int64")))
             return
-        found = Alignment(self.aligner, *tokens)
-        keys, numbers = found.windows(), self.numbers
+        keys, n_groups = windows_of(self.aligner, *tokens)
+        numbers = self.numbers
         windows = list(map(numbers.get, keys))
         if None in windows:
-            for k, key in enumerate(keys):
-                if windows[k] is None:
-                    number = numbers.get(key)
-                    if number is None:
-                        number = numbers[key] = len(numbers)
-                        groups, n_groups, pairs = found.window(k)
-                        self.groups.append(groups)
-                        self.n_groups.append(n_groups)
-                        self.pairs.append(pairs)
-                    windows[k] = number
+            new = list(dict.fromkeys([key for key, number in zip(keys, windows) if number is None]))
+            for key, (groups, pairs) in zip(new, self.aligner.worked_out(new)):
+                numbers[key] = len(numbers)
+                self.groups.append(groups)
+                self.pairs.append(pairs)
+            windows = list(map(numbers.__getitem__, keys))
         digest = hashlib.sha256(";".join(map(self.groups.__getitem__, windows)).encode()).hexdigest()
-        self.docs.append((doc_id, len(tokens[0]), len(tokens[1]), digest, np.array(windows)))
+        self.docs.append((doc_id, len(tokens[0]), len(tokens[1]), n_groups, digest, np.array(windows)))
 
     def full(self) -> bool:
         return self.chars >= CHUNK_CHARS or len(self.docs) >= CHUNK_DOCS
@@ -213,14 +221,12 @@ class Chunk:
     def rows(self) -> Iterator[pd.DataFrame]:
         """A row for each document, and one with the chunk's pairs."""
         sizes = np.array([len(p) // 8 for p in self.pairs], dtype="int64")
-        group_counts = np.array(self.n_groups, dtype="int64")
         starts = np.cumsum(sizes) - sizes
         every = np.frombuffer(b"".join(self.pairs), dtype="int64")
         pairs, index = np.unique(every, return_inverse=True)
         held = np.zeros(len(pairs), dtype="int64")
         out = []
-        for doc_id, a, b, groups, windows in self.docs:
-            n_groups = int(group_counts[windows].sum())
+        for doc_id, a, b, n_groups, groups, windows in self.docs:
             own, often = np.unique(windows, return_counts=True)
             each = sizes[own]
             flat = np.repeat(starts[own] - np.cumsum(each) + each, each) + np.arange(each.sum())
