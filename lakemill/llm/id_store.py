@@ -213,7 +213,8 @@ def write_ids(
 
     sorted_ids = (
         lean.mapInPandas(encode, "part int, doc_id long, known boolean, n long, ids binary")
-        .repartition(tasks, "part")
+        # Ranges go to tasks in their order, so that files in the order of their names are the whole array.
+        .repartitionById(tasks, F.expr(f"int((part * {tasks}L) div {len(cuts) + 2})"))
         .sortWithinPartitions("part", "doc_id", "n", "ids")
     )
     rows = sorted_ids.mapInPandas(to_blocks, "block binary").select(F.col("block").cast("string"))
