@@ -30,12 +30,19 @@ STREAM_EVENT, BATCH_EVENT = "stream_ingest", "batch_seed"
 DATASET = "fare_amount"
 
 
-def whole_row(text: Column) -> Column:
-    """The known fields of a row and, as JSON in ``extra``, all others; NULL without a row."""
-    row = F.from_json(text, ROW_SCHEMA)
-    others = F.map_filter(F.from_json(text, "map<string,string>"), lambda k, _: ~k.isin(*ROW_FIELDS))
-    extra = F.when(F.size(others) > 0, F.to_json(others)).alias("extra")
-    return F.when(text.isNotNull(), F.struct(*[row[f].alias(f) for f in ROW_FIELDS], extra))
+def whole_rows(texts: Column) -> Column:
+    """Of an array of rows as JSON: the known fields and, as JSON in ``extra``, all others; NULL for a missing row.
+
+    Each row is parsed once, into a map that both come from.
+    """
+    maps = F.transform(texts, lambda text: F.from_json(text, "map<string,string>"))
+
+    def fields(text: Column, found: Column) -> Column:
+        others = F.map_filter(found, lambda k, _: ~k.isin(*ROW_FIELDS))
+        extra = F.when(F.size(others) > 0, F.to_json(others)).alias("extra")
+        return F.when(text.isNotNull(), F.struct(*[F.try_element_at(found, F.lit(f)).alias(f) for f in ROW_FIELDS], extra))
+
+    return F.zip_with(texts, maps, fields)
 
 
 def parse_envelope(lines: DataFrame, types: Sequence[str] = MESSAGE_TYPES) -> DataFrame:
@@ -47,7 +54,7 @@ def parse_envelope(lines: DataFrame, types: Sequence[str] = MESSAGE_TYPES) -> Da
     parsed = F.from_json("value", ENVELOPE_SCHEMA, {"mode": "PERMISSIVE"})
     # inline instead of m.*: the type filter would otherwise parse each line again.
     found = lines.select(F.inline(F.array(parsed))).filter(F.col("message_type").isin(*types))
-    return found.withColumns({"row": whole_row(F.col("row")), "rows": F.transform("rows", whole_row)})
+    return found.withColumns({"row": whole_rows(F.array("row"))[0], "rows": whole_rows(F.col("rows"))})
 
 
 def packed_rows(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
