@@ -13,6 +13,11 @@ two similar sets are found by whichever of the two makes them similar.
   set for each component and common part is enough: the smallest again. What is
   left is a join of distinct common parts, with a prefix filter of its own.
 
+Copies with edits of their own form crowds in which most pairs are similar. So
+the smallest holder of each prefix key meets the others first, which costs no
+more than the keys have holders, and pairs are formed only between components
+that this leaves; each of them at about one of the keys it shares.
+
 Links make components the same as all pairs would; nothing is capped. All
 candidates are confirmed on full sets by the caller.
 """
@@ -29,6 +34,8 @@ from lakemill.llm.common import slices
 
 #: A shingle of more sets of a crowd than this is common.
 COMMON = 8
+#: Keys before its own that a row of a prefix carries, so that a pair is formed at the first key it shares.
+CARRIED = 16
 
 
 def overlap(an: str, bn: str, percent: int) -> str:
@@ -56,36 +63,61 @@ def spelled(sets: DataFrame) -> DataFrame:
     return sets.mapInPandas(run, "row long, n long, key long")
 
 
+def bounded(percent: int, common: bool) -> str:
+    """SQL: whether sets a and b that share a key as their first one can be similar.
+
+    With ``common`` the part that the key is of must reach the overlap alone.
+    """
+    need = overlap("an", "bn", percent)
+    rest = "" if common else " + least(an - asize, bn - bsize)"
+    return (
+        f"acomp <> bcomp AND 100 * least(an, bn) >= {percent} * greatest(an, bn)"
+        f" AND least(asize - apos, bsize - bpos) + 1{rest} >= {need}"
+    )
+
+
+def side(placed: DataFrame, c: str, *more: str) -> DataFrame:
+    return placed.select("key", *[F.col(x).alias(f"{c}{x}") for x in ("row", "n", "pos", "size", "comp", *more)])
+
+
+def hubs(prefixes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the smallest holder of each key of (key, row, n, pos, size) with the others of other components, ``common``."""
+    placed = prefixes.join(labels, "row")
+    least = F.min(F.struct("n", "row", "pos", "size", "comp")).alias("least")
+    heads = placed.groupBy("key").agg(least, F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    heads = heads.select("key", *[F.col(f"least.{x}").alias(f"a{x}") for x in ("row", "n", "pos", "size", "comp")])
+    met = heads.join(side(placed, "b"), "key").where(bounded(percent, True))
+    return met.select(F.col("arow").alias("a"), F.col("brow").alias("b")).distinct()
+
+
 def meeting(prefixes: DataFrame, labels: DataFrame, percent: int, common: bool) -> DataFrame:
-    """(a, b): rows of different components that share a key of (key, row, n, pos, size) and no bound rules out.
+    """(a, b): rows of different components that share a key of (key, row, n, pos, size, before) and no bound rules out.
 
     ``size`` counts the keys of the part that a row's prefix is of, ``pos`` its
-    place there. With ``common`` that part must reach the overlap alone.
+    place there. The first key that two rows share has none of the other's
+    before it; at most later ones that is seen, and the pair is not formed again.
     """
     placed = prefixes.join(labels, "row")
     open_keys = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     placed = placed.join(open_keys, "key", "left_semi")
-    side = lambda c: placed.select("key", *[F.col(x).alias(f"{c}{x}") for x in ("row", "n", "pos", "size", "comp")])
-    need = overlap("an", "bn", percent)
-    bound = f"arow < brow AND acomp <> bcomp AND 100 * least(an, bn) >= {percent} * greatest(an, bn)"
-    if common:
-        bound += f" AND least(asize - apos, bsize - bpos) + 1 >= {need}"
-    else:
-        bound += f" AND least(asize - apos, bsize - bpos) + 1 + least(an - asize, bn - bsize) >= {need}"
-    joined = side("a").join(side("b").withColumnRenamed("key", "bkey"), F.expr(f"key = bkey AND {bound}"))
-    return joined.select(F.col("arow").alias("a"), F.col("brow").alias("b")).distinct()
+    left, right = side(placed, "a", "before"), side(placed, "b", "before").withColumnRenamed("key", "bkey")
+    first = f"key = bkey AND arow < brow AND {bounded(percent, common)} AND NOT arrays_overlap(abefore, bbefore)"
+    return left.join(right, F.expr(first)).select(F.col("arow").alias("a"), F.col("brow").alias("b")).distinct()
 
 
 def prefixes_of(keys: DataFrame, need: str) -> DataFrame:
-    """(key, row, n, pos, size): the first keys of each row, rarest first, that an overlap of ``need`` can't do without."""
+    """(key, row, n, pos, size, before): the first keys of each row, rarest first, that an overlap of ``need`` can't do without.
+
+    ``before`` lists the last ``CARRIED`` of the keys before.
+    """
     own = Window.partitionBy("row")
     placed = keys.withColumn("pos", F.row_number().over(own.orderBy("df", "key"))).withColumn(
         "size", F.col("alone") + F.count(F.lit(1)).over(own)
     )
     # Keys of one row alone come first and can't be shared.
-    return placed.withColumn("pos", F.col("pos") + F.col("alone")).where(f"pos <= size - ({need}) + 1").select(
-        "key", "row", "n", "pos", "size"
-    )
+    first = placed.withColumn("pos", F.col("pos") + F.col("alone")).where(f"pos <= size - ({need}) + 1")
+    before = F.collect_list("key").over(own.orderBy("pos").rowsBetween(-CARRIED, -1)).alias("before")
+    return first.select("key", "row", "n", "pos", "size", before)
 
 
 def crowd_links(
@@ -122,19 +154,20 @@ def crowd_links(
     heads = keep(heads.where("lo <> hi").select("x", "y", F.col("least.row").alias("a"), F.col("least.n").alias("an")))
     members = parts.join(heads, ["x", "y"]).where(f"row <> a AND h >= {overlap('an', 'n', percent)}")
     same = members.select("a", F.col("row").alias("b"))
-    rest = prefixes_of(
-        shared.where(F.col("df") <= COMMON).select("key", "df", "row", "n", "h", "alone"),
-        f"greatest(1, {least_overlap('n', percent)} - h)",
-    )
+    whole = keep(prefixes_of(
+        common.select("key", "df", "row", "n", F.lit(0).alias("alone")), least_overlap("n", percent)
+    ))
     differ = lambda pairs, now: pairs.join(now.select(F.col("row").alias("a"), F.col("comp").alias("ac")), "a").join(
         now.select(F.col("row").alias("b"), F.col("comp").alias("bc")), "b"
     ).where("ac <> bc").select("a", "b")
-    links = confirm(differ(same.unionByName(meeting(rest, labels, percent, False)).distinct(), labels))
+    met = same.unionByName(hubs(whole, labels, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    links = confirm(differ(met.distinct(), labels))
     labels = relabel(links)
+    rest = prefixes_of(
+        shared.where(F.col("df") <= COMMON).select("key", "df", "row", "n", "h", "alone"),
+        f"greatest(1, {least_overlap('n', percent)} - h)",
+    )
     ones = parts.join(labels, "row").groupBy("x", "y", "comp").agg(least)
     ones = keep(ones.select(F.col("least.row").alias("row")))
-    alone = prefixes_of(
-        common.join(ones, "row", "left_semi").select("key", "df", "row", "n", F.lit(0).alias("alone")),
-        least_overlap("n", percent),
-    )
-    return links.unionByName(confirm(meeting(alone, labels, percent, True)))
+    alone = meeting(whole.join(ones, "row", "left_semi"), labels, percent, True)
+    return links.unionByName(confirm(meeting(rest, labels, percent, False).unionByName(alone).distinct()))

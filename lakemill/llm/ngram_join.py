@@ -143,7 +143,10 @@ def looks_within(n: int, percent: int) -> bool:
 
 
 def signed(docs: DataFrame, plan: Plan) -> DataFrame:
-    """(row, n, digest, bits, wide, own, below) of every (row, text): keys in the own band, of ``wide`` segments, and below."""
+    """(row, node, n, digest, bits, wide, own, below) of every (row, text): keys in the own band, of ``wide`` segments, and below.
+
+    Equal sets have one ``node``, a number from the digest.
+    """
     percent = plan.percent
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -156,11 +159,12 @@ def signed(docs: DataFrame, plan: Plan) -> DataFrame:
                 band = band_of(n, percent) if n else 0
                 within = full_keys(own, band, percent) if n and looks_within(n, percent) else []
                 below = full_keys(own, band - 1, percent) if n and looks_below(n, percent) else []
-                out.append((row, n, digest, bitmap(own), segments(band, percent), within, below))
-            yield pd.DataFrame(out, columns=["row", "n", "digest", "bits", "wide", "own", "below"])
+                node = int.from_bytes(digest[:8], "little") >> 2
+                out.append((row, node, n, digest, bitmap(own), segments(band, percent), within, below))
+            yield pd.DataFrame(out, columns=["row", "node", "n", "digest", "bits", "wide", "own", "below"])
 
     return docs.mapInPandas(
-        run, "row long, n long, digest binary, bits array<long>, wide long, own array<long>, below array<long>"
+        run, "row long, node long, n long, digest binary, bits array<long>, wide long, own array<long>, below array<long>"
     )
 
 
@@ -209,9 +213,9 @@ def budgets(probes: DataFrame, plan: Plan) -> DataFrame:
 
 
 def entries_of(nodes: DataFrame) -> DataFrame:
-    """(key, entry) of every lookup; ``entry`` is twice the row, and one more in the own band."""
-    own = nodes.select(F.explode("own").alias("key"), (F.col("row") * 2 + 1).alias("entry"))
-    return own.unionByName(nodes.select(F.explode("below").alias("key"), (F.col("row") * 2).alias("entry")))
+    """(key, entry) of every lookup; ``entry`` is twice the node, and one more in the own band."""
+    own = nodes.select(F.explode("own").alias("key"), (F.col("node") * 2 + 1).alias("entry"))
+    return own.unionByName(nodes.select(F.explode("below").alias("key"), (F.col("node") * 2).alias("entry")))
 
 
 def key_filter(keys: DataFrame) -> np.ndarray:
@@ -226,8 +230,17 @@ def key_filter(keys: DataFrame) -> np.ndarray:
     return out
 
 
+def marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys may be among those of a bitmap."""
+    # Block numbers start at one, as bitmap_bucket_number has them; so do positions with bit 0 of 0.
+    place = keys.astype("int64") & ((1 << FILTER_BITS) - 1)
+    at = np.where(place > 0, (place - 1) % BLOCK_BITS, 0)
+    block = np.where(place > 0, (place - 1) // BLOCK_BITS + 1, 0)
+    return (bits[block, at >> 3] >> (at & 7).astype("uint8") & 1).astype(bool)
+
+
 def filtered(nodes: DataFrame, bits: np.ndarray) -> DataFrame:
-    """(key, row, n, role): the lookups whose key may be among those of a bitmap."""
+    """(row, n, role, keys): the lookups whose key may be among those of a bitmap."""
     shared = nodes.sparkSession.sparkContext.broadcast(bits)  # of fixed size
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -236,18 +249,28 @@ def filtered(nodes: DataFrame, bits: np.ndarray) -> DataFrame:
             for role, name in ((1, "own"), (0, "below")):
                 sizes = batch[name].map(len).to_numpy()
                 keys = np.concatenate(list(batch[name])) if sizes.sum() else np.zeros(0, dtype="int64")
-                # Block numbers start at one, as bitmap_bucket_number has them; so do positions with bit 0 of 0.
-                place = keys.astype("int64") & ((1 << FILTER_BITS) - 1)
-                at = np.where(place > 0, (place - 1) % BLOCK_BITS, 0)
-                block = np.where(place > 0, (place - 1) // BLOCK_BITS + 1, 0)
-                there = bits[block, at >> 3] >> (at & 7).astype("uint8") & 1
-                keep = there.astype(bool)
-                yield pd.DataFrame({
-                    "key": keys[keep], "row": np.repeat(batch["row"].to_numpy(), sizes)[keep],
-                    "n": np.repeat(batch["n"].to_numpy(), sizes)[keep], "role": role,
-                })
+                keep = marked(bits, keys)
+                left = np.add.reduceat(np.append(keep, False).astype("int64"), np.cumsum(sizes) - sizes) * (sizes > 0)
+                found = left > 0
+                if found.any():
+                    yield pd.DataFrame({
+                        "row": batch["row"].to_numpy()[found], "n": batch["n"].to_numpy()[found], "role": role,
+                        "keys": np.split(keys[keep], np.cumsum(left[found])[:-1]),
+                    })
+
+    return nodes.select("row", "n", "own", "below").mapInPandas(run, "row long, n long, role int, keys array<long>")
+
 
-    return nodes.select("row", "n", "own", "below").mapInPandas(run, "key long, row long, n long, role int")
+def sets_of(docs: DataFrame, rows: DataFrame, plan: Plan) -> DataFrame:
+    """(row, set) of the (row, text) among ``rows``; a bitmap spares most other texts the shuffle."""
+    number = F.xxhash64("row")
+    bits = docs.sparkSession.sparkContext.broadcast(key_filter(rows.select(number.alias("key"))))  # of fixed size
+
+    @F.pandas_udf("boolean")
+    def wanted(keys: pd.Series) -> pd.Series:
+        return pd.Series(marked(bits.value, keys.to_numpy()))
+
+    return shingle_sets(docs.where(wanted(number)).join(rows, "row", "left_semi"), plan)
 
 
 def counted_pairs(pairs: DataFrame, lean: DataFrame, skipped: DataFrame, plan: Plan) -> DataFrame:
@@ -337,16 +360,28 @@ def allocated(dear: DataFrame, short: DataFrame, sets: DataFrame, plan: Plan) ->
     return pairs, crowded.select("row").unionByName(partners).distinct()
 
 
-def resolve(nodes: DataFrame, docs: DataFrame, plan: Plan) -> DataFrame:
-    """(row, comp) of the classes (row, n, bits, wide, own, below)."""
-    found = entries_of(nodes).groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("entry").alias("a"), F.max("entry").alias("b"))
-    shared = kept(found.where("size > 2 OR (size = 2 AND (a % 2 = 1 OR b % 2 = 1))"))
-    lean = kept(nodes.select("row", "n", "wide", "bits"))
-    groups = shared.where("size > 2").select("key", "size")
-    members = kept(filtered(nodes, key_filter(groups)).join(groups, "key"))
+def resolve(marks: DataFrame, heads: DataFrame, docs: DataFrame, plan: Plan) -> DataFrame:
+    """(row, comp) of the classes, by the (row, node, n, bits, wide, own, below) of all rows and the rows that stand for them.
+
+    Keys are counted with all copies, so no list of them travels to its class;
+    copies go once the keys of single classes have.
+    """
+    found = entries_of(marks).groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("entry").alias("a"), F.max("entry").alias("b"))
+    shared = kept(found.where("a div 2 <> b div 2 AND (size > 2 OR a % 2 = 1 OR b % 2 = 1)"))
+    nodes = kept(marks.select("row", "node", "n", "wide", "bits").join(heads, "row", "left_semi"))
+    lean = nodes.drop("node")
+    groups = shared.where("size > 2").select("key")
+    held = filtered(marks, key_filter(groups)).join(heads, "row", "left_semi")
+    held = kept(held.select(F.explode("keys").alias("key"), "row", "n", "role"))
+    sizes = held.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.sum("role").alias("held")).where("held > 0")
+    members = kept(held.join(sizes.join(groups, "key", "left_semi").select("key", "size"), "key"))
     dear = kept(members.where(F.col("size") > SMALL))
     skipped = dear.where("role = 1").groupBy("row").agg(F.count(F.lit(1)).alias("dear"))
-    twos = shared.where("size = 2").select(F.expr("a div 2").alias("a"), F.expr("b div 2").alias("b"), F.lit(1).alias("times"))
+    twos = shared.where("size = 2").groupBy(F.expr("a div 2").alias("a"), F.expr("b div 2").alias("b")).agg(F.count(F.lit(1)).alias("times"))
+    named = lambda c: nodes.select(F.col("node").alias(c), F.col("row").alias(f"{c}row"))
+    twos = twos.join(named("a"), "a").join(named("b"), "b").select(
+        F.least("arow", "brow").alias("a"), F.greatest("arow", "brow").alias("b"), "times"
+    )
     few = members.where(F.col("size") <= SMALL)
     left, right = (few.select("key", *[F.col(x).alias(f"{c}{x}") for x in ("row", "role")]) for c in "ab")
     threes = left.join(right, "key").where("arow < brow AND arole + brole > 0").select(
@@ -363,7 +398,7 @@ def resolve(nodes: DataFrame, docs: DataFrame, plan: Plan) -> DataFrame:
     pairs = kept(pairs.unionByName(plausible(met, lean, plan)).distinct())
     crowded = mine.select("row").unionByName(dear.where("role = 1").join(mine.select("key").distinct(), "key", "left_semi").select("row"))
     meeting = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).unionByName(crowded)
-    sets = stored(shingle_sets(docs.join(meeting.distinct(), "row", "left_semi"), plan), "shingle-sets")
+    sets = stored(sets_of(docs, kept(meeting.distinct()), plan), "shingle-sets")
     links = confirmed(pairs, sets, plan)
     labels = components(lean, links)
 
@@ -409,7 +444,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     marks = stored(signed(texts, plan), "signatures")
     classes = kept(marks.where("n > 0").groupBy("digest", "n").agg(F.min("row").alias("class")))
     heads = classes.select(F.col("class").alias("row"))
-    labels = resolve(marks.join(heads, "row", "left_semi").drop("digest"), texts, plan)
+    labels = resolve(marks, heads, texts, plan)
     # A class may hold very many rows: they meet it by (digest, salt).
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     salt = F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")

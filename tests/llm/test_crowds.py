@@ -58,3 +58,45 @@ def test_links_connect_what_all_pairs_connect(spark, monkeypatch, percent, commo
     want = joined(found, percent)
     assert {frozenset(x) for x in reached.values()} == want and 2 < len(want) < len(found) - 5
     assert sum(seen) < len(found) ** 2 / 4
+
+
+def test_copies_with_edits_meet_few(spark):
+    """Where most pairs are similar, what is compared grows with the sets, not with their pairs."""
+    draw = random.Random(5)
+    fresh = iter(range(10**6, 10**9))
+    base = [next(fresh) for _ in range(120)]
+    found = [frozenset([*draw.sample(base, 120 - k % 12), *(next(fresh) for _ in range(k % 7))]) for k in range(160)]
+    plan = minhash.Plan(percent=80)
+    packed = [(k, bytearray(np.sort(np.array(list(s), dtype="uint64")).tobytes())) for k, s in enumerate(found)]
+    sets = minhash.kept(spark.createDataFrame(packed, "row long, set binary").repartition(3))
+    nodes = sets.select("row")
+    seen = []
+
+    def confirm(pairs):
+        seen.append(pairs.count())
+        return minhash.confirmed(pairs, sets, plan)
+
+    labels = nodes.select("row", F.col("row").alias("comp"))
+    links = crowds.crowd_links(sets, labels, 80, minhash.kept, confirm, lambda more: minhash.components(nodes, more))
+    reached = {}
+    for r in minhash.components(nodes, links).collect():
+        reached.setdefault(r["comp"], set()).add(r["row"])
+    assert {frozenset(x) for x in reached.values()} == joined(found, 80)
+    assert sum(seen) < 20 * len(found)
+
+
+@pytest.mark.parametrize("carried", [2, 100])
+def test_pairs_are_formed_at_the_first_key(spark, monkeypatch, carried):
+    """The keys carried spare repeated pairs and never the only one."""
+    monkeypatch.setattr(crowds, "CARRIED", carried)
+    draw = random.Random(carried)
+    base = list(range(60))
+    found = [sorted(draw.sample(base, 50)) for _ in range(30)]
+    df = {k: sum(k in x for x in found) for k in base}
+    rows = [(k, df[k], r, len(x), 0) for r, x in enumerate(found) for k in x]
+    keys = spark.createDataFrame(rows, "key long, df long, row long, n long, alone long")
+    prefixes = minhash.kept(crowds.prefixes_of(keys, crowds.least_overlap("n", 70)))
+    labels = spark.createDataFrame([(r, r) for r in range(30)], "row long, comp long")
+    met = {(r["a"], r["b"]) for r in crowds.meeting(prefixes, labels, 70, True).collect()}
+    similar = {(a, b) for b in range(30) for a in range(b) if 100 * len({*found[a]} & {*found[b]}) >= 70 * len({*found[a]} | {*found[b]})}
+    assert similar and similar <= met

@@ -107,3 +107,25 @@ def test_deletions_are_subsets_with_one_less():
     at, less = ngram_join.deletion_keys(own, band, 80)
     for k in range(len(own)):
         assert ngram_join.full_keys(np.delete(own, k), band, 80)[at[k]] == less[k]
+
+
+def test_only_texts_that_are_asked_for_travel(spark):
+    found = [(i, " ".join(f"w{i}x{k}" for k in range(20))) for i in range(400)]
+    docs = spark.createDataFrame(found, "row long, text string")
+    rows = spark.createDataFrame([(i,) for i in range(0, 400, 40)], "row long")
+    df = ngram_join.sets_of(docs, rows, ngram_join.Plan())
+    assert {r["row"]: bytes(r["set"]) for r in df.collect()} == {i: shingles(t, 5).tobytes() for i, t in found if i % 40 == 0}
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftSemi") < plan.index("ArrowEvalPython")  # below the join
+
+
+def test_lists_of_keys_stay_where_they_are(spark):
+    """Copies do not make a key shared, and of the lists only keys that several sets hold go on."""
+    texts = [f"one two three four five six seven eight nine ten {w}" for w in ("a", "b", "a", "a")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+    marks = ngram_join.signed(docs, ngram_join.Plan())
+    shared = ngram_join.entries_of(marks).groupBy("key").agg(F.min("entry").alias("a"), F.max("entry").alias("b")).where("a div 2 <> b div 2")
+    bits = ngram_join.key_filter(shared.select("key"))
+    kept = {(r["row"], len(r["keys"])) for r in ngram_join.filtered(marks, bits).where("role = 1").collect()}
+    held = [set(r["own"]) for r in marks.orderBy("row").collect()]
+    assert held[0] == held[2] != held[1] and kept == {(i, len(held[0] & held[1])) for i in range(4)}
