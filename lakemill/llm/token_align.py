@@ -35,6 +35,8 @@ from lakemill.llm.tokens import Encoder, WordCache, byte_alphabet, worker_cache
 SINGLE = re.compile("(?<=[^ ]) (?=[^ ])")
 #: A chunk ends after so many characters or documents.
 CHUNK_CHARS, CHUNK_DOCS = 4_000_000, 4096
+#: Longer texts are encoded by B word by word, which takes less memory.
+WHOLE_CHARS = 100_000
 
 
 @dataclass(frozen=True)
@@ -72,8 +74,9 @@ class BytesTokenizer(Encoder):
 class PieceTokenizer:
     """B: ids of a text, before which the model puts a space.
 
+    The library takes less time for a whole text than a cache for its words.
     No piece but runs of marks has a mark after its first letter, so merges do
-    not cross a space between other letters, and texts are encoded word by word.
+    not cross a space between other letters, and long texts can go word by word.
     """
 
     def __init__(self, path: str, generation: int = 100_000):
@@ -91,6 +94,8 @@ class PieceTokenizer:
         return array("I", self.model.encode(word, num_threads=1)).tobytes()
 
     def ids(self, text: str) -> np.ndarray:
+        if len(text) <= WHOLE_CHARS:
+            return np.array(self.model.encode(text, num_threads=1), dtype="uint32")
         words = text.split(" ") if self.cuts else [text]
         if self.cuts and "" in words:
             words = SINGLE.split(text)

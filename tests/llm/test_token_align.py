@@ -91,3 +91,13 @@ def test_windows_are_remembered_and_small():
     chunk.add("1", text)
     chunk.add("2", text + text)
     assert len(chunk.groups) == len(set(windows)) and chunk.docs[0][4] != chunk.docs[1][4]
+
+
+@pytest.mark.parametrize("whole", [0, 10**6])
+def test_pieces_of_whole_texts(monkeypatch, whole):
+    """Word by word or whole, B gives the library's ids; whole texts leave the cache of words alone."""
+    monkeypatch.setattr(token_align, "WHOLE_CHARS", whole)
+    pieces = token_align.PieceTokenizer(public_tokenizers.path("piece_bpe_32k.model"))
+    for text in ["a", " two  spaces ", "tab\tand\nline", "Straße 東京 😀 don't", "word " * 50, "x" * 300]:
+        assert pieces.ids(text).tolist() == pieces.model.encode(text), text
+    assert bool(pieces.cache) == (whole == 0)
