@@ -360,7 +360,7 @@ def _(d):
     row_lines(d).repartition(2).write.mode("append").text(f"{path}/in")
     events = E.explode_batches(E.parse_envelope(S.event_stream(d.spark, f"{path}/in", 2))).select("event_id", "trip_id")
     query = first_of_ids(events).writeStream.format("parquet").option("checkpointLocation", f"{path}/offsets")
-    query.outputMode("append").trigger(availableNow=True).start(f"{path}/out").awaitTermination(1800)
+    query.outputMode("append").trigger(availableNow=True).start(f"{path}/out").awaitTermination()
     return d.spark.read.parquet(f"{path}/out").select("event_id")
 
 

@@ -220,3 +220,55 @@ def test_stream_stopped_and_started_gives_each_event_once(spark, tmp_path):
     ids = sorted(r.event_id for r in spark.read.parquet(out).select("event_id").collect())
     whole = E.explode_batches(E.parse_envelope(spark.read.text(str(box))))
     assert ids == sorted(r.event_id for r in E.new_events(whole, spark.createDataFrame([], "event_id string")).collect())
+
+
+def test_a_hundred_thousand_ids_are_told_apart_in_a_minute(spark, tmp_path):
+    from lakemill.streaming.once import first_of_ids
+
+    n, box, out = 100_000, str(tmp_path / "in"), str(tmp_path / "out")
+    sent = spark.range(n).select(F.concat(F.lit("e"), "id").alias("event_id"), (F.col("id") % 7).alias("n"))
+    for again in range(2):
+        sent.withColumn("again", F.lit(again)).coalesce(1).write.mode("append").parquet(box)
+    events = spark.readStream.schema("event_id string, n bigint, again int").option("maxFilesPerTrigger", 1).parquet(box)
+    query = first_of_ids(events).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "offsets"))
+    query = query.trigger(availableNow=True).start(out)
+    try:
+        assert query.awaitTermination(60)
+    finally:
+        query.stop()
+    got = spark.read.parquet(out)
+    assert got.columns == ["event_id", "n", "again"] and got.select("again").distinct().count() == 1
+    assert got.drop("again").exceptAll(sent).isEmpty() and sent.exceptAll(got.drop("again")).isEmpty()
+
+
+def test_late_events_of_a_stream_with_a_watermark_pass(spark, tmp_path):
+    from lakemill.streaming.once import first_of_ids
+
+    box, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for rows_ in ([("a", 5), ("", 5), (None, 5)], [("b", 5)], [("a", 1), ("c", 1), ("d", 5)]):
+        made = spark.createDataFrame(rows_, "event_id string, day int")
+        made.select("event_id", F.make_timestamp(F.lit(2024), F.lit(1), "day", F.lit(0), F.lit(0), F.lit(0)).alias("t")).coalesce(
+            1
+        ).write.mode("append").parquet(box)
+    events = spark.readStream.schema("event_id string, t timestamp").option("maxFilesPerTrigger", 1).parquet(box)
+    query = first_of_ids(events.withWatermark("t", "1 hour")).writeStream.format("parquet")
+    query = query.option("checkpointLocation", str(tmp_path / "offsets")).trigger(availableNow=True).start(out)
+    assert query.awaitTermination(600)
+    assert sorted((r.event_id, r.t.day) for r in spark.read.parquet(out).collect()) == [("a", 5), ("b", 5), ("c", 1), ("d", 5)]
+
+
+def test_events_once_waits_for_its_stream(spark, tmp_path, monkeypatch):
+    from pyspark.sql.streaming import StreamingQuery
+
+    from __spark_entry__ import queries
+
+    wait = StreamingQuery.awaitTermination
+
+    def time_is_up(query, timeout=None):
+        return wait(query) if timeout is None else query.stop() or False
+
+    monkeypatch.setattr(StreamingQuery, "awaitTermination", time_is_up)
+    made = spark.createDataFrame([(i, i % 3, "error" if i % 2 else "view", float(i)) for i in range(40)], "event_id bigint, user_id bigint, event_type string, value double")
+    made.withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz")).write.parquet(str(tmp_path / "events.parquet"))
+    got = queries()["stream_events_once"](spark, str(tmp_path))
+    assert sorted(int(r.event_id) for r in got.collect()) == list(range(40))
